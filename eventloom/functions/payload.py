@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
 
@@ -15,7 +17,7 @@ def struct_for(paths: Iterable[str], arrays: Iterable[str] = ()) -> StructType:
     """The smallest struct that holds the given dotted paths.
 
     Every leaf is a STRING, so numbers written as text and text written as
-    numbers both survive; types are applied by `take`. An array path holds its
+    numbers both survive; types are applied by `with_fields`. An array path holds its
     elements as JSON text.
     """
     tree: dict = {}
@@ -36,27 +38,49 @@ def struct_for(paths: Iterable[str], arrays: Iterable[str] = ()) -> StructType:
     return build(tree)
 
 
-def parse(text: Column, fields: Sequence[Field], arrays: Sequence[str] = ()) -> Column:
-    return F.from_json(text, struct_for([path for _, path, _ in fields], arrays))
+def with_parsed(
+    rows: DataFrame, text: str, name: str, fields: Sequence[Field], arrays: Sequence[str] = ()
+) -> DataFrame:
+    """Add the parsed payload as a struct column.
 
-
-def _scalar_text(leaf: Column, text: Column, path: str) -> Column:
-    """The leaf, or NULL where the path holds an object or array.
-
-    Prose may start with a bracket, and may even be valid JSON. So the cheap
-    tests come first and the type is looked up only where both leave a doubt.
+    The struct goes through a one-element explode. A filter on a parsed field
+    then stays above it; pushed below, it would parse every payload a second
+    time.
     """
-    plain = ~(leaf.startswith("{") | leaf.startswith("["))
-    kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(text), f"$.{path}", "variant"))
-    nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-    return F.when(plain, leaf).when(F.try_parse_json(leaf).isNull(), leaf).when(~nested, leaf)
+    parsed = F.from_json(F.col(text), struct_for([path for _, path, _ in fields], arrays))
+    return rows.select("*", F.explode(F.array(parsed)).alias(name))
 
 
-def take(parsed: Column, text: Column, field: Field) -> Column:
-    """One typed field of a parsed payload; a bad cast gives NULL."""
-    name, path, kind = field
-    leaf = parsed
+def _leaf(parsed: str, path: str) -> Column:
+    leaf = F.col(parsed)
     for part in path.split("."):
         leaf = leaf.getField(part)
-    value = _scalar_text(leaf, text, path) if kind == "string" else leaf.try_cast(kind)
-    return value.alias(name)
+    return leaf
+
+
+def _bracketed(leaf: Column) -> Column:
+    return F.substring(leaf, 1, 1).isin("{", "[")
+
+
+def with_fields(rows: DataFrame, text: str, name: str, fields: Sequence[Field]) -> DataFrame:
+    """Add the typed fields of a parsed payload; a bad cast gives NULL.
+
+    A text field is NULL where its path holds an object or array. Both arrive as
+    JSON text, and prose may start with a bracket too, so the payload's types
+    are looked at, but only in rows where some field does start with one.
+    """
+    texts = [path for _, path, kind in fields if kind == "string"]
+    if texts:
+        doubt = reduce(or_, [_bracketed(_leaf(name, path)) for path in texts])
+        rows = rows.withColumn("_types", F.when(doubt, F.try_parse_json(F.col(text))))
+    taken = []
+    for field, path, kind in fields:
+        leaf = _leaf(name, path)
+        if kind == "string":
+            found = F.schema_of_variant(F.try_variant_get("_types", f"$.{path}", "variant"))
+            nested = _bracketed(leaf) & found.rlike("^(OBJECT|ARRAY)")
+            leaf = F.when(~nested, leaf)
+        else:
+            leaf = leaf.try_cast(kind)
+        taken.append(leaf.alias(field))
+    return rows.select("*", *taken).drop("_types")

@@ -79,20 +79,13 @@ def typed_events(
     if not shape.fields and not shape.items:
         return _named(own, "user_login").select(*output_columns(shape))
     arrays = (shape.items,) if shape.items else ()
-    rows = _named(own, "user_login", "payload").withColumn(
-        "_p", payload.parse(F.col("payload"), shape.fields, arrays)
-    )
-    rows = rows.select(
-        "*", *[payload.take(F.col("_p"), F.col("payload"), field) for field in shape.fields]
-    )
+    rows = _named(own, "user_login", "payload")
+    rows = payload.with_parsed(rows, "payload", "_p", shape.fields, arrays)
+    rows = payload.with_fields(rows, "payload", "_p", shape.fields)
     if shape.items:
         rows = rows.withColumn("_item", F.explode(F.col("_p").getField(shape.items)))
-        rows = rows.drop("_p", "payload").withColumn(
-            "_i", payload.parse(F.col("_item"), shape.item_fields)
-        )
-        rows = rows.select(
-            "*", *[payload.take(F.col("_i"), F.col("_item"), field) for field in shape.item_fields]
-        )
+        rows = payload.with_parsed(rows.drop("_p", "payload"), "_item", "_i", shape.item_fields)
+        rows = payload.with_fields(rows, "_item", "_i", shape.item_fields)
     derived = {name: c.is_value(F.col(source), value) for name, source, value in shape.flags}
     derived |= {name: F.col(source) for name, source in shape.copies}
     if shape is PUSH:

@@ -253,24 +253,18 @@ def dw_activity_feed(events: DataFrame, days: Iterable[date] | None = None) -> D
     """
     fields, item_fields = _feed_fields(False), _feed_fields(True)
     own = on_days(events, days).where(F.col("type").isin(*SENTENCES))
-    rows = _named(own, "user_login", "type", "payload").withColumn(
-        "_p", payload.parse(F.col("payload"), fields, ("commits", "pages"))
-    )
+    rows = _named(own, "user_login", "type", "payload")
+    rows = payload.with_parsed(rows, "payload", "_p", fields, ("commits", "pages"))
     no_item = F.array(F.lit(None).cast("string"))
     items = (
         F.when(F.col("type") == ef.PUSH.event_type, F.col("_p.commits"))
         .when(F.col("type") == ef.GOLLUM.event_type, F.col("_p.pages"))
         .otherwise(no_item)
     )
-    rows = rows.select(
-        "*", *[payload.take(F.col("_p"), F.col("payload"), field) for field in fields]
-    ).withColumn("_item", F.explode(items))
-    rows = rows.drop("_p", "payload").withColumn(
-        "_i", payload.parse(F.col("_item"), item_fields)
-    )
-    rows = rows.select(
-        "*", *[payload.take(F.col("_i"), F.col("_item"), field) for field in item_fields]
-    ).withColumns({"ref_name": _push_extras({})["ref_name"]})
+    rows = payload.with_fields(rows, "payload", "_p", fields).withColumn("_item", F.explode(items))
+    rows = payload.with_parsed(rows.drop("_p", "payload"), "_item", "_i", item_fields)
+    rows = payload.with_fields(rows, "_item", "_i", item_fields)
+    rows = rows.withColumns({"ref_name": _push_extras({})["ref_name"]})
 
     key = text = None
     for event_type, (_, sentence) in SENTENCES.items():

@@ -24,6 +24,7 @@ def local_session(cores: str = "*", name: str = "eventloom", partitions: int = 8
     return (
         builder.config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )

@@ -7,224 +7,205 @@ Spark SQL and in ANSI SQL engines. Every row of the table becomes one row.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
-# --- shared expressions ------------------------------------------------------
 
-_Q = "'\"'"
-_TURN = "cast(floor(event_id / 13) as bigint)"
-_TEXT = "cast({} as varchar(40))"
+def _text(expression: str) -> str:
+    return f"cast({expression} as varchar(40))"
 
 
-def _t(expression: str) -> str:
-    return _TEXT.format(expression)
+def _pick(selector: str, *values: str | None) -> str:
+    """CASE over 0, 1, 2, ... giving the texts in turn."""
+    cases = " ".join(
+        f"when {n} then {'null' if value is None else repr(value)}" for n, value in enumerate(values)
+    )
+    return f"(case {selector} {cases} end)"
 
 
-def _pick(selector: str, values: list[str], other: str = "null") -> str:
-    cases = " ".join(f"when {n} then {value}" for n, value in enumerate(values))
-    return f"case {selector} {cases} else {other} end"
+def _quoted_or_null(expression: str) -> str:
+    """JSON text of a string that may be NULL."""
+    return f"""coalesce('"' || {expression} || '"', 'null')"""
 
 
-def _q(*values: str | None) -> list[str]:
-    return ["null" if value is None else f"'{value}'" for value in values]
+def _fill(template: str, values: dict[str, str]) -> str:
+    """SQL text that builds the template, with each <name> replaced by its value.
 
+    Line breaks and indents of the template are dropped.
+    """
+    template = "".join(line.strip() for line in template.splitlines())
+    pieces = []
+    for literal, name in re.findall(r"([^<>]*)(?:<(\w+)>)?", template):
+        if literal:
+            pieces.append(f"'{literal}'")
+        if name:
+            pieces.append(values[name])
+    return " || ".join(pieces)
 
-def _json(**fields: str) -> str:
-    """SQL text that builds a JSON object; values are SQL expressions of JSON text."""
-    parts = [f"'\"{name}\":' || {value}" for name, value in fields.items()]
-    return "'{' || " + " || ',' || ".join(parts) + " || '}'"
 
+# --- events ------------------------------------------------------------------
 
-def _str(expression: str) -> str:
-    """JSON text of a string expression; a NULL becomes JSON null."""
-    return f"coalesce({_Q} || {expression} || {_Q}, 'null')"
+_TYPES = (
+    "PushEvent", "IssuesEvent", "IssueCommentEvent", "PullRequestEvent",
+    "PullRequestReviewEvent", "PullRequestReviewCommentEvent", "WatchEvent", "ForkEvent",
+    "MemberEvent", "CreateEvent", "DeleteEvent", "GollumEvent", "ReleaseEvent",
+)
+_TURN = "cast(floor(event_id / 13) as bigint)"
 
+EVENT_TYPE = _pick("event_id % 13", *_TYPES)
+ORG_LOGIN = _pick("user_id % 4", "CausalInferenceLab", "Pseudo-Lab", "apache", "HTTPServer")
+ORG_PARTITION = _pick("user_id % 4", "causal_inference_lab", "pseudo__lab", "apache", "http_server")
+REPO_SHORT = _pick(
+    "cast(floor(event_id / 3) as bigint) % 5", "superset", "study", "docs", "Wiki-Notes", "core"
+)
+USER = f"('u' || {_text('user_id')})"
+MAYBE_USER = f"(case when event_id % 101 = 0 then null else {USER} end)"
+CREATED_AT = "replace(substr(cast(ts as varchar(40)), 1, 19), ' ', 'T') || 'Z'"
 
-EVENT_TYPE = _pick(
-    "event_id % 13",
-    _q(
-        "PushEvent", "IssuesEvent", "IssueCommentEvent", "PullRequestEvent",
-        "PullRequestReviewEvent", "PullRequestReviewCommentEvent", "WatchEvent", "ForkEvent",
-        "MemberEvent", "CreateEvent", "DeleteEvent", "GollumEvent", "ReleaseEvent",
+_ACTION_5 = {
+    "issue": ("opened", "closed", "reopened", "labeled", None),
+    "pull": ("opened", "closed", "synchronize", "labeled", None),
+}
+_VALUES = {
+    "event": _text("event_id"),
+    "event_2": _text("event_id * 2"),
+    "event_3": _text("event_id * 3"),
+    "event_5": _text("event_id * 5"),
+    "repo_id": _text("event_id % 5"),
+    "org_id": _text("user_id % 4"),
+    "user_id": _text("user_id"),
+    "user": USER,
+    "kind": "event_type",
+    "org": ORG_LOGIN,
+    "repo": f"(case when event_id % 11 = 0 then '' else {ORG_LOGIN} || '/' end) || {REPO_SHORT}",
+    "other": f"'u' || {_text('(user_id * 7 + event_id) % 50')}",
+    "other_id": _text("(user_id * 7 + event_id) % 50"),
+    "sha": f"'c' || {_text('event_id')} || 'abcdef0123456789'",
+    "title": f"event_type || ' ' || chr(92) || '\"' || {_text('value')} || chr(92) || '\" ' || repeat('가나다 ', 40)",
+    "deep": "repeat('/deep', 20)",
+    "size": _text("event_id % 3"),
+    "small": _text("event_id % 9"),
+    "large": _text("event_id % 1000"),
+    "even": _pick("event_id % 2", "true", "false"),
+    "third": _pick("event_id % 3", "true", "false", "null"),
+    "state": _pick("event_id % 2", "open", "closed"),
+    "ref": _pick(f"{_TURN} % 3", "refs/heads/main", "refs/tags/v1", "refs/heads/feature/x"),
+    "number": f"(case when {_TURN} % 29 = 0 then 'null' else {_text(f'(user_id * 3 + {_TURN}) % 23')} end)",
+    "comment_id": f"(case when {_TURN} % 17 = 0 then 'null' else {_text('event_id * 10')} end)",
+    "issue_action": _quoted_or_null(_pick(f"{_TURN} % 5", *_ACTION_5["issue"])),
+    "pull_action": _quoted_or_null(_pick(f"{_TURN} % 5", *_ACTION_5["pull"])),
+    "review_state": _quoted_or_null(
+        _pick(f"{_TURN} % 4", "approved", "commented", "changes_requested", None)
     ),
+    "submitted": _quoted_or_null(f"(case when {_TURN} % 8 = 0 then null else {CREATED_AT} end)"),
+    "member_action": _quoted_or_null(_pick(f"{_TURN} % 4", "added", "removed", "edited", None)),
+    "create_ref": _quoted_or_null(_pick(f"{_TURN} % 4", None, "dev", "v1.0", "odd")),
+    "create_type": _pick(f"{_TURN} % 4", "repository", "branch", "tag", "other"),
+    "delete_ref": _pick(f"{_TURN} % 3", "dev", "v1.0", "odd"),
+    "delete_type": _quoted_or_null(_pick(f"{_TURN} % 3", "branch", "tag", None)),
+    "page_action": _quoted_or_null(_pick(f"{_TURN} % 4", "created", "edited", "deleted", None)),
+    "page_sha": f"(case when {_TURN} % 19 = 0 then 'null' else '\"c' || {_text('event_id')} || '\"' end)",
+    # a nested value where text belongs, and text that only looks like one
+    "pull_body": f"(case when {_TURN} % 6 = 0 then '{{\"nested\":1}}' else '\"{{not json\"' end)",
+    "fork_about": f"(case when {_TURN} % 3 = 0 then '{{}}' when {_TURN} % 3 = 1 then '\"{{}}\"' else '\"about\"' end)",
+}
+
+ACTOR_JSON = (
+    "case when event_id % 101 = 0 then '{}' else "
+    + _fill('{"id":<user_id>,"login":"<user>"}', _VALUES)
+    + " end"
 )
-ORG_LOGIN = _pick("user_id % 4", _q("CausalInferenceLab", "Pseudo-Lab", "apache", "HTTPServer"))
-ORG_PARTITION = _pick(
-    "user_id % 4", _q("causal_inference_lab", "pseudo__lab", "apache", "http_server")
-)
-REPO_SHORT = _pick("event_id % 5", _q("superset", "study", "docs", "Wiki-Notes", "core"))
-REPO_NAME = (
-    f"case when event_id % 97 = 0 then null when event_id % 11 = 0 then {REPO_SHORT} "
-    f"else ({ORG_LOGIN}) || '/' || ({REPO_SHORT}) end"
-)
-USER = f"case when event_id % 101 = 0 then null else 'u' || {_t('user_id')} end"
-ACTOR_JSON = f"case when event_id % 101 = 0 then '{{}}' else {_json(id=_t('user_id'), login=_str(USER))} end"
 REPO_JSON = (
-    f"case when event_id % 97 = 0 then '{{}}' else {_json(id=_t('event_id % 5'), name=_str(f'({REPO_NAME})'))} end"
+    "case when event_id % 97 = 0 then '{}' else "
+    + _fill('{"id":<repo_id>,"name":"<repo>"}', _VALUES)
+    + " end"
 )
-ORG_JSON = f"case when event_id % 7 = 0 then null else {_json(id=_t('user_id % 4'), login=_str(f'({ORG_LOGIN})'))} end"
-CREATED_AT = "replace(substr(cast(ts as varchar(40)), 1, 19), ' ', 'T') || 'Z'"
-
-_SHA = f"'c' || {_t('event_id')} || 'abcdef0123456789'"
-_TITLE = f"'Fix ' || chr(92) || '\"' || event_type || chr(92) || '\" 가나 ' || {_t('value')} || repeat(' 다라마', 40)"
-_LOGIN_A = f"'u' || {_t('(user_id * 7 + event_id) % 50')}"
-_USER_A = _json(login=_str(_LOGIN_A), id=_t("(user_id * 7 + event_id) % 50"))
-_NUMBER = f"{_TURN} % 21"
-_PULL = dict(
-    number=f"case when {_TURN} % 29 = 0 then 'null' else {_t(_NUMBER)} end",
-    title=_str(_TITLE),
-    html_url=_str(f"'https://example.org/pull/' || {_t(_NUMBER)}"),
-    state=_str(_pick("event_id % 2", _q("open", "closed"))),
-    user=_USER_A,
+ORG_JSON = (
+    "case when event_id % 7 = 0 then null else "
+    + _fill('{"id":<org_id>,"login":"<org>"}', _VALUES)
+    + " end"
 )
-_ISSUE = dict(
-    number=f"case when {_TURN} % 31 = 0 then 'null' else {_t(_NUMBER)} end",
-    title=_str(_TITLE),
-    body=_str(f"'[body] ' || event_type"),
-    state=_str(_pick("event_id % 2", _q("open", "closed"))),
-    html_url=_str(f"'https://example.org/issues/' || {_t(_NUMBER)}"),
-    user=_USER_A,
+
+_PULL = """
+    "number":<number>,"title":"<title>","html_url":"https://example.org/pull/<event>",
+    "state":"<state>","user":{"login":"<other>","id":<other_id>}
+"""
+_ISSUE = """
+    "issue":{"number":<number>,"title":"<title>","body":"[body] <kind>","state":"<state>",
+    "html_url":"https://example.org/issues/<event>","user":{"login":"<other>","id":<other_id>}}
+"""
+_COMMENT = """
+    "id":<comment_id>,"html_url":"https://example.org/comment/<event>","body":"<title>",
+    "user":{"login":"<user>","id":<user_id>}
+"""
+_COMMIT = """
+    {"sha":"<sha>","author":{"name":"<user>","email":"<user>@example.org"},"message":"[1] <title>",
+    "distinct":<even>,"url":"https://example.org/commit/<event>"}
+"""
+_PAGE = """
+    {"page_name":"Page-<small>","title":"Page <small>","summary":null,"action":<page_action>,
+    "sha":<page_sha>,"html_url":"https://example.org/wiki/<small>"}
+"""
+_VALUES["commits"] = (
+    f"(case {_TURN} % 4 when 0 then '' when 1 then {_fill(_COMMIT, _VALUES)} "
+    f"else {_fill(_COMMIT + ',' + _COMMIT.replace('<sha>', '<sha>2').replace('[1]', '[2]'), _VALUES)} end)"
 )
-_COMMENT = dict(
-    id=f"case when {_TURN} % 17 = 0 then 'null' else {_t('event_id * 10')} end",
-    html_url=_str(f"'https://example.org/comment/' || {_t('event_id')}"),
-    body=_str(_TITLE),
-    user=_json(login=_str(USER), id=_t("user_id")),
+_VALUES["pages"] = (
+    f"(case {_TURN} % 5 when 0 then '[]' when 1 then 'null' when 2 then {_fill('[' + _PAGE + ']', _VALUES)} "
+    f"else {_fill('[' + _PAGE + ',' + _PAGE.replace('Page-', 'Other-') + ']', _VALUES)} end)"
 )
 
-
-def _commit(n: int) -> str:
-    return _json(
-        sha=_str(f"({_SHA} || '{n}')"),
-        author=_json(name=_str(USER), email=_str(f"'u' || {_t('user_id')} || '@example.org'")),
-        message=_str(f"('[{n}] ' || {_TITLE})"),
-        distinct=_pick("event_id % 2", _q("true", "false")),
-        url=_str(f"'https://example.org/commit/' || {_t('event_id')}"),
-    )
-
-
-def _page(n: int) -> str:
-    return _json(
-        page_name=_str(f"'Page-' || {_t('event_id % 9')}"),
-        title=_str(f"'Page ' || {_t('event_id % 9')}"),
-        summary="'null'",
-        action=_str(_pick(f"{_TURN} % 4", _q("created", "edited", "deleted", None))),
-        sha=_str(f"case when {_TURN} % 19 = 0 then null else {_SHA} || '{n}' end"),
-        html_url=_str(f"'https://example.org/wiki/' || {_t('event_id % 9')}"),
-    )
-
-
-_REF = _pick(f"{_TURN} % 3", _q("refs/heads/main", "refs/tags/v1", "refs/heads/feature/x"))
 _PAYLOADS = {
-    "PushEvent": _json(
-        repository_id=_t("event_id % 5"),
-        push_id=_t("event_id"),
-        size=_str(_t("event_id % 3")),
-        distinct_size="'1.5'",
-        ref=_str(f"({_REF})"),
-        head=_str(_SHA),
-        before=_str(f"({_SHA} || 'b')"),
-        commits=(
-            f"case {_TURN} % 4 when 0 then '[]' when 1 then '[' || {_commit(1)} || ']' "
-            f"else '[' || {_commit(1)} || ',' || {_commit(2)} || ']' end"
-        ),
-    ),
-    "IssuesEvent": _json(
-        action=_str(f"({_pick(f'{_TURN} % 5', _q('opened', 'closed', 'reopened', 'labeled', None))})"),
-        issue=_json(**_ISSUE),
-    ),
-    "IssueCommentEvent": _json(action="'\"created\"'", issue=_json(**_ISSUE), comment=_json(**_COMMENT)),
-    "PullRequestEvent": _json(
-        action=_str(f"({_pick(f'{_TURN} % 5', _q('opened', 'closed', 'synchronize', 'labeled', None))})"),
-        number=_t(_NUMBER),
-        pull_request=_json(
-            **_PULL,
-            draft=_pick("event_id % 2", _q("true", "false")),
-            body=f"case when {_TURN} % 6 = 0 then '{{\"nested\":1}}' else {_str(chr(39) + '{not json' + chr(39))} end",
-            head=_json(ref=_str("'feature/x'"), sha=_str(_SHA)),
-            base=_json(ref=_str("'main'"), sha=_str(f"({_SHA} || 'b')")),
-            commits=_t("event_id % 9"),
-            additions=_t("event_id % 1000"),
-            deletions=_t("event_id % 100"),
-            changed_files=_t("event_id % 12"),
-            comments=_t("event_id % 4"),
-            review_comments=_t("event_id % 6"),
-            merged=_pick("event_id % 3", _q("true", "false"), "'null'"),
-            merge_commit_sha=_str(f"case when event_id % 3 = 0 then {_SHA} end"),
-        ),
-    ),
-    "PullRequestReviewEvent": _json(
-        action="'\"submitted\"'",
-        review=_json(
-            user=_json(login=_str(USER), id=_t("user_id")),
-            state=_str(f"({_pick(f'{_TURN} % 4', _q('approved', 'commented', 'changes_requested', None))})"),
-            body="'null'",
-            html_url=_str(f"'https://example.org/review/' || {_t('event_id')}"),
-            commit_id=_str(_SHA),
-            submitted_at=_str(f"case when {_TURN} % 8 = 0 then null else {CREATED_AT} end"),
-        ),
-        pull_request=_json(**_PULL),
-    ),
-    "PullRequestReviewCommentEvent": _json(
-        action="'\"created\"'",
-        comment=_json(
-            **_COMMENT,
-            diff_hunk="'\"@@ -1 +1 @@\"'",
-            path=_str("('src/' || event_type || repeat('/deep', 20))"),
-            commit_id=_str(_SHA),
-            pull_request_review_id=_t("event_id * 3"),
-        ),
-        pull_request=_json(**_PULL),
-    ),
-    "WatchEvent": _json(action="'\"started\"'"),
-    "ForkEvent": _json(
-        forkee=_json(
-            id=_t("event_id * 5"),
-            full_name=_str(f"({USER} || '/fork')"),
-            html_url=_str(f"'https://example.org/fork/' || {_t('event_id')}"),
-            owner=_json(login=_str(USER), id=_t("user_id")),
-            description=f"case when {_TURN} % 3 = 0 then '{{}}' else {_str('event_type')} end",
-            private="'false'",
-            default_branch="'\"main\"'",
-        )
-    ),
-    "MemberEvent": _json(
-        member=_json(
-            login=_str(_LOGIN_A),
-            id=_t("(user_id * 7 + event_id) % 50"),
-            html_url=_str(f"'https://example.org/' || {_LOGIN_A}"),
-        ),
-        action=_str(f"({_pick(f'{_TURN} % 4', _q('added', 'removed', 'edited', None))})"),
-    ),
-    "CreateEvent": _json(
-        ref=_str(f"({_pick(f'{_TURN} % 4', _q(None, 'dev', 'v1.0', 'odd'))})"),
-        ref_type=_str(f"({_pick(f'{_TURN} % 4', _q('repository', 'branch', 'tag', 'other'))})"),
-        master_branch="'\"main\"'",
-        description=_str("'About ' || event_type"),
-        pusher_type="'\"user\"'",
-    ),
-    "DeleteEvent": _json(
-        ref=_str(f"({_pick(f'{_TURN} % 3', _q('dev', 'v1.0', 'odd'))})"),
-        ref_type=_str(f"({_pick(f'{_TURN} % 3', _q('branch', 'tag', None))})"),
-        pusher_type="'\"user\"'",
-    ),
-    "GollumEvent": _json(
-        pages=(
-            f"case {_TURN} % 5 when 0 then '[]' when 1 then 'null' when 2 then '[' || {_page(1)} || ']' "
-            f"else '[' || {_page(1)} || ',' || {_page(2)} || ']' end"
-        )
-    ),
+    "PushEvent": """
+        {"repository_id":<repo_id>,"push_id":<event>,"size":"<size>","distinct_size":1.5,
+        "ref":"<ref>","head":"<sha>","before":"<sha>b","commits":[<commits>]}
+    """,
+    "IssuesEvent": '{"action":<issue_action>,' + _ISSUE + "}",
+    "IssueCommentEvent": '{"action":"created",' + _ISSUE + ',"comment":{' + _COMMENT + "}}",
+    "PullRequestEvent": '{"action":<pull_action>,"number":<number>,"pull_request":{' + _PULL + """,
+        "draft":<even>,"body":<pull_body>,"head":{"ref":"feature/x","sha":"<sha>"},
+        "base":{"ref":"main","sha":"<sha>b"},"commits":<small>,"additions":<large>,
+        "deletions":<small>,"changed_files":<size>,"comments":<size>,"review_comments":<small>,
+        "merged":<third>,"merge_commit_sha":"<sha>"}}
+    """,
+    "PullRequestReviewEvent": """
+        {"action":"submitted","review":{"user":{"login":"<user>","id":<user_id>},
+        "state":<review_state>,"body":null,"html_url":"https://example.org/review/<event>",
+        "commit_id":"<sha>","submitted_at":<submitted>},"pull_request":{""" + _PULL + "}}",
+    "PullRequestReviewCommentEvent": '{"action":"created","comment":{' + _COMMENT + """,
+        "diff_hunk":"@@ -1 +1 @@","path":"src/<kind><deep>","commit_id":"<sha>",
+        "pull_request_review_id":<event_3>},"pull_request":{""" + _PULL + "}}",
+    "WatchEvent": '{"action":"started"}',
+    "ForkEvent": """
+        {"forkee":{"id":<event_5>,"full_name":"<user>/fork","html_url":"https://example.org/fork/<event>",
+        "owner":{"login":"<user>","id":<user_id>},"description":<fork_about>,"private":false,
+        "default_branch":"main"}}
+    """,
+    "MemberEvent": """
+        {"member":{"login":"<other>","id":<other_id>,"html_url":"https://example.org/<other>"},
+        "action":<member_action>}
+    """,
+    "CreateEvent": """
+        {"ref":<create_ref>,"ref_type":"<create_type>","master_branch":"main",
+        "description":"About <kind>","pusher_type":"user"}
+    """,
+    "DeleteEvent": '{"ref":"<delete_ref>","ref_type":<delete_type>,"pusher_type":"user"}',
+    "GollumEvent": '{"pages":<pages>}',
+    "ReleaseEvent": "{}",
 }
 PAYLOAD = (
-    f"case ({EVENT_TYPE}) "
-    + " ".join(f"when '{name}' then {text}" for name, text in _PAYLOADS.items())
-    + " else '{}' end"
+    "case event_id % 13 "
+    + " ".join(
+        f"when {n} then {_fill(_PAYLOADS[name], _VALUES)}" for n, name in enumerate(_TYPES)
+    )
+    + " end"
 )
 
 # The event table: NULL organizations and names without an owner are kept, so
 # the fallbacks of the staging layer are exercised.
 EVENT_COLUMNS = {
-    "id": _t("event_id"),
+    "id": _text("event_id"),
     "type": EVENT_TYPE,
     "actor": ACTOR_JSON,
     "repo": REPO_JSON,
@@ -240,56 +221,56 @@ EVENT_COLUMNS = {
 }
 
 # Archive lines as they are before ingest, with blank, broken and undated ones.
+_LINE_VALUES = _VALUES | {
+    "type": EVENT_TYPE,
+    "actor": f"({ACTOR_JSON})",
+    "repo_json": f"({REPO_JSON})",
+    "org_json": f"coalesce(({ORG_JSON}), 'null')",
+    "at": f"(case when event_id % 109 = 0 then 'x' else {CREATED_AT} end)",
+}
 LINE = (
     "case when event_id % 103 = 0 then '' when event_id % 107 = 0 then '{\"id\":\"1\",\"org\":{' else "
-    + _json(
-        id=_str(_t("event_id")),
-        type=_str(f"({EVENT_TYPE})"),
-        actor=f"({ACTOR_JSON})",
-        repo=f"({REPO_JSON})",
-        payload=_json(action="'\"started\"'"),
-        public="'true'",
-        created_at=_str(f"case when event_id % 109 = 0 then 'x' else {CREATED_AT} end"),
-        org=f"coalesce(({ORG_JSON}), 'null')",
+    + _fill(
+        """
+        {"id":"<event>","type":"<type>","actor":<actor>,"repo":<repo_json>,
+        "payload":{"action":"started"},"public":true,"created_at":"<at>","org":<org_json>}
+        """,
+        _LINE_VALUES,
     )
     + " end"
 )
 
-# A daily fact over 150 days from orders: few users per repo, many return days.
+# --- orders ------------------------------------------------------------------
+
+# A daily fact over 150 days: few users per repo, many return days.
 FACT_COLUMNS = {
     "base_date": "cast(date '2024-01-01' + cast((o_orderkey * 31 + o_custkey * 17) % 150 as int) as date)",
-    "organization": f"case when o_orderkey % 211 = 0 then null else {_pick('o_custkey % 3', _q('CausalInferenceLab', 'Pseudo-Lab', 'apache'))} end",
-    "repo_name": f"case when o_orderkey % 199 = 0 then null else {_pick('o_custkey % 4', _q('superset', 'study', 'docs', 'core'))} end",
-    "event_type": _pick(
-        "o_orderkey % 13",
-        _q(
-            "PushEvent", "IssuesEvent", "IssueCommentEvent", "PullRequestEvent",
-            "PullRequestReviewEvent", "PullRequestReviewCommentEvent", "WatchEvent", "ForkEvent",
-            "MemberEvent", "CreateEvent", "DeleteEvent", "GollumEvent", "ReleaseEvent",
-        ),
-    ),
-    "user_login": f"case when o_orderkey % 97 = 0 then null else 'u' || {_t('o_custkey')} end",
+    "organization": "case when o_orderkey % 211 = 0 then null else "
+    + _pick("o_custkey % 3", "CausalInferenceLab", "Pseudo-Lab", "apache")
+    + " end",
+    "repo_name": "case when o_orderkey % 199 = 0 then null else "
+    + _pick("o_custkey % 4", "superset", "study", "docs", "core")
+    + " end",
+    "event_type": _pick("o_orderkey % 13", *_TYPES),
+    "user_login": f"case when o_orderkey % 97 = 0 then null else 'u' || {_text('o_custkey')} end",
 }
 
-# Landed pages of follower listings: one page of one or two entries per order.
-_RELATED = _json(
-    login=_str(f"('Gh' || {_t('o_orderkey % 977')})"),
-    id=_t("o_orderkey % 977"),
-    type="'\"User\"'",
-    html_url=_str(f"('https://example.org/Gh' || {_t('o_orderkey % 977')})"),
-    site_admin="'false'",
+# Landed pages of follower listings: one page of up to two entries per order.
+_RELATED = _fill(
+    '{"login":"Gh<n>","id":<n>,"type":"User","html_url":"https://example.org/Gh<n>","site_admin":false}',
+    {"n": _text("o_orderkey % 977")},
 )
 PAGE_COLUMNS = {
-    "username": f"'CamelUser-' || {_t('o_custkey')}",
-    "relation_type": "case when o_orderkey % 2 = 0 then 'follower' else 'following' end",
-    "page": f"case when o_orderkey % 41 = 0 then '[]' when o_orderkey % 43 = 0 then '{{\"message\":\"Not Found\"}}' "
+    "username": f"'CamelUser-' || {_text('o_custkey')}",
+    "relation_type": _pick("o_orderkey % 2", "follower", "following"),
+    "page": "case when o_orderkey % 41 = 0 then '[]' when o_orderkey % 43 = 0 then '{\"message\":\"Not Found\"}' "
     f"when o_orderkey % 3 = 0 then '[' || {_RELATED} || ',' || {_RELATED} || ']' else '[' || {_RELATED} || ']' end",
-    "collected_at": "replace(substr(cast(o_orderdate as varchar(40)), 1, 19), ' ', 'T') || 'Z'",
+    "collected_at": "cast(cast(date '2024-01-01' + cast(o_orderkey % 40 as int) as date) as varchar(40)) "
+    f"|| 'T' || lpad({_text('o_custkey % 24')}, 2, '0') || ':59:59Z'",
 }
 
 
-def _spark(expression: str) -> str:
-    return expression.replace("varchar(40)", "string")
+# --- reading -----------------------------------------------------------------
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -297,7 +278,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
-    return df.selectExpr(*[f"{_spark(text)} as `{name}`" for name, text in columns.items()])
+    return df.selectExpr(
+        *[f"{text.replace('varchar(40)', 'string')} as `{name}`" for name, text in columns.items()]
+    )
 
 
 def filtered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -305,11 +288,9 @@ def filtered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JSON lines in a `value` column, with the UTC day and hour of each."""
-    return _select(
-        _table(spark, sf_dir, "events"),
-        {"value": LINE, "utc_day": "cast(ts as date)", "utc_hour": "extract(hour from ts)"},
-    )
+    """JSON lines in a `value` column, with the UTC day of each."""
+    columns = {"value": LINE, "utc_day": "cast(ts as date)"}
+    return _select(_table(spark, sf_dir, "events"), columns)
 
 
 def order_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
