@@ -273,8 +273,15 @@ PAGE_COLUMNS = {
 # --- reading -----------------------------------------------------------------
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def _table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """The table; a file too small to be split is spread over the cores.
+
+    Only a scan narrower than the session is touched. One of a large table has
+    more tasks than cores and is read as it lies.
+    """
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= min(cores, 8) else df.repartition(cores, key)
 
 
 def _select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -284,19 +291,19 @@ def _select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 
 def filtered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _select(_table(spark, sf_dir, "events"), EVENT_COLUMNS)
+    return _select(_table(spark, sf_dir, "events", "event_id"), EVENT_COLUMNS)
 
 
 def archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON lines in a `value` column, with the UTC day of each."""
     columns = {"value": LINE, "utc_day": "cast(ts as date)"}
-    return _select(_table(spark, sf_dir, "events"), columns)
+    return _select(_table(spark, sf_dir, "events", "event_id"), columns)
 
 
 def order_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _select(_table(spark, sf_dir, "orders"), FACT_COLUMNS)
+    rows = _select(_table(spark, sf_dir, "orders", "o_orderkey"), FACT_COLUMNS)
     return rows.groupBy(*FACT_COLUMNS).count().withColumnRenamed("count", "event_count")
 
 
 def relation_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _select(_table(spark, sf_dir, "orders"), PAGE_COLUMNS)
+    return _select(_table(spark, sf_dir, "orders", "o_orderkey"), PAGE_COLUMNS)
