@@ -100,8 +100,8 @@ def _scalar_helpers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _ingest_day_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = _tables(spark)
     lines = archive.read_lines(spark, _line_files(spark, sf_dir, tables))
-    tables.append("gh_archive_filtered", archive.filter_events(lines), archive.EVENT_PARTITIONS)
-    return archive.partition_summary(tables.read("gh_archive_filtered", schemas.FILTERED_EVENT))
+    build.append_events(tables, archive.filter_events(lines))
+    return archive.partition_summary(tables.read(build.EVENTS, schemas.FILTERED_EVENT))
 
 
 def _loaded(spark: SparkSession, sf_dir: str, rows: DataFrame) -> tuple[Tables, date, date]:

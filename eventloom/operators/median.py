@@ -8,6 +8,8 @@ middle, and only the values of those are looked at one by one.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,11 +20,12 @@ def exact_median(
 ) -> DataFrame:
     """Median (mean of the two middle values) and count of an integer column.
 
-    `width` is the size of a value range; NULL values are left out. At most
-    `width` distinct values of one range meet in a task.
+    `width` is the size of a value range; NULL values and groups are left out.
+    At most `width` distinct values of one range meet in a task.
     """
+    known = reduce(and_, [F.col(name).isNotNull() for name in (*group, value)])
     counted = (
-        rows.where(F.col(value).isNotNull())
+        rows.where(known)
         .groupBy(*group, F.col(value).alias("_v"))
         .agg(F.count("*").alias("_n"))
         .withColumn("_range", F.floor(F.col("_v") / width))

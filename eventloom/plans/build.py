@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
 from .. import schemas
+from ..sources.archive import EVENT_PARTITIONS
 from ..sources.tables import Tables, day_range, run_day
 from . import dims, events, facts, marts
-from .event_fields import EVENT_SHAPES
+from .event_fields import EVENT_SHAPES, EventShape
 from .feed import feed_from_tables
 
 EVENTS = "gh_archive_filtered"
@@ -44,7 +45,11 @@ def _fact(tables: Tables) -> DataFrame:
     return tables.read("dw_activity_daily", schemas.ACTIVITY_DAILY)
 
 
-def _typed(shape) -> Callable[[Tables, Days], DataFrame]:
+def _read_typed(tables: Tables, name: str) -> DataFrame:
+    return tables.read(name, events.typed_schema(EVENT_SHAPES[name]))
+
+
+def _typed(shape: EventShape) -> Callable[[Tables, Days], DataFrame]:
     return lambda tables, days: events.typed_events(_events(tables), shape, days)
 
 
@@ -55,10 +60,10 @@ DAILY: list[DailyTable] = [
         "dw_activity_daily",
         lambda t, d: facts.dw_activity_daily(t.read("stg_gh_events", schemas.STG_EVENTS), d),
     ),
-    DailyTable("dw_watch_daily", lambda t, d: facts.dw_watch_daily(t.read("dl_watch_events"), d)),
+    DailyTable("dw_watch_daily", lambda t, d: facts.dw_watch_daily(_read_typed(t, "dl_watch_events"), d)),
     DailyTable(
         "dw_activity_feed",
-        lambda t, d: feed_from_tables({name: t.read(name) for name in EVENT_SHAPES}, d),
+        lambda t, d: feed_from_tables({name: _read_typed(t, name) for name in EVENT_SHAPES}, d),
     ),
     DailyTable(
         "dm_watch_summary",
@@ -70,7 +75,7 @@ WHOLE: list[WholeTable] = [
     WholeTable("dim_event_type", lambda t: dims.dim_event_type(_fact(t))),
     WholeTable("dim_organization", lambda t: dims.dim_organization(_fact(t))),
     WholeTable("dim_repository", lambda t: dims.dim_repository(_fact(t))),
-    WholeTable("dim_user", lambda t: dims.dim_user(_fact(t), t.read("dl_create_events"))),
+    WholeTable("dim_user", lambda t: dims.dim_user(_fact(t), _read_typed(t, "dl_create_events"))),
     WholeTable(
         "dm_active_users_daily", lambda t: marts.dm_active_users_daily(_fact(t)), "base_date"
     ),
@@ -103,6 +108,15 @@ DECLARED: dict[str, StructType] = {
 }
 
 
+def append_events(tables: Tables, filtered: DataFrame) -> None:
+    """Append ingested events, with rows of one type lying together.
+
+    A typed table then skips the row groups and pages of the other types by
+    their statistics, instead of reading every payload.
+    """
+    tables.append(EVENTS, filtered, EVENT_PARTITIONS, sort_by=["type"])
+
+
 def load_days(tables: Tables, table: DailyTable, days: Days) -> None:
     """Replace the given days of one table.
 
@@ -150,8 +164,7 @@ def create_views(tables: Tables) -> None:
 
 def declare_tables(tables: Tables) -> None:
     """Register the daily tables in the catalog with their declared schemas."""
-    empty = tables.spark.createDataFrame([], schemas.FILTERED_EVENT)
-    typed = {name: events.typed_events(empty, shape).schema for name, shape in EVENT_SHAPES.items()}
+    typed = {name: events.typed_schema(shape) for name, shape in EVENT_SHAPES.items()}
     for name, schema in (DECLARED | typed).items():
         tables.declare(name, schema, ["base_date"])
 

@@ -7,7 +7,9 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from .. import schemas
 from ..functions import columns as c
 from ..functions import payload
 from .event_fields import EVENT_SHAPES, PUSH, EventShape
@@ -68,6 +70,16 @@ def output_columns(shape: EventShape) -> list[str]:
     return [*names, "ts_kst", "base_date"]
 
 
+def typed_schema(shape: EventShape) -> StructType:
+    """The declared schema of a typed table."""
+    kinds = {name: kind for name, _, kind in (*shape.fields, *shape.item_fields)}
+    kinds |= {name: "boolean" for name, _, _ in shape.flags}
+    kinds |= {"is_branch_ref": "boolean", "is_tag_ref": "boolean"} if shape is PUSH else {}
+    kinds |= {"ts_kst": "timestamp_ntz", "base_date": "date"}
+    names = output_columns(shape)
+    return schemas.flat(", ".join(f"{name} {kinds.get(name, 'string')}" for name in names))
+
+
 def typed_events(
     events: DataFrame, shape: EventShape, days: Iterable[date] | None = None
 ) -> DataFrame:

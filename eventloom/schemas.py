@@ -7,7 +7,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 _TYPE_NAMES = {"bigint": "long", "int": "integer"}
 
 
-def _schema(columns: str) -> StructType:
+def flat(columns: str) -> StructType:
     """Flat schema from 'name type, name type, ...' (needs no session)."""
     schema = StructType()
     for column in columns.split(","):
@@ -30,45 +30,45 @@ def _records(name: str, *fields: StructField) -> StructField:
 
 # One line of an hourly archive file. Nested objects are kept as JSON text: a
 # STRING field makes the JSON reader hand over the object's own text.
-RAW_EVENT = _schema(
+RAW_EVENT = flat(
     "id string, type string, actor string, repo string, org string, payload string, "
     "public string, created_at string"
 )
 
-FILTERED_EVENT = _schema(
+FILTERED_EVENT = flat(
     "id string, type string, actor string, repo string, org string, payload string, "
     "public boolean, created_at timestamp, ts_utc timestamp, dt_utc date, "
     "ts_kst timestamp_ntz, dt_kst date, organization string"
 )
 
-STG_EVENTS = _schema(
+STG_EVENTS = flat(
     "event_id string, event_type string, repo_name string, organization string, "
     "actor_login string, ts_kst timestamp_ntz, base_date date"
 )
 
-ACTIVITY_DAILY = _schema(
+ACTIVITY_DAILY = flat(
     "base_date date, organization string, repo_name string, event_type string, "
     "user_login string, event_count bigint"
 )
 
-WATCH_DAILY = _schema(
+WATCH_DAILY = flat(
     "base_date date, organization string, repo_name string, user_login string, "
     "watch_started_count bigint"
 )
 
-ACTIVITY_FEED = _schema(
+ACTIVITY_FEED = flat(
     "activity_id string, source_event_type string, organization string, repo_name string, "
     "actor_login string, activity_text string, ts_kst timestamp_ntz, base_date date"
 )
 
-WATCH_SUMMARY = _schema(
+WATCH_SUMMARY = flat(
     "base_date date, organization string, repo string, unique_watchers bigint"
 )
 
-DIM_EVENT_TYPE = _schema("event_type string")
-DIM_ORGANIZATION = _schema("organization string, first_seen_date date")
-DIM_REPOSITORY = _schema("organization string, repo_name string, first_seen_date date")
-DIM_USER = _schema(
+DIM_EVENT_TYPE = flat("event_type string")
+DIM_ORGANIZATION = flat("organization string, first_seen_date date")
+DIM_REPOSITORY = flat("organization string, repo_name string, first_seen_date date")
+DIM_USER = flat(
     "user_login string, first_seen_date date, last_seen_date date, "
     "first_seen_organization string, first_seen_repo string, "
     "last_seen_organization string, last_seen_repo string, "
@@ -77,7 +77,7 @@ DIM_USER = _schema(
     "has_watch_event boolean, is_builder boolean, builder_first_date date"
 )
 
-ACTIVE_USERS_DAILY = _schema(
+ACTIVE_USERS_DAILY = flat(
     "base_date date, organization string, repo_name string, "
     "dau_any bigint, dau_light bigint, dau_medium bigint, dau_heavy bigint, "
     "wau_any bigint, wau_light bigint, wau_medium bigint, wau_heavy bigint, "
@@ -85,7 +85,7 @@ ACTIVE_USERS_DAILY = _schema(
     "stickiness_ratio double, new_users_count bigint, returning_users_count bigint"
 )
 
-ORG_OVERVIEW = _schema(
+ORG_OVERVIEW = flat(
     "activity_date date, aggregation_level string, organization string, "
     "total_repos_count bigint, active_repos_count bigint, total_contributors_count bigint, "
     "new_contributors_count bigint, active_contributors_count bigint, "
@@ -94,7 +94,7 @@ ORG_OVERVIEW = _schema(
     "total_events_count bigint"
 )
 
-USER_ACTIVITY = _schema(
+USER_ACTIVITY = flat(
     "activity_date date, aggregation_level string, user_login string, organization string, "
     "repo_name string, total_events_count bigint, commits_count bigint, pr_count bigint, "
     "pr_review_count bigint, pr_review_comment_count bigint, issue_count bigint, "
@@ -103,7 +103,7 @@ USER_ACTIVITY = _schema(
     "first_activity_date date, last_activity_date date"
 )
 
-REPO_CONTRIBUTORS = _schema(
+REPO_CONTRIBUTORS = flat(
     "period_start_date date, period_end_date date, aggregation_level string, "
     "organization string, repo_name string, user_login string, total_events_count bigint, "
     "commits_count bigint, pr_count bigint, pr_review_count bigint, "
@@ -112,7 +112,7 @@ REPO_CONTRIBUTORS = _schema(
     "active_days_count bigint, first_activity_date date, last_activity_date date"
 )
 
-USER_RETENTION = _schema(
+USER_RETENTION = flat(
     "cohort_date date, organization string, repo_name string, days_since_cohort int, "
     "retention_check_date date, cohort_size bigint, cohort_activity_type string, "
     "retained_users_any bigint, retained_users_light bigint, retained_users_medium bigint, "
@@ -120,7 +120,7 @@ USER_RETENTION = _schema(
     "retention_rate_medium double, retention_rate_heavy double"
 )
 
-COHORT_SUMMARY = _schema(
+COHORT_SUMMARY = flat(
     "cohort_month string, organization string, repo_name string, cohort_size bigint, "
     "light_users_count bigint, medium_users_count bigint, heavy_users_count bigint, "
     "day1_retention double, day7_retention double, day14_retention double, "
@@ -129,11 +129,11 @@ COHORT_SUMMARY = _schema(
 )
 
 # A landed page of the relations listing: one user, one kind, one JSON array.
-RELATION_PAGE = _schema(
+RELATION_PAGE = flat(
     "username string, relation_type string, page string, collected_at string"
 )
 
-USER_RELATIONS = _schema(
+USER_RELATIONS = flat(
     "username string, relation_type string, related_login string, related_id bigint, "
     "related_type string, related_html_url string, raw string, collected_at timestamp, "
     "ts_utc timestamp, dt_utc date, ts_kst timestamp_ntz, dt_kst date"

@@ -33,15 +33,15 @@ def local_session(cores: str = "*", name: str = "eventloom", partitions: int = 8
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: the cluster's `spark.checkpoint.dir`.
 
-    Only where none is named (a local test session) a temporary folder is taken.
+    Only a local session that names none gets a temporary folder of its own.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="eventloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    own = spark.sparkContext.getCheckpointDir()
+    if own is None:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="eventloom-"))
+        own = spark.sparkContext.getCheckpointDir()
+    return own
