@@ -86,20 +86,24 @@ def percent(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, F.round(scaled, 2)).otherwise(F.lit(0.0))
 
 
-def phrase(template: str, **parts: Column) -> Column:
-    """Fill a '{name}' template with columns; NULL if any filled part is NULL."""
+def phrase(template: str, **parts: str) -> str:
+    """SQL text that fills a '{name}' template with expressions.
+
+    The result is NULL if any filled part is NULL.
+    """
     pieces = []
     for literal, name in re.findall(r"([^{}]*)(?:\{(\w+)\})?", template):
         if literal:
-            pieces.append(F.lit(literal))
+            escaped = literal.replace("\\", "\\\\").replace("'", "\\'")
+            pieces.append(f"'{escaped}'")
         if name:
             pieces.append(parts[name])
-    return F.concat(*pieces)
+    return f"concat({', '.join(pieces)})"
 
 
-def or_blank(column: Column, length: int | None = None) -> Column:
-    filled = F.coalesce(column, F.lit(""))
-    return filled if length is None else F.substring(filled, 1, length)
+def or_blank(name: str, length: int | None = None) -> str:
+    filled = f"coalesce({name}, '')"
+    return filled if length is None else f"substring({filled}, 1, {length})"
 
 
 # --- activity classes and weights -------------------------------------------

@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
 
@@ -51,15 +49,8 @@ def with_parsed(
     return rows.select("*", F.explode(F.array(parsed)).alias(name))
 
 
-def _leaf(parsed: str, path: str) -> Column:
-    leaf = F.col(parsed)
-    for part in path.split("."):
-        leaf = leaf.getField(part)
-    return leaf
-
-
-def _bracketed(leaf: Column) -> Column:
-    return F.substring(leaf, 1, 1).isin("{", "[")
+def _leaf(parsed: str, path: str) -> str:
+    return ".".join([parsed, *[f"`{part}`" for part in path.split(".")]])
 
 
 def with_fields(rows: DataFrame, text: str, name: str, fields: Sequence[Field]) -> DataFrame:
@@ -69,18 +60,19 @@ def with_fields(rows: DataFrame, text: str, name: str, fields: Sequence[Field])
     JSON text, and prose may start with a bracket too, so the payload's types
     are looked at, but only in rows where some field does start with one.
     """
-    texts = [path for _, path, kind in fields if kind == "string"]
+    bracketed = "substring({}, 1, 1) IN ('{{', '[')"
+    texts = [_leaf(name, path) for _, path, kind in fields if kind == "string"]
     if texts:
-        doubt = reduce(or_, [_bracketed(_leaf(name, path)) for path in texts])
-        rows = rows.withColumn("_types", F.when(doubt, F.try_parse_json(F.col(text))))
+        doubt = " OR ".join(bracketed.format(leaf) for leaf in texts)
+        parsed = f"CASE WHEN {doubt} THEN try_parse_json({text}) END"
+        rows = rows.withColumn("_types", F.expr(parsed))
     taken = []
     for field, path, kind in fields:
         leaf = _leaf(name, path)
         if kind == "string":
-            found = F.schema_of_variant(F.try_variant_get("_types", f"$.{path}", "variant"))
-            nested = _bracketed(leaf) & found.rlike("^(OBJECT|ARRAY)")
-            leaf = F.when(~nested, leaf)
+            found = f"schema_of_variant(try_variant_get(_types, '$.{path}', 'variant'))"
+            nested = f"{bracketed.format(leaf)} AND {found} RLIKE '^(OBJECT|ARRAY)'"
+            taken.append(f"CASE WHEN NOT ({nested}) THEN {leaf} END AS `{field}`")
         else:
-            leaf = leaf.try_cast(kind)
-        taken.append(leaf.alias(field))
-    return rows.select("*", *taken).drop("_types")
+            taken.append(f"try_cast({leaf} AS {kind}) AS `{field}`")
+    return rows.selectExpr("*", *taken).drop("_types")

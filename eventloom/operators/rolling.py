@@ -60,32 +60,30 @@ def rolling_distinct(
     )
 
     names = [f"{window}_{suffix}" for window in windows for suffix in flags]
-    first_day = {f"dau_{suffix}": F.col(f"_in_{suffix}").cast("int") for suffix in flags}
-    is_new = seen & F.col("_previous").isNull()
-    first_day["new_count"] = is_new.cast("int")
-    gap = F.datediff(F.col(day), F.col("_previous"))
-    first_day["kept_count"] = F.coalesce(seen & (gap == 1), F.lit(False)).cast("int")
+    seen_sql, gap = f"`{entity}` IS NOT NULL", f"datediff(`{day}`, _previous)"
+    first_day = {f"dau_{suffix}": f"cast(_in_{suffix} AS int)" for suffix in flags}
+    first_day["new_count"] = f"int({seen_sql} AND _previous IS NULL)"
+    first_day["kept_count"] = f"coalesce(int({seen_sql} AND {gap} = 1), 0)"
     if return_gap is not None:
-        first_day["returning_count"] = F.coalesce(seen & (gap >= return_gap), F.lit(False)).cast("int")
+        first_day["returning_count"] = f"coalesce(int({seen_sql} AND {gap} >= {return_gap}), 0)"
 
-    def step(at: Column, values: Mapping[str, Column]) -> Column:
-        fields = [at.alias("at"), F.lit(1 if "_spine" in values else 0).alias("_spine")]
-        for name in [*first_day, *names]:
-            fields.append(values.get(name, F.lit(0)).cast("int").alias(name))
-        return F.struct(*fields)
+    def step(at: str, values: Mapping[str, str]) -> str:
+        fields = [f"'at', {at}"]
+        fields += [f"'{name}', {values.get(name, '0')}" for name in ("_spine", *first_day, *names)]
+        return f"named_struct({', '.join(fields)})"
 
-    opening = {"_spine": F.lit(1)} | first_day
+    opening = {"_spine": "1"} | first_day
     steps = []
     for suffix in flags:
         for window, length in windows.items():
-            opening[f"{window}_{suffix}"] = F.col(f"_in_{suffix}").cast("int")
-            end = F.least(F.date_add(F.col(day), length), F.col(f"_next_{suffix}"))
-            closing = step(end, {f"{window}_{suffix}": F.lit(-1)})
-            steps.append(F.when(F.col(f"_in_{suffix}"), closing))
-    steps.insert(0, step(F.col(day), opening))
-    exploded = rows.select(*group, F.explode(F.array_compact(F.array(*steps))).alias("_s")).select(
-        *group, "_s.*"
-    )
+            name = f"{window}_{suffix}"
+            opening[name] = f"cast(_in_{suffix} AS int)"
+            end = f"least(date_add(`{day}`, {length}), _next_{suffix})"
+            steps.append(f"CASE WHEN _in_{suffix} THEN {step(end, {name: '-1'})} END")
+    steps.insert(0, step(f"`{day}`", opening))
+    exploded = rows.selectExpr(
+        *[f"`{name}`" for name in group], f"explode(array_compact(array({', '.join(steps)}))) AS _s"
+    ).select(*group, "_s.*")
 
     per_day = exploded.groupBy(*group, "at").agg(
         F.max("_spine").alias("_spine"),

@@ -98,11 +98,11 @@ def digest_prompts(blocks: DataFrame, template: str) -> DataFrame:
     """Fill a prompt with week and text of each block; nothing is sent anywhere."""
     prompt = phrase(
         template,
-        week_start=F.col("week_start").cast("string"),
-        week_end=F.col("week_end").cast("string"),
-        tsv=F.col("tsv"),
+        week_start="cast(week_start AS string)",
+        week_end="cast(week_end AS string)",
+        tsv="tsv",
     )
-    return blocks.withColumn("prompt", prompt).drop("tsv")
+    return blocks.withColumn("prompt", F.expr(prompt)).drop("tsv")
 
 
 def single_group(extract: DataFrame, **key: str) -> DataFrame:

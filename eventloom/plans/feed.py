@@ -2,137 +2,126 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Iterable, Mapping
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .. import schemas
 from ..functions import fixed, payload
 from ..functions.columns import or_blank, phrase
 from . import event_fields as ef
 from .events import _named, _push_extras, on_days
 
-FEED_COLUMNS = schemas.ACTIVITY_FEED.names
 
+# A sentence is a pair of SQL expressions over a typed table: activity id and text.
+Sentence = tuple[str, str]
 
-def _text(name: str) -> Column:
-    return F.col(name).cast("string")
 
-
-def _suffixed(*parts: Column, present: Column) -> Column:
+def _suffixed(present: str, *parts: str) -> str:
     """event_id:part:part where `present` is known, else event_id alone."""
-    joined = F.col("event_id")
-    for part in parts:
-        joined = F.concat(joined, F.lit(":"), part)
-    return F.when(present.isNotNull(), joined).otherwise(F.col("event_id"))
+    joined = ", ':', ".join(["event_id", *parts])
+    return f"CASE WHEN {present} IS NOT NULL THEN concat({joined}) ELSE event_id END"
+
+
+def _by_value(column: str, sentences: dict[str, str], other: str) -> str:
+    cases = " ".join(f"WHEN '{value}' THEN {text}" for value, text in sentences.items())
+    return f"CASE {column} {cases} ELSE {other} END"
+
+
+def _action(column: str) -> str:
+    return f"coalesce({column}, '{fixed.FEED_DEFAULT_ACTION}')"
 
 
-def _by_action(action: str, known: Mapping[str, Column], other: Column) -> Column:
-    text = other
-    for value, sentence in known.items():
-        text = F.when(F.col(action) == value, sentence).otherwise(text)
-    return text
+def _number(column: str) -> str:
+    return f"cast({column} AS string)"
 
 
-def _push() -> tuple[Column, Column]:
+def _push() -> Sentence:
     text = phrase(
         fixed.FEED_PUSH,
-        user=F.col("user_login"),
-        repo=or_blank(F.col("repo_name")),
-        ref=or_blank(F.col("ref_name")),
-        sha=or_blank(F.col("commit_sha"), 7),
-        message=or_blank(F.col("commit_message"), 120),
+        user="user_login",
+        repo=or_blank("repo_name"),
+        ref=or_blank("ref_name"),
+        sha=or_blank("commit_sha", 7),
+        message=or_blank("commit_message", 120),
     )
-    return _suffixed(F.col("commit_sha"), present=F.col("commit_sha")), text
+    return _suffixed("commit_sha", "commit_sha"), text
 
 
-def _issues() -> tuple[Column, Column]:
-    parts = {"user": F.col("user_login"), "number": _text("issue_number")}
-    text = _by_action(
+def _issues() -> Sentence:
+    parts = {"user": "user_login", "number": _number("issue_number")}
+    text = _by_value(
         "issue_action",
         {
-            "opened": phrase(
-                fixed.FEED_ISSUE_OPENED, **parts, title=or_blank(F.col("issue_title"), 120)
-            ),
+            "opened": phrase(fixed.FEED_ISSUE_OPENED, **parts, title=or_blank("issue_title", 120)),
             "closed": phrase(fixed.FEED_ISSUE_CLOSED, **parts),
             "reopened": phrase(fixed.FEED_ISSUE_REOPENED, **parts),
         },
         phrase(fixed.FEED_ISSUE_OTHER, **parts, action=_action("issue_action")),
     )
-    return F.col("event_id"), text
+    return "event_id", text
 
 
-def _action(column: str) -> Column:
-    return F.coalesce(F.col(column), F.lit(fixed.FEED_DEFAULT_ACTION))
-
-
-def _issue_comment() -> tuple[Column, Column]:
+def _issue_comment() -> Sentence:
     text = phrase(
         fixed.FEED_ISSUE_COMMENT,
-        user=F.col("user_login"),
-        number=_text("issue_number"),
-        body=or_blank(F.col("comment_body"), 120),
+        user="user_login",
+        number=_number("issue_number"),
+        body=or_blank("comment_body", 120),
     )
-    return _suffixed(_text("comment_id"), present=F.col("comment_id")), text
+    return _suffixed("comment_id", _number("comment_id")), text
 
 
-def _pull_request() -> tuple[Column, Column]:
-    parts = {"user": F.col("user_login"), "number": _text("pr_number")}
-    closed = F.when(
-        F.coalesce(F.col("is_merged"), F.lit(False)), phrase(fixed.FEED_PR_MERGED, **parts)
-    ).otherwise(phrase(fixed.FEED_PR_CLOSED, **parts))
-    text = _by_action(
+def _pull_request() -> Sentence:
+    parts = {"user": "user_login", "number": _number("pr_number")}
+    merged, closed = (phrase(text, **parts) for text in (fixed.FEED_PR_MERGED, fixed.FEED_PR_CLOSED))
+    text = _by_value(
         "pr_action",
         {
-            "opened": phrase(fixed.FEED_PR_OPENED, **parts, title=or_blank(F.col("pr_title"), 120)),
-            "closed": closed,
+            "opened": phrase(fixed.FEED_PR_OPENED, **parts, title=or_blank("pr_title", 120)),
+            "closed": f"CASE WHEN is_merged THEN {merged} ELSE {closed} END",
             "synchronize": phrase(fixed.FEED_PR_SYNCHRONIZED, **parts),
         },
         phrase(fixed.FEED_PR_OTHER, **parts, action=_action("pr_action")),
     )
-    return F.col("event_id"), text
+    return "event_id", text
 
 
-def _review() -> tuple[Column, Column]:
-    state = or_blank(F.col("review_state"))
-    key = _suffixed(_text("pr_number"), state, present=F.col("review_submitted_at_utc"))
-    text = phrase(
-        fixed.FEED_PR_REVIEW, user=F.col("user_login"), number=_text("pr_number"), state=state
-    )
-    return key, text
+def _review() -> Sentence:
+    state, number = or_blank("review_state"), _number("pr_number")
+    text = phrase(fixed.FEED_PR_REVIEW, user="user_login", number=number, state=state)
+    return _suffixed("review_submitted_at_utc", number, state), text
 
 
-def _review_comment() -> tuple[Column, Column]:
+def _review_comment() -> Sentence:
     text = phrase(
         fixed.FEED_PR_REVIEW_COMMENT,
-        user=F.col("user_login"),
-        number=_text("pr_number"),
-        path=or_blank(F.col("file_path"), 80),
+        user="user_login",
+        number=_number("pr_number"),
+        path=or_blank("file_path", 80),
     )
-    return _suffixed(_text("review_comment_id"), present=F.col("review_comment_id")), text
+    return _suffixed("review_comment_id", _number("review_comment_id")), text
 
 
-def _watch() -> tuple[Column, Column]:
-    text = phrase(fixed.FEED_WATCH, user=F.col("user_login"), repo=or_blank(F.col("repo_name")))
-    return F.col("event_id"), text
+def _watch() -> Sentence:
+    return "event_id", phrase(fixed.FEED_WATCH, user="user_login", repo=or_blank("repo_name"))
 
 
-def _fork() -> tuple[Column, Column]:
+def _fork() -> Sentence:
     text = phrase(
         fixed.FEED_FORK,
-        user=F.col("user_login"),
-        repo=or_blank(F.col("repo_name")),
-        forkee=or_blank(F.col("forkee_full_name")),
+        user="user_login",
+        repo=or_blank("repo_name"),
+        forkee=or_blank("forkee_full_name"),
     )
-    return F.col("event_id"), text
+    return "event_id", text
 
 
-def _member() -> tuple[Column, Column]:
-    parts = {"user": F.col("user_login"), "member": or_blank(F.col("member_login"))}
-    text = _by_action(
+def _member() -> Sentence:
+    parts = {"user": "user_login", "member": or_blank("member_login")}
+    text = _by_value(
         "member_action",
         {
             "added": phrase(fixed.FEED_MEMBER_ADDED, **parts),
@@ -140,48 +129,48 @@ def _member() -> tuple[Column, Column]:
         },
         phrase(fixed.FEED_MEMBER_OTHER, **parts),
     )
-    return F.col("event_id"), text
+    return "event_id", text
 
 
-def _create() -> tuple[Column, Column]:
-    parts = {"user": F.col("user_login"), "ref": or_blank(F.col("created_ref_name"))}
-    text = _by_action(
+def _create() -> Sentence:
+    parts = {"user": "user_login", "ref": or_blank("created_ref_name")}
+    text = _by_value(
         "created_ref_type",
         {
-            "repository": phrase(fixed.FEED_CREATE_REPOSITORY, user=parts["user"]),
+            "repository": phrase(fixed.FEED_CREATE_REPOSITORY, user="user_login"),
             "branch": phrase(fixed.FEED_CREATE_BRANCH, **parts),
             "tag": phrase(fixed.FEED_CREATE_TAG, **parts),
         },
         phrase(fixed.FEED_CREATE_OTHER, **parts),
     )
-    return F.col("event_id"), text
+    return "event_id", text
 
 
-def _delete() -> tuple[Column, Column]:
-    parts = {"user": F.col("user_login"), "ref": or_blank(F.col("deleted_ref_name"))}
-    text = _by_action(
+def _delete() -> Sentence:
+    parts = {"user": "user_login", "ref": or_blank("deleted_ref_name")}
+    text = _by_value(
         "deleted_ref_type",
         {
             "branch": phrase(fixed.FEED_DELETE_BRANCH, **parts),
             "tag": phrase(fixed.FEED_DELETE_TAG, **parts),
         },
-        phrase(fixed.FEED_DELETE_OTHER, **parts, kind=or_blank(F.col("deleted_ref_type"))),
+        phrase(fixed.FEED_DELETE_OTHER, **parts, kind=or_blank("deleted_ref_type")),
     )
-    return F.col("event_id"), text
+    return "event_id", text
 
 
-def _gollum() -> tuple[Column, Column]:
+def _gollum() -> Sentence:
     text = phrase(
         fixed.FEED_GOLLUM,
-        user=F.col("user_login"),
-        title=or_blank(F.col("page_title")),
+        user="user_login",
+        title=or_blank("page_title"),
         action=_action("page_action"),
     )
-    return _suffixed(F.col("page_sha"), present=F.col("page_sha")), text
+    return _suffixed("page_sha", "page_sha"), text
 
 
-SENTENCES: dict[str, tuple[ef.EventShape, Callable[[], tuple[Column, Column]]]] = {
-    shape.event_type: (shape, sentence)
+SENTENCES: dict[str, tuple[ef.EventShape, Sentence]] = {
+    shape.event_type: (shape, sentence())
     for shape, sentence in (
         (ef.PUSH, _push),
         (ef.ISSUES, _issues),
@@ -199,26 +188,27 @@ SENTENCES: dict[str, tuple[ef.EventShape, Callable[[], tuple[Column, Column]]]]
 }
 
 
+def _feed_rows(rows: DataFrame, event_type: str, key: str, text: str) -> DataFrame:
+    return rows.selectExpr(
+        f"{key} AS activity_id",
+        f"{event_type} AS source_event_type",
+        "organization",
+        "repo_name",
+        "user_login AS actor_login",
+        f"{text} AS activity_text",
+        "ts_kst",
+        "base_date",
+    )
+
+
 def feed_from_tables(
     tables: Mapping[str, DataFrame], days: Iterable[date] | None = None
 ) -> DataFrame:
     """The feed over stored typed tables: one branch per table, all pruned by day."""
-    branches = []
-    for event_type, (shape, sentence) in SENTENCES.items():
-        key, text = sentence()
-        rows = on_days(tables[shape.table], days, "base_date")
-        branches.append(
-            rows.select(
-                key.alias("activity_id"),
-                F.lit(event_type).alias("source_event_type"),
-                "organization",
-                "repo_name",
-                F.col("user_login").alias("actor_login"),
-                text.alias("activity_text"),
-                "ts_kst",
-                "base_date",
-            )
-        )
+    branches = [
+        _feed_rows(on_days(tables[shape.table], days, "base_date"), f"'{event_type}'", key, text)
+        for event_type, (shape, (key, text)) in SENTENCES.items()
+    ]
     return reduce(DataFrame.unionByName, branches)
 
 
@@ -255,30 +245,17 @@ def dw_activity_feed(events: DataFrame, days: Iterable[date] | None = None) -> D
     own = on_days(events, days).where(F.col("type").isin(*SENTENCES))
     rows = _named(own, "user_login", "type", "payload")
     rows = payload.with_parsed(rows, "payload", "_p", fields, ("commits", "pages"))
-    no_item = F.array(F.lit(None).cast("string"))
-    items = (
-        F.when(F.col("type") == ef.PUSH.event_type, F.col("_p.commits"))
-        .when(F.col("type") == ef.GOLLUM.event_type, F.col("_p.pages"))
-        .otherwise(no_item)
+    items = F.expr(
+        f"CASE type WHEN '{ef.PUSH.event_type}' THEN _p.commits "
+        f"WHEN '{ef.GOLLUM.event_type}' THEN _p.pages ELSE array(cast(NULL AS string)) END"
     )
     rows = payload.with_fields(rows, "payload", "_p", fields).withColumn("_item", F.explode(items))
     rows = payload.with_parsed(rows.drop("_p", "payload"), "_item", "_i", item_fields)
     rows = payload.with_fields(rows, "_item", "_i", item_fields)
     rows = rows.withColumns({"ref_name": _push_extras({})["ref_name"]})
 
-    key = text = None
-    for event_type, (_, sentence) in SENTENCES.items():
-        own_key, own_text = sentence()
-        is_own = F.col("type") == event_type
-        key = F.when(is_own, own_key) if key is None else key.when(is_own, own_key)
-        text = F.when(is_own, own_text) if text is None else text.when(is_own, own_text)
-    return rows.select(
-        key.alias("activity_id"),
-        F.col("type").alias("source_event_type"),
-        "organization",
-        "repo_name",
-        F.col("user_login").alias("actor_login"),
-        text.alias("activity_text"),
-        "ts_kst",
-        "base_date",
+    keys, texts = (
+        " ".join(f"WHEN '{kind}' THEN {sentence[n]}" for kind, (_, sentence) in SENTENCES.items())
+        for n in (0, 1)
     )
+    return _feed_rows(rows, "type", f"CASE type {keys} END", f"CASE type {texts} END")
