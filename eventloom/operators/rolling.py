@@ -81,9 +81,11 @@ def rolling_distinct(
             end = f"least(date_add(`{day}`, {length}), _next_{suffix})"
             steps.append(f"CASE WHEN _in_{suffix} THEN {step(end, {name: '-1'})} END")
     steps.insert(0, step(f"`{day}`", opening))
-    exploded = rows.selectExpr(
-        *[f"`{name}`" for name in group], f"explode(array_compact(array({', '.join(steps)}))) AS _s"
-    ).select(*group, "_s.*")
+    exploded = (
+        rows.selectExpr(*[f"`{name}`" for name in group], f"explode(array({', '.join(steps)})) AS _s")
+        .where("_s IS NOT NULL")
+        .select(*group, "_s.*")
+    )
 
     per_day = exploded.groupBy(*group, "at").agg(
         F.max("_spine").alias("_spine"),

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.files.ignoreMissingFiles": "true",
+    # wide typed tables: more compiled stages than the default cache holds
+    "spark.sql.codegen.cache.maxEntries": "2000",
 }
 
 
