@@ -39,8 +39,8 @@ def tsv_blocks(
     distinct = named.groupBy(*content).agg(F.count("*").alias("_copies"))
     # only groups above the limit are looked up; salted, as these are the busy ones
     large = (
-        named.groupBy(*keys)
-        .agg(F.count("*").alias("_size"))
+        distinct.groupBy(*keys)
+        .agg(F.sum("_copies").alias("_size"))
         .where(F.col("_size") > max_rows)
         .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     )

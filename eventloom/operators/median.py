@@ -55,7 +55,8 @@ def exact_median(
         .orderBy("_v")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    ranked = counted.join(middle, [*group, "_range"]).withColumn(
+    # a merge join leaves the rows partitioned as the window needs them
+    ranked = counted.join(middle.hint("merge"), [*group, "_range"]).withColumn(
         "_upto", F.col("_below") + F.sum("_n").over(in_range)
     )
     first = F.col("_upto") - F.col("_n")

@@ -440,7 +440,7 @@ def issue_first_response(issues: DataFrame, comments: DataFrame) -> DataFrame:
         .agg(F.min("ts_kst").alias("first_response_at"))
     )
     span = _seconds(F.col("first_response_at"), F.col("opened_at"))
-    return opened.join(replied, ["repo_name", "issue_number"], "left").withColumn(
+    return opened.join(replied.hint("merge"), ["repo_name", "issue_number"], "left").withColumn(
         "response_seconds", F.when(F.col("first_response_at") >= F.col("opened_at"), span)
     )
 

@@ -118,19 +118,21 @@ def single_group(extract: DataFrame, **key: str) -> DataFrame:
 def weekly_actor_digest(extract: DataFrame, top_n: int = 5) -> DataFrame:
     """Organizations and most active repos of each person, with event types."""
     key = ["week_start", "actor_login"]
-    rows = extract.dropna(subset=["actor_login"])
-    per_repo = (
-        rows.dropna(subset=["repo_name"])
-        .groupBy(*key, "repo_name")
-        .agg(
-            F.count("*").alias("n"),
-            F.sort_array(F.collect_set("source_event_type")).alias("events"),
-        )
+    counted = (
+        extract.where(F.col("actor_login").isNotNull())
+        .groupBy(*key, "organization", "repo_name", "source_event_type")
+        .agg(F.count("*").alias("n"))
+    )
+    per_repo = counted.groupBy(*key, "repo_name").agg(
+        F.sum("n").alias("n"), F.sort_array(F.collect_set("source_event_type")).alias("events")
     )
-    rank = F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("n"), "repo_name"))
+    # events without a repo rank last and are left out after ranking, not before:
+    # so both branches read the one shuffle of `counted`
+    no_repo = F.col("repo_name").isNull()
+    order = Window.partitionBy(*key).orderBy(no_repo, F.desc("n"), "repo_name")
     top = (
-        per_repo.withColumn("rank", rank)
-        .where(F.col("rank") <= top_n)
+        per_repo.withColumn("rank", F.row_number().over(order))
+        .where((F.col("rank") <= top_n) & ~no_repo)
         .groupBy(*key)
         .agg(F.array_sort(F.collect_list(F.struct("rank", "repo_name", "events"))).alias("_top"))
         .select(
@@ -141,11 +143,11 @@ def weekly_actor_digest(extract: DataFrame, top_n: int = 5) -> DataFrame:
             ).alias("top_repos"),
         )
     )
-    orgs = rows.groupBy(*key).agg(
+    orgs = counted.groupBy(*key).agg(
         F.sort_array(F.collect_set("organization")).alias("organization_set"),
-        F.count("*").alias("event_count"),
+        F.sum("n").alias("event_count"),
     )
-    return orgs.join(top, key, "left")
+    return orgs.join(top.hint("merge"), key, "left")
 
 
 def weekly_repo_digest(extract: DataFrame, top_n: int = 3) -> DataFrame:
@@ -169,11 +171,12 @@ def weekly_repo_digest(extract: DataFrame, top_n: int = 3) -> DataFrame:
             for name, types in kinds.items()
         ],
     )
-    rank = F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("n"), "actor_login"))
+    # nobody ranks last and is left out after ranking, so both branches share a shuffle
+    nobody = F.col("actor_login").isNull()
+    order = Window.partitionBy(*key).orderBy(nobody, F.desc("n"), "actor_login")
     top = (
-        per_actor.where(F.col("actor_login").isNotNull())
-        .withColumn("rank", rank)
-        .where(F.col("rank") <= top_n)
+        per_actor.withColumn("rank", F.row_number().over(order))
+        .where((F.col("rank") <= top_n) & ~nobody)
         .groupBy(*key)
         .agg(
             F.array_sort(
@@ -194,7 +197,7 @@ def weekly_repo_digest(extract: DataFrame, top_n: int = 3) -> DataFrame:
         )
     )
     totals = per_actor.groupBy(*key).agg(*[F.sum(name).alias(name) for name in kinds])
-    return totals.join(top, key, "left")
+    return totals.join(top.hint("merge"), key, "left")
 
 
 # --- reports that come back as text ------------------------------------------

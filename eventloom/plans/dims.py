@@ -79,7 +79,7 @@ def dim_user(fact: DataFrame, create_events: DataFrame) -> DataFrame:
         .groupBy("user_login")
         .agg(F.min("base_date").alias("builder_first_date"), F.lit(True).alias("_builder"))
     )
-    return users.join(builders, "user_login", "left").select(
+    return users.join(builders.hint("merge"), "user_login", "left").select(
         "user_login",
         "first_seen_date",
         "last_seen_date",

@@ -331,4 +331,5 @@ def dm_user_cohort_summary(retention: DataFrame, fact: DataFrame) -> DataFrame:
             F.avg("lifetime_days").alias("avg_lifetime_days"),
         )
     )
-    return cohorts.join(averages, month_key, "left")
+    # both sides are grouped by the key: they merge where they lie
+    return cohorts.join(averages.hint("merge"), month_key, "left")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions import columns as c
 from ..functions import fixed
+from .tables import day_range
 
 EVENT_PARTITIONS = ("dt_kst", "organization")
 
@@ -50,10 +51,14 @@ def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     return lines.select(F.explode(F.array(parsed)).alias("event")).select("event.*")
 
 
-def read_day(spark: SparkSession, root: str, day: date | str) -> DataFrame:
-    paths = existing_paths(spark, hour_paths(root, day))
+def read_days(
+    spark: SparkSession, root: str, start: date | str, end: date | str | None = None
+) -> DataFrame:
+    """All hourly files of the given UTC days, in one scan."""
+    days = day_range(start, end if end is not None else start)
+    paths = existing_paths(spark, [path for day in days for path in hour_paths(root, day)])
     if not paths:
-        raise FileNotFoundError(f"no hourly file for {day} under {root}")
+        raise FileNotFoundError(f"no hourly file from {days[0]} to {days[-1]} under {root}")
     return read_lines(spark, paths)
 
 

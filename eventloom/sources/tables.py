@@ -147,23 +147,12 @@ class Tables:
         _, rest = self._handle(staged)
         fs.delete(rest, True)
 
-    def replace_part(
-        self, name: str, df: DataFrame, part: dict[str, object], more_partitions: Sequence[str] = ()
-    ) -> None:
-        """Replace the one leading partition `part` (column: value) by the rows of `df`."""
-        ((column, value),) = part.items()
-        keys = list(more_partitions)
-        self._check_partitions(df, keys)
-        staged = f"{self.root}/_staged/{name}-{uuid.uuid4().hex}"
-        rows = self._balanced(df.drop(column), keys)
-        rows.write.partitionBy(*keys).parquet(staged)
-        fs, root = self._handle(self.path(name))
-        fs.mkdirs(root)
-        _, old = self._handle(f"{self.path(name)}/{column}={value}")
-        _, new = self._handle(staged)
-        fs.delete(old, True)
-        if not fs.rename(new, old):
-            raise OSError(f"cannot move {staged}")
+    def overwrite_parts(self, name: str, df: DataFrame, partition_by: Sequence[str]) -> None:
+        """Replace the partitions that `df` has rows for, leave the others."""
+        self._check_partitions(df, partition_by)
+        self._balanced(df, partition_by).write.partitionBy(*partition_by).mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).parquet(self.path(name))
 
     def store(
         self, name: str, df: DataFrame, mode: str = "auto", partition_by: Sequence[str] = ()

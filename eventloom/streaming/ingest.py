@@ -16,7 +16,7 @@ from ..plans.facts import dw_activity_daily
 from ..sources.archive import EVENT_PARTITIONS, filter_events
 from ..sources.tables import Tables
 
-_STORED = StructType([StructField("batch", LongType()), *schemas.FILTERED_EVENT.fields])
+_STORED = StructType([*schemas.FILTERED_EVENT.fields, StructField("batch", LongType())])
 
 
 def archive_stream(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
@@ -62,13 +62,13 @@ def stream_daily_counts(
     """Keep the daily fact current: each batch recounts the days it touched.
 
     Late rows need no watermark, as a touched day is counted again from the
-    event table. A batch is stored under its number and replaces what an earlier
-    try of the same batch left, so a repeated batch changes nothing.
+    event table. A batch's rows lie in partitions of its own number below their
+    day; a batch that is tried again overwrites those, so it changes nothing.
     """
 
     def load(batch: DataFrame, number: int) -> None:
         stored = filter_events(batch, organizations).withColumn("batch", F.lit(number))
-        tables.replace_part(events, stored, {"batch": number}, EVENT_PARTITIONS)
+        tables.overwrite_parts(events, stored, (*EVENT_PARTITIONS, "batch"))
         mine = tables.read(events, _STORED).where(F.col("batch") == number)
         # days of one batch: a handful of values, not data
         days = [row[0] for row in mine.select("dt_kst").distinct().collect() if row[0]]

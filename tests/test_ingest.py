@@ -42,17 +42,20 @@ def test_only_rows_of_target_organizations_survive(spark, tmp_path):
         ["", "{broken", '{"id":"9","org":{"login":"apache"},"payl', line(1, None), line(2, "other"),
          line(3), line(4, org="Apache"), line(5, org={}) , "[1, 2]"],
     )
-    raw = archive.read_day(spark, str(tmp_path), "2024-01-15")
+    raw = archive.read_days(spark, str(tmp_path), "2024-01-15")
     assert [row.id for row in archive.filter_events(raw).collect()] == ["3"]
 
 
 def test_missing_hours_are_skipped_and_a_missing_day_is_an_error(spark, tmp_path):
     for hour in (0, 5, 23):
         write_hour(tmp_path, "2024-01-15", hour, [line(hour)])
-    day = archive.filter_events(archive.read_day(spark, str(tmp_path), "2024-01-15"))
+    day = archive.filter_events(archive.read_days(spark, str(tmp_path), "2024-01-15"))
     assert sorted(row.id for row in day.collect()) == ["0", "23", "5"]
+    write_hour(tmp_path, "2024-01-17", 1, [line(99)])
+    days = archive.filter_events(archive.read_days(spark, str(tmp_path), "2024-01-15", "2024-01-17"))
+    assert days.count() == 4
     with pytest.raises(FileNotFoundError):
-        archive.read_day(spark, str(tmp_path), "2024-01-16")
+        archive.read_days(spark, str(tmp_path), "2024-01-16")
 
 
 def test_filtered_schema_and_values(spark):
@@ -113,7 +116,7 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, tmp_path, tables):
     folder = tmp_path / "raw"
     for hour in range(6):
         write_hour(folder, "2024-01-15", hour * 4, [line(hour * 10 + n, at=f"2024-01-15T{hour * 4:02d}:00:00Z") for n in range(5)] + ["", "{"])
-    batch = archive.filter_events(archive.read_day(spark, str(folder), "2024-01-15"))
+    batch = archive.filter_events(archive.read_days(spark, str(folder), "2024-01-15"))
     for _ in range(2):
         stream = ingest.archive_stream(spark, str(folder), files_per_batch=2)
         ingest.stream_ingest(stream, tables, tables.path("_mark")).awaitTermination()
@@ -213,3 +216,11 @@ def test_run_days():
     assert len(day_range("2024-02-27", "2024-03-02")) == 5
     with pytest.raises(ValueError):
         day_range("2024-03-02", "2024-03-01")
+
+
+def test_a_repeated_batch_changes_nothing(spark, tables):
+    rows = spark.createDataFrame([(date(2024, 1, 1), 0, "a"), (date(2024, 1, 2), 0, "b")], "d date, batch int, v string")
+    more = spark.createDataFrame([(date(2024, 1, 2), 1, "c")], "d date, batch int, v string")
+    for part in (rows, more, more, rows):
+        tables.overwrite_parts("t", part, ["d", "batch"])
+    assert sorted(row.v for row in tables.read("t").collect()) == ["a", "b", "c"]
