@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Callable
 from datetime import date
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
 from eventloom import schemas
 from eventloom.functions import columns as c
 from eventloom.functions.filters import filter_bar

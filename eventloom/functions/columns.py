@@ -41,12 +41,19 @@ def partition_path(day: Column, organization: Column) -> Column:
 
 def parse_utc(text: Column) -> Column:
     """'2024-01-15T03:04:05Z' to a timestamp, anything else to NULL."""
-    return F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    return F.when(
+        text.endswith("Z"), F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ssX"))
+    )
+
+
+def utc_clock(ts: Column) -> Column:
+    """What a UTC clock shows, without a zone, whatever the session's zone."""
+    return F.convert_timezone(None, F.lit("UTC"), ts.cast("timestamp_ntz"))
 
 
-def shifted_local(ts_utc: Column) -> Column:
-    """UTC moved by the local offset, kept without a zone (session zone is UTC)."""
-    return ts_utc.cast("timestamp_ntz") + F.expr(f"INTERVAL {fixed.KST_OFFSET_HOURS} HOURS")
+def shifted_local(ts: Column) -> Column:
+    """The UTC clock moved by the local offset."""
+    return utc_clock(ts) + F.expr(f"INTERVAL {fixed.KST_OFFSET_HOURS} HOURS")
 
 
 def utc_date_as_local(day_text: Column) -> Column:

@@ -84,7 +84,9 @@ def with_time_columns(df: DataFrame, created_at: str = "created_at") -> DataFram
     return (
         df.withColumn(created_at, source)
         .withColumns({"ts_utc": F.col(created_at), "ts_kst": c.shifted_local(F.col(created_at))})
-        .withColumns({"dt_utc": F.to_date("ts_utc"), "dt_kst": F.to_date("ts_kst")})
+        .withColumns(
+            {"dt_utc": F.to_date(c.utc_clock(F.col("ts_utc"))), "dt_kst": F.to_date("ts_kst")}
+        )
     )
 
 

@@ -76,6 +76,20 @@ def test_local_date_changes_at_15_utc(spark):
     assert [by_id["2"][name] for name in ("ts_utc", "dt_utc", "ts_kst", "dt_kst")] == [None] * 4
 
 
+def test_time_columns_do_not_depend_on_the_session_zone(spark):
+    rows = [(line(n, at=at),) for n, at in enumerate(["2024-01-15T14:59:59Z", "2024-01-15T15:00:00+09:00"])]
+    lines = spark.createDataFrame(rows, "value string")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Seoul")
+        got = archive.filter_events(archive.parse_lines(lines)).selectExpr(
+            "id", "unix_seconds(ts_utc) AS s", "dt_utc", "ts_kst", "dt_kst"
+        ).orderBy("id").collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert tuple(got[0]) == ("0", 1705330799, date(2024, 1, 15), datetime(2024, 1, 15, 23, 59, 59), date(2024, 1, 15))
+    assert tuple(got[1]) == ("1", None, None, None, None)
+
+
 def test_time_columns_without_source_column(spark):
     row = archive.with_time_columns(spark.range(1)).first()
     assert (row.ts_utc, row.dt_utc, row.ts_kst, row.dt_kst) == (None,) * 4
