@@ -253,7 +253,20 @@ def _responses(issues: DataFrame, comments: DataFrame) -> DataFrame:
     return dashboards.median_first_response(dashboards.issue_first_response(issues, comments))
 
 
-def queries() -> dict[str, Query]:
+def _llm_modules() -> list:
+    """The pipeline's query modules; none where the subpackage is not installed."""
+    try:
+        from eventloom.llm import queries as llm_queries
+
+        import corpus_pipeline
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("eventloom.llm", "corpus_pipeline"):
+            raise
+        return []
+    return [llm_queries, corpus_pipeline]
+
+
+def analytics_queries() -> dict[str, Query]:
     return {
         # ingest and helpers
         "gh_archive_filtered": lambda s, d: _unzoned(_ingested(s, d)),
@@ -385,8 +398,18 @@ def queries() -> dict[str, Query]:
     }
 
 
+def queries() -> dict[str, Query]:
+    every = analytics_queries()
+    for module in _llm_modules():
+        every |= module.queries()
+    return every
+
+
 def oracle_sql() -> dict[str, str]:
-    return all_sql()
+    every = all_sql()
+    for module in _llm_modules():
+        every |= module.oracle_sql()
+    return every
 
 
 def entry(spark: SparkSession) -> DataFrame:
