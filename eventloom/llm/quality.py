@@ -122,3 +122,37 @@ def quality_report(docs: DataFrame, policy: Policy = STRICT, id_col: str = "doc_
 def keep_good(docs: DataFrame, policy: Policy = STRICT) -> DataFrame:
     """The documents that base rules and policy accept, columns unchanged."""
     return quality_ledger(docs).where(passes(BASE) & passes(policy)).select("doc.*")
+
+
+SQL = r"""
+with texts as (
+    select doc_id, coalesce(text, '') as text from documents
+), split as (
+    select *, list_filter(string_split_regex(text, '[\x09-\x0D ]+'), lambda w: w <> '') as words,
+        list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x09-\x0D ]')) as lines
+    from texts
+), windows as (
+    select doc_id, i, count(*) over (partition by doc_id, w) as copies
+    from (
+        select doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] as w
+        from (select doc_id, words, unnest(range(1, len(words) - 1)) as i from split)
+    )
+), repeats as (
+    select doc_id, count(distinct i + k) as n
+    from windows, (values (0), (1), (2)) as three(k) where copies > 1 group by doc_id
+), measured as (
+    select s.doc_id, cast(len(words) as bigint) as n_words,
+        cast(length(regexp_replace(text, '[\x09-\x0D ]', '', 'g')) as bigint) as word_chars,
+        cast(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as bigint) as n_symbols,
+        cast(len(lines) - len(list_distinct(lines)) as bigint) as n_dup_lines,
+        len(lines) as n_lines,
+        coalesce(r.n, 0) as n_repeat_words
+    from split s left join repeats r on r.doc_id = s.doc_id
+), judged as (
+    select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from measured
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    not (base_failed or 4 * n_symbols > word_chars or word_chars > 40 * n_words
+        or 10 * n_dup_lines > 8 * n_lines) as kept
+from judged
+"""

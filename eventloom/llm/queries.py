@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventloom.llm import decontaminate, packing, quality, simhash, suffixes, superkmers
+from eventloom.llm import (
+    chat,
+    decontaminate,
+    ngrams,
+    packing,
+    quality,
+    simhash,
+    suffixes,
+    superkmers,
+    urls,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,12 +39,24 @@ def queries() -> dict[str, Query]:
     return {
         "op1_decontaminate": _decontaminate,
         "op2_simhash": _on_documents(simhash.near_report),
+        "op3_url_filter": lambda s, d: urls.judge_urls(_table(s, d, "pages")),
+        "op4_lm_score": _on_documents(ngrams.lm_report),
         "op5_quality": _on_documents(quality.quality_report),
         "op6_suffix_dedup": _on_documents(suffixes.suffix_report),
         "op7_substring_dedup": _on_documents(superkmers.substring_report),
+        "op8_warc": lambda s, d: warc.archive_report(s, _table(s, d, "pages")),
+        "op9_chat_format": lambda s, d: chat.chat_report(
+            chat.with_probe(s, _table(s, d, "conversations"))
+        ),
         "op10_pack": _on_documents(packing.pack),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op3_url_filter": urls.SQL,
+        "op4_lm_score": ngrams.SQL,
+        "op5_quality": quality.SQL,
+        "op8_warc": warc.SQL,
+        "op9_chat_format": chat.SQL,
+    }
