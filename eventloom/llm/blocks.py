@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from eventloom.llm.text import NO_ID, as_bytes, ids_of
 from eventloom.session import shared_folder
 
-BLOCK_BYTES = 3 << 20
+BLOCK_BYTES = 1 << 20
 BLOCK_SCHEMA = "block bigint, n_bytes bigint, ids binary, sizes binary, texts binary, rest binary"
 SENT_SCHEMA = "bucket int, block bigint, payload binary"
 
@@ -162,9 +162,10 @@ def bucket_count(blocks: DataFrame, bytes_each: int) -> int:
 def split_by_bucket(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
     """Slices of sorted keys by bucket: a bucket is a range of keys."""
     of = (keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
-    bounds = np.flatnonzero(np.append(True, of[1:] != of[:-1])) if len(keys) else []
-    for lo, hi in zip(bounds, [*bounds[1:], len(keys)], strict=True):
-        yield int(of[lo]), slice(int(lo), int(hi))
+    cuts = (np.flatnonzero(of[1:] != of[:-1]) + 1).tolist()
+    bounds = [0, *cuts, len(keys)] if len(keys) else []
+    for lo, hi in zip(bounds, bounds[1:]):
+        yield int(of[lo]), slice(lo, hi)
 
 
 Emit = Callable[[Block], Iterator[tuple[int, bytes]]]

@@ -46,7 +46,7 @@ from eventloom.llm.blocks import (
     stored,
     unsqueeze,
 )
-from eventloom.llm.text import gram_names, minimisers, pair
+from eventloom.llm.text import gram_names, minimisers, mix, pair
 
 LENGTH = 100
 _GRAM = 32
@@ -98,7 +98,7 @@ class Runs:
         self.size = np.diff(np.append(heads, len(starts)))
         self.text = np.searchsorted(block.starts, self.lo, side="right") - 1
         place = places[self.lo]
-        self.rank = self.grams[place]
+        self.rank = mix(self.grams[place])  # smallest ranks crowd together; buckets want them spread
         last = self.lo + self.size - 1 + LENGTH - _GRAM
         whole = (self.size << 8 | (place - self.lo)).astype(U)
         for offset in range(0, _SPAN + LENGTH, _GRAM):

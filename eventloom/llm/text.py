@@ -85,7 +85,7 @@ class Words:
         self.starts, self.ends = edges[::2], edges[1::2]  # the last byte is never inside
         self.inside = inside
         self.first = np.searchsorted(self.starts, self.text_starts)
-        self.stop = np.append(self.first[1:], len(self.starts))
+        self.stop = np.append(self.first, len(self.starts))[1:]
         self.counts = self.stop - self.first
 
     def __len__(self) -> int:
@@ -167,7 +167,7 @@ def window_minimum(values: np.ndarray, size: int) -> np.ndarray:
     return values
 
 
-_PLACE_BITS = 20
+_PLACE_BITS = 16
 
 
 def minimisers(names: np.ndarray, size: int) -> np.ndarray:
@@ -176,14 +176,14 @@ def minimisers(names: np.ndarray, size: int) -> np.ndarray:
     The upper bits of a name decide, the place fills the lower bits.
     """
     count = len(names) - size + 1
-    out = np.empty(max(count, 0), dtype=np.int64)
+    out = np.empty(max(count, 0), dtype=np.int32 if count < 1 << 31 else np.int64)
     low = U((1 << _PLACE_BITS) - 1)
     step = (1 << _PLACE_BITS) - size
     for lo in range(0, count, step):
         hi = min(lo + step, count)
         places = np.arange(hi - lo + size - 1, dtype=U)
         packed = (names[lo : hi + size - 1] & ~low) | (low - places)
-        out[lo:hi] = (low - (window_minimum(packed, size) & low)).astype(np.int64) + lo
+        out[lo:hi] = (low - (window_minimum(packed, size) & low)).astype(out.dtype) + lo
     return out
 
 
