@@ -34,7 +34,7 @@ from eventloom.llm.blocks import (
     squeeze,
     unsqueeze,
 )
-from eventloom.llm.text import SPACED_WORD, Words, minimisers, pair, window_names
+from eventloom.llm.text import SPACED_WORD, Words, minimisers, mix, pair, window_names
 
 WINDOW = 13
 MARK = 3
@@ -65,7 +65,7 @@ class SuperKmers:
         self.first = starts[heads]
         self.size = np.diff(np.append(heads, len(starts)))
         self.text = of[self.first]
-        self.mark = marks[places[self.first]]
+        self.mark = mix(marks[places[self.first]])  # smallest names crowd together; buckets want them spread
         # a run is shorter than a window: its first and last window name all its words
         last = self.full[self.first + self.size - 1]
         self.name = pair(pair(self.full[self.first], last), self.size.astype(U))
