@@ -271,26 +271,34 @@ def remove_leaks(
         "n_hit", F.expr("aggregate(hit_words, 0L, (s, x) -> x - s)")
     )
     kept = found.where(F.col("n_hit") <= max_coverage * F.col("n_words"))
-    schema = StructType([*kept.schema["doc"].dataType.fields, StructField("_hits", ArrayType(LongType()))])
+    rows = kept.select("doc", F.col("doc.text").alias("text"), "hit_words")
 
     def cut(batches):
         for batch in batches:
             for part in slices(batch, "text"):
                 texts = as_bytes(part.column("text"))
                 words = Words([text.lower() for text in texts], PLAIN_WORD)
-                out: list[bytes | None] = []
                 given = part.column("text").is_valid().to_pylist()
-                for n, spans in enumerate(part.column("_hits").to_pylist()):
-                    left, at = [], 0
-                    starts = words.starts[words.first[n] : words.stop[n]] - words.text_starts[n]
-                    ends = words.ends[words.first[n] : words.stop[n]] - words.text_starts[n]
-                    for lo, hi in zip(*[iter(spans)] * 2, strict=True):
-                        left.append(texts[n][at : starts[lo]])
-                        at = ends[hi - 1]
-                    left.append(texts[n][at:])
-                    out.append(b"".join(left) if given[n] else None)
-                place = part.schema.get_field_index("text")
-                yield part.set_column(place, "text", pa.array(out, pa.binary()).cast(pa.string()))
-
-    rows = kept.select("doc.*", F.col("hit_words").alias("_hits"))
-    return rows.mapInArrow(cut, schema).drop("_hits")
+                left = [
+                    _without(texts[n], words, n, spans) if given[n] else None
+                    for n, spans in enumerate(part.column("hit_words").to_pylist())
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc"), pa.array(left, pa.binary()).cast(pa.string())],
+                    names=["doc", "text"],
+                )
+
+    clean = rows.mapInArrow(cut, StructType(rows.schema.fields[:2]))
+    columns = kept.schema["doc"].dataType.names
+    return clean.select(*[F.col("text" if c == "text" else f"doc.`{c}`").alias(c) for c in columns])
+
+
+def _without(text: bytes, words: Words, n: int, spans: list[int]) -> bytes:
+    """Text `n` without the stretches of its words; what parts words stays."""
+    starts = words.starts[words.first[n] : words.stop[n]] - words.text_starts[n]
+    ends = words.ends[words.first[n] : words.stop[n]] - words.text_starts[n]
+    left, at = [], 0
+    for lo, hi in zip(spans[::2], spans[1::2], strict=True):
+        left.append(text[at : starts[lo]])
+        at = ends[hi - 1]
+    return b"".join([*left, text[at:]])
