@@ -10,9 +10,9 @@ A shard is searched with a BK-tree: children are keyed by their distance to the
 and a search follows only edges within the radius. Trees are built where their shard
 is, since a broadcast of all fingerprints has no bound.
 
-A shard of many fingerprints (copies that differ in a few bits agree on most pieces)
-is split further: its nodes only have to be linked in one piece, so nodes are first
-joined with those one bit away by lookups, and one pass of the tree links the rest.
+Copies that differ in a few bits agree on most pieces and crowd one shard. There,
+members are first joined with those one bit away by lookups, and only members outside
+the largest group search the tree, which still holds all.
 
 Only distinct fingerprints are searched, so copies cost nothing. Shards return a
 spanning set of links; components are joined over written tables.
@@ -25,6 +25,7 @@ give a row.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -43,6 +44,8 @@ SHINGLE = 3
 RADIUS = 3
 KEEP = 2
 SEED = 42
+CROWDED = 32  # shards of more members are first joined bit by bit
+MASK = (1 << 64) - 1
 U = np.uint64
 
 
@@ -87,7 +90,7 @@ class BKTree:
         self.prints = [root]
         self.children: list[dict[int, int]] = [{}]
 
-    def link(self, value: int, radius: int) -> Iterator[int]:
+    def near(self, value: int, radius: int) -> Iterator[int]:
         """Places of the members within the radius."""
         waiting = [0]
         while waiting:
@@ -114,7 +117,9 @@ class BKTree:
 
 def shard_links(prints: list[int], radius: int) -> list[tuple[int, int]]:
     """Links that join whatever is within the radius, at most one less than members."""
+    values = [value & MASK for value in prints]  # unsigned: bits of a negative number differ
     root = list(range(len(prints)))
+    links = []
 
     def find(x: int) -> int:
         while root[x] != x:
@@ -122,22 +127,31 @@ def shard_links(prints: list[int], radius: int) -> list[tuple[int, int]]:
             x = root[x]
         return x
 
-    links = []
-
     def unite(x: int, y: int) -> None:
         a, b = find(x), find(y)
         if a != b:
             root[max(a, b)] = min(a, b)
             links.append((prints[x], prints[y]))
 
-    tree = None
-    for n, value in enumerate(prints):
-        if tree is None:
-            tree = BKTree(value)
-            continue
-        for m in tree.link(value, radius):
-            unite(m, n)
-        tree.add(value)
+    if len(values) > CROWDED and radius:
+        place = {value: n for n, value in enumerate(values)}
+        for n, value in enumerate(values):
+            for bit in range(64):
+                m = place.get(value ^ 1 << bit)
+                if m is not None and m < n:
+                    unite(m, n)
+    # whoever is in the largest group is found by the others, if they are near it
+    groups = Counter(map(find, range(len(values))))
+    largest, size = groups.most_common(1)[0]
+    settled = largest if size > 1 else None
+    searching = [n for n in range(len(values)) if find(n) != settled]
+    if searching:
+        tree = BKTree(values[0])
+        for value in values[1:]:
+            tree.add(value)
+        for n in searching:
+            for m in tree.near(values[n], radius):
+                unite(m, n)
     return links
 
 
