@@ -65,13 +65,13 @@ def fold_events(log: DataFrame) -> DataFrame:
     # what comes before the last event that sets the text no longer counts
     numbered = F.transform("events", lambda e, n: F.struct(e["kind"].alias("kind"), n.alias("n")))
     setting = F.filter(numbered, lambda e: e["kind"] != "delta")
-    since = F.coalesce(F.element_at(F.transform(setting, lambda e: e["n"]), -1), F.lit(0))
+    since = F.coalesce(F.try_element_at(F.transform(setting, lambda e: e["n"]), F.lit(-1)), F.lit(0))
     lasting = F.slice("events", since + 1, F.size("events"))
     roles = F.filter(F.transform("events", lambda e: e["role"]), lambda r: r.isNotNull())
     return logs.select(
         "conv_id",
         "message",
-        F.coalesce(F.element_at(roles, 1), F.lit("")).alias("role"),
+        F.coalesce(F.try_element_at(roles, F.lit(1)), F.lit("")).alias("role"),
         F.array_join(F.transform(lasting, lambda e: e["text"]), "").alias("text"),
     )
 
