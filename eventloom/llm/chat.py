@@ -11,9 +11,8 @@ Template: `<|turn|>` role `\n` text `<|end|>\n`. Texts and roles have `&` writte
 reading back is exact. The loss mask marks assistant texts: `loss_spans` has the start
 and length of each in code points of the formatted text.
 
-All steps are DataFrame functions. A formatted conversation is one string, so one
-conversation is bounded by what a string may hold; everything before the last step works
-on single messages.
+All steps are DataFrame functions and share one exchange by conversation. A formatted
+conversation is one string, so a conversation is bounded by what a string may hold.
 
 Defined cases: NULL texts and roles are empty; a NULL conv_id is a conversation of its
 own; rows that repeat a turn are all kept, ordered by turn, role and text; a message
@@ -103,23 +102,18 @@ def format_chats(messages: DataFrame) -> DataFrame:
 
 
 def read_chats(chats: DataFrame) -> DataFrame:
-    """Turns and loss texts read back from the formatted text and its mask.
-
-    Cut at both markers, the text falls into pieces whose lengths give their places,
-    and the mask picks those that start where a span does.
-    """
-    turns = F.slice(F.split("formatted", r"<\|turn\|>"), 2, F.lit(1 << 30))
+    """(conv_id, formatted, loss_spans, turns), the turns read back from the formatted text."""
+    pieces = F.slice(F.split("formatted", r"<\|turn\|>"), 2, F.lit(1 << 30))
     parsed = F.transform(
-        turns,
-        lambda t: F.struct(
-            unescape_role(F.substring_index(t, "\n", 1)).alias("role"),
-            F.length(F.substring_index(t, "\n", 1)).alias("role_chars"),
-            unescape(F.replace(F.substr(t, F.instr(t, "\n") + 1), F.lit(END), F.lit(""))).alias("text"),
-            F.length(t).alias("chars"),
+        pieces,
+        lambda piece: F.struct(
+            unescape_role(F.substring_index(piece, "\n", 1)).alias("role"),
+            unescape(
+                F.replace(F.substr(piece, F.instr(piece, "\n") + 1), F.lit(END), F.lit(""))
+            ).alias("text"),
         ),
     )
-    rows = chats.select("conv_id", "formatted", "loss_spans", parsed.alias("turns"))
-    return rows.select("*", F.map_from_arrays("loss_spans.start", "loss_spans.length").alias("mask"))
+    return chats.select("conv_id", "formatted", "loss_spans", parsed.alias("turns"))
 
 
 def chat_report(rows: DataFrame) -> DataFrame:
