@@ -6,6 +6,7 @@ import sys
 import uuid
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from eventloom.functions.filters import filter_bar
 from eventloom.plans import build, dashboards, digest, dims, events, facts, feed, marts, quality
 from eventloom.session import shared_folder
 from eventloom.sources import archive, relations, supplied
-from eventloom.sources.tables import Tables
+from eventloom.sources.tables import Tables, read_report_json, write_report_json
 from eventloom.streaming import ingest
 from oracle.sql import ANSWER, AS_OF, WEEK_START, all_sql
 
@@ -67,7 +68,8 @@ def _unzoned(df: DataFrame) -> DataFrame:
 
 def _tables(spark: SparkSession) -> Tables:
     """A fresh set of tables in the shared folder."""
-    return Tables(spark, f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}")
+    own = uuid.uuid4().hex
+    return Tables(spark, f"{shared_folder(spark)}/tables-{own}", catalog_prefix=f"t_{own}_")
 
 
 def _line_files(spark: SparkSession, sf_dir: str, tables: Tables) -> str:
@@ -134,6 +136,87 @@ def _replace_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read("dw_activity_daily", schemas.ACTIVITY_DAILY)
 
 
+def _replaced(spark: SparkSession, sf_dir: str) -> Tables:
+    """Declared tables, of which one day is replaced afterwards by half of its events."""
+    tables = _tables(spark)
+    names = ["stg_gh_events", "dw_activity_daily"]
+    every = _events(spark, sf_dir)
+    tables.rebuild(build.EVENTS, every, archive.EVENT_PARTITIONS)
+    build.declare_tables(tables, [build.EVENTS, *names])
+    days = tables.days(build.EVENTS, "dt_kst")
+    build.load_range(tables, days[0], days[-1], names)
+    kept = every.where("dt_kst != date'2024-01-10' or cast(id as bigint) % 2 = 0")
+    tables.rebuild(build.EVENTS, kept, archive.EVENT_PARTITIONS)
+    build.load_range(tables, "2024-01-10", "2024-01-10", names)
+    return tables
+
+
+def _declared_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = _replaced(spark, sf_dir)
+    return spark.table(tables.catalog_name("dw_activity_daily")).select(*schemas.ACTIVITY_DAILY.names)
+
+
+def _fact_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = _replaced(spark, sf_dir)
+    build.create_views(tables)
+    return spark.table(tables.catalog_name("dm_activity_daily_org_repo"))
+
+
+# Stored tables, and what is summed up of each beside its number of rows.
+_END_TO_END = {
+    **{name: "count(DISTINCT event_id)" for name in ["stg_gh_events", *build.EVENT_SHAPES]},
+    "dw_activity_daily": "sum(event_count)",
+    "dw_watch_daily": "sum(watch_started_count)",
+    "dw_activity_feed": "sum(length(activity_text))",
+    "dm_watch_summary": "sum(unique_watchers)",
+    "dim_event_type": "count(event_type)",
+    "dim_organization": "count(organization)",
+    "dim_repository": "count(repo_name)",
+    "dim_user": "count(first_seen_repo)",
+    "dm_active_users_daily": "sum(mau_any)",
+    "dm_org_overview": "sum(total_events_count)",
+    "dm_user_activity": "sum(total_events_count)",
+    "dm_repo_contributors": "sum(contribution_score)",
+    "dm_user_retention": "sum(retained_users_any)",
+    "dm_user_cohort_summary": "sum(cohort_size)",
+}
+
+
+def _pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines to files to events to all daily tables, dimensions and marts."""
+    tables = _tables(spark)
+    lines = archive.read_lines(spark, _line_files(spark, sf_dir, tables))
+    build.append_events(tables, archive.filter_events(lines).where("dt_kst is not null"))
+    days = tables.days(build.EVENTS, "dt_kst")
+    build.load_range(tables, days[0], days[-1])
+    build.rebuild_whole(tables)
+    counts = [
+        tables.read(name)
+        .select(
+            F.lit(name).alias("table_name"),
+            F.count("*").alias("row_count"),
+            F.expr(total).cast("bigint").alias("total"),
+        )
+        for name, total in _END_TO_END.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = digest.parse_reports(_answers(spark, sf_dir), schemas.ACTOR_WEEK_REPORT)
+    path = f"{shared_folder(spark)}/reports-{uuid.uuid4().hex}"
+    write_report_json(parsed.where(~F.col("is_rejected")).select("report.*"), path)
+    stored = read_report_json(spark, path, schemas.ACTOR_WEEK_REPORT)
+    return stored.groupBy("actor_login", "summary").agg(F.count("*").alias("reports"))
+
+
+def _single_repo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = digest.single_group(
+        _week(spark, sf_dir), organization="Pseudo-Lab", repo_name="Pseudo-Lab/study"
+    )
+    return digest.digest_blocks(rows, digest.REPO_KEYS)
+
+
 def _answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/events.parquet")
     return rows.selectExpr("event_id", f"{ANSWER.replace('varchar(40)', 'string')} as answer")
@@ -211,7 +294,9 @@ def _stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = ingest.archive_stream(spark, _line_files(spark, sf_dir, tables), files_per_batch=20)
     query = ingest.stream_ingest(lines, tables, tables.path("_checkpoint"))
     query.awaitTermination()
-    return _unzoned(tables.read("gh_archive_filtered", schemas.FILTERED_EVENT))
+    ingest.compact_days(tables, "gh_archive_by_batch", ["2024-01-05", "2024-01-06"])
+    stored = ingest.read_batches(tables, "gh_archive_by_batch")
+    return _unzoned(stored.select(*schemas.FILTERED_EVENT.names))
 
 
 def _stream_daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -360,6 +445,9 @@ def analytics_queries() -> dict[str, Query]:
         "weekly_repo_groups": _on_week(lambda week: digest.groups(week, digest.REPO_KEYS)),
         "weekly_tsv_block": _on_week(lambda week: digest.digest_blocks(week, digest.ACTOR_KEYS)),
         "weekly_repo_tsv_block": _on_week(lambda week: digest.digest_blocks(week, digest.REPO_KEYS)),
+        "weekly_tsv_pages_small": _on_week(
+            lambda week: digest.digest_blocks(week, digest.ACTOR_KEYS, page_rows=7)
+        ),
         "weekly_actor_prompt": _on_week(
             lambda week: digest.digest_prompts(
                 digest.digest_blocks(week, digest.ACTOR_KEYS), digest.ACTOR_PROMPT
@@ -371,10 +459,12 @@ def analytics_queries() -> dict[str, Query]:
             )
         ),
         "weekly_single_actor": _single_actor,
+        "weekly_single_repo": _single_repo,
         "weekly_actor_digest": _weekly_actor_digest,
         "weekly_repo_digest": _weekly_repo_digest,
         "parse_report_json": _parse_report_json,
         "report_store": _report_store,
+        "report_files": _report_files,
         # relations
         "follower_targets": _on_fact(
             lambda fact: relations.follower_targets(facts.dm_unique_users_by_org_repo(fact))
@@ -386,11 +476,15 @@ def analytics_queries() -> dict[str, Query]:
         "dq_required_columns": _on_events(
             lambda rows: quality.not_null(rows.drop("public", "dt_utc"))
         ),
-        "dq_unique": lambda s, d: quality.not_unique(
-            s.read.parquet(f"{d}/events.parquet").select(F.col("user_id").cast("string").alias("id"))
+        # pushes ingested a second time
+        "dq_unique": _on_events(
+            lambda rows: quality.not_unique(rows.unionByName(rows.where(F.col("type") == "PushEvent")))
         ),
         "dq_freshness": _on_events(lambda rows: quality.freshness(rows, "2024-02-04")),
         # storage and streaming
+        "declared_tables": _declared_tables,
+        "fact_view": _fact_view,
+        "pipeline_end_to_end": _pipeline_end_to_end,
         "replace_day": _replace_day,
         "backfill_range": _backfill_range,
         "stream_ingest": _stream_ingest,

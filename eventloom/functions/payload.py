@@ -6,34 +6,49 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
+from pyspark.sql.types import (
+    ArrayType,
+    DataType,
+    StringType,
+    StructField,
+    StructType,
+    VariantType,
+)
 
 Field = tuple[str, str, str]  # output name, path below the root, type
 
 
-def struct_for(paths: Iterable[str], arrays: Iterable[str] = ()) -> StructType:
+def struct_for(texts: Iterable[str], others: Iterable[str] = (), arrays: Iterable[str] = ()) -> StructType:
     """The smallest struct that holds the given dotted paths.
 
-    Every leaf is a STRING, so numbers written as text and text written as
-    numbers both survive; types are applied by `with_fields`. An array path holds its
-    elements as JSON text.
+    A text leaf is a VARIANT, which knows whether the payload has a text, a number or
+    something nested there. Other leaves are STRING, so numbers written as text and
+    the other way round both survive; types are applied by `with_fields`. An array path
+    holds its elements as JSON text.
     """
     tree: dict = {}
-    for path in paths:
+    kinds = {path: StringType() for path in others} | {path: VariantType() for path in texts}
+    for path in kinds:
         node = tree
         for part in path.split("."):
             node = node.setdefault(part, {})
     for path in arrays:
         tree.setdefault(path, None)
 
-    def build(node: dict | None) -> DataType:
+    def build(node: dict | None, path: str) -> DataType:
         if node is None:
             return ArrayType(StringType())
         if not node:
-            return StringType()
-        return StructType([StructField(name, build(child)) for name, child in node.items()])
+            return kinds[path]
+        return StructType(
+            [StructField(n, build(child, f"{path}.{n}" if path else n)) for n, child in node.items()]
+        )
 
-    return build(tree)
+    return build(tree, "")
+
+
+def _text_paths(fields: Sequence[Field]) -> set[str]:
+    return {path for _, path, kind in fields if kind == "string"}
 
 
 def with_parsed(
@@ -45,7 +60,8 @@ def with_parsed(
     then stays above it; pushed below, it would parse every payload a second
     time.
     """
-    parsed = F.from_json(F.col(text), struct_for([path for _, path, _ in fields], arrays))
+    paths = [path for _, path, _ in fields]
+    parsed = F.from_json(F.col(text), struct_for(_text_paths(fields), paths, arrays))
     return rows.select("*", F.explode(F.array(parsed)).alias(name))
 
 
@@ -53,26 +69,19 @@ def _leaf(parsed: str, path: str) -> str:
     return ".".join([parsed, *[f"`{part}`" for part in path.split(".")]])
 
 
-def with_fields(rows: DataFrame, text: str, name: str, fields: Sequence[Field]) -> DataFrame:
+def with_fields(rows: DataFrame, name: str, fields: Sequence[Field]) -> DataFrame:
     """Add the typed fields of a parsed payload; a bad cast gives NULL.
 
-    A text field is NULL where its path holds an object or array. Both arrive as
-    JSON text, and prose may start with a bracket too, so the payload's types
-    are looked at, but only in rows where some field does start with one.
+    A text field is NULL where its path holds an object or array.
     """
-    bracketed = "substring({}, 1, 1) IN ('{{', '[')"
-    texts = [_leaf(name, path) for _, path, kind in fields if kind == "string"]
-    if texts:
-        doubt = " OR ".join(bracketed.format(leaf) for leaf in texts)
-        parsed = f"CASE WHEN {doubt} THEN try_parse_json({text}) END"
-        rows = rows.withColumn("_types", F.expr(parsed))
+    texts = _text_paths(fields)
     taken = []
     for field, path, kind in fields:
         leaf = _leaf(name, path)
+        as_text = f"cast({leaf} AS string)" if path in texts else leaf
         if kind == "string":
-            found = f"schema_of_variant(try_variant_get(_types, '$.{path}', 'variant'))"
-            nested = f"{bracketed.format(leaf)} AND {found} RLIKE '^(OBJECT|ARRAY)'"
-            taken.append(f"CASE WHEN NOT ({nested}) THEN {leaf} END AS `{field}`")
+            nested = f"schema_of_variant({leaf}) RLIKE '^(OBJECT|ARRAY)'"
+            taken.append(f"CASE WHEN {nested} THEN NULL ELSE {as_text} END AS `{field}`")
         else:
-            taken.append(f"try_cast({leaf} AS {kind}) AS `{field}`")
-    return rows.selectExpr("*", *taken).drop("_types")
+            taken.append(f"try_cast({as_text} AS {kind}) AS `{field}`")
+    return rows.selectExpr("*", *taken)

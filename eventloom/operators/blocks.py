@@ -1,14 +1,12 @@
-"""Text blocks of a group's rows, of bounded size whatever the group's size."""
+"""Text of a group's rows in pages, of bounded size whatever the group's size."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SALTS = 32
-
 
 def _cell(column: Column, escape: bool) -> Column:
     text = F.coalesce(column.cast("string"), F.lit("None"))
@@ -21,57 +19,71 @@ def tsv_blocks(
     keys: Sequence[str],
     columns: Sequence[str],
     sort: Sequence[str],
-    max_rows: int = 20_000,
+    page_rows: int = 20_000,
     escape: bool = False,
 ) -> DataFrame:
     """Tab-separated text per group: a header line and one line per row, sorted.
 
-    A group of up to `max_rows` rows is one block. A larger one is dealt out to
-    as many blocks as it needs, each sorted on its own, and every row is in
-    exactly one of them. Equal rows are counted before they travel and dealt out
-    by number, so neither a busy group nor a mass of copies meets in one task.
+    The text comes in pages of `page_rows` rows by position, whatever the group's size.
+    Pages joined by line breaks in the order of `block_no` are the text of the whole
+    group; the header is on the first. Equal rows are counted before they travel, and
+    a group is numbered slice by slice along its order, so neither a busy group nor a
+    mass of copies meets in one task.
     """
     missing = [name for name in columns if name not in rows.columns]
     if missing:
         raise ValueError(f"missing columns: {missing}")
-    named = rows.dropna(subset=list(keys))
     content = list(dict.fromkeys([*keys, *columns]))
-    distinct = named.groupBy(*content).agg(F.count("*").alias("_copies"))
-    # only groups above the limit are looked up; salted, as these are the busy ones
-    large = (
-        distinct.groupBy(*keys)
+    order = {}
+    for n, name in enumerate([*sort, *[name for name in columns if name not in sort]]):
+        order |= {f"_null{n}": F.col(name).isNull(), f"_value{n}": F.col(name)}
+    distinct = (
+        rows.dropna(subset=list(keys))
+        .groupBy(*content)
+        .agg(F.count("*").alias("_copies"))
+        .withColumn("_slice", F.pmod(F.hash(*sort), F.lit(1 << 30)))
+    )
+    # a slice is one combination of the sorting columns; the hash only names it in the join
+    head = [F.col(name) for name in sort]
+    ranked = [c for name in sort for c in (F.col(name).isNull(), F.col(name))]
+    before = Window.partitionBy(*keys).orderBy(*ranked).rowsBetween(Window.unboundedPreceding, -1)
+    slices = (
+        distinct.groupBy(*keys, "_slice", *head)
         .agg(F.sum("_copies").alias("_size"))
-        .where(F.col("_size") > max_rows)
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        .withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+        .withColumn("_total", F.sum("_size").over(Window.partitionBy(*keys)))
+    )
+    left, right = distinct.alias("l"), slices.alias("r")
+    same = [F.col(f"l.{key}") == F.col(f"r.{key}") for key in [*keys, "_slice"]]
+    same += [F.col(f"l.{name}").eqNullSafe(F.col(f"r.{name}")) for name in sort]
+    placed = left.join(right, same).select("l.*", "_before", "_total").withColumns(order)
+    inside = (
+        Window.partitionBy(*keys, *sort)
+        .orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    salt = F.pmod(F.xxhash64(*content), F.lit(SALTS)).cast("int")
-    sized = distinct.withColumn("_salt", salt).join(large, [*keys, "_salt"], "left")
-    batches = F.floor((F.col("_copies") - 1) / max_rows).cast("int")
-    dealt = (
-        sized.withColumn("block_count", F.coalesce(F.ceil(F.col("_size") / max_rows), F.lit(1)))
-        .withColumn("_batch", F.explode(F.sequence(F.lit(0), batches)))
-        .withColumns(
-            {
-                "_n": F.least(F.lit(max_rows), F.col("_copies") - F.col("_batch") * max_rows).cast("int"),
-                "block_no": F.pmod(F.xxhash64(*content, "_batch"), F.col("block_count")) + 1,
-            }
+    first = F.col("_before") + F.coalesce(F.sum("_copies").over(inside), F.lit(0))
+    page_of = F.expr(f"sequence(_first div {page_rows}, (_first + _copies - 1) div {page_rows})")
+    paged = (
+        placed.withColumn("_first", first)
+        .withColumn("_page", F.explode(page_of))
+        .withColumn(
+            "_n",
+            F.least(F.col("_first") + F.col("_copies"), (F.col("_page") + 1) * page_rows)
+            - F.greatest(F.col("_first"), F.col("_page") * page_rows),
         )
     )
-    order: list[Column] = []
-    rest = [name for name in columns if name not in sort]
-    for n, name in enumerate([*sort, *rest]):
-        order += [F.col(name).isNull().alias(f"n{n}"), F.col(name).alias(f"v{n}")]
     line = F.concat_ws("\t", *[_cell(F.col(name), escape) for name in columns])
-    entry = F.struct(*order, line.alias("line"), F.col("_n").alias("n"))
-    collected = dealt.groupBy(*keys, "block_no", "block_count").agg(
+    entry = F.struct("_first", line.alias("line"), F.col("_n").cast("int").alias("n"))
+    collected = paged.groupBy(*keys, "_page", "_total").agg(
         F.array_sort(F.collect_list(entry)).alias("_entries"), F.sum("_n").alias("row_count")
     )
     lines = F.flatten(F.transform("_entries", lambda e: F.array_repeat(e["line"], e["n"])))
-    header = F.array(F.lit("\t".join(columns)))
+    header = F.when(F.col("_page") == 0, F.array(F.lit("\t".join(columns)))).otherwise(F.array())
     return collected.select(
         *keys,
-        F.col("block_no").cast("int").alias("block_no"),
-        F.col("block_count").cast("int").alias("block_count"),
+        (F.col("_page") + 1).cast("int").alias("block_no"),
+        F.ceil(F.col("_total") / page_rows).cast("int").alias("block_count"),
         "row_count",
         F.array_join(F.concat(header, lines), "\n").alias("tsv"),
     )

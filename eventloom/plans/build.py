@@ -37,37 +37,37 @@ class WholeTable:
     partition_by: str | None = None
 
 
-def _events(tables: Tables) -> DataFrame:
-    return tables.read(EVENTS, schemas.FILTERED_EVENT)
+def _events(tables: Tables, days: Days = None) -> DataFrame:
+    return tables.read(EVENTS, schemas.FILTERED_EVENT, days, "dt_kst")
 
 
 def _fact(tables: Tables) -> DataFrame:
     return tables.read("dw_activity_daily", schemas.ACTIVITY_DAILY)
 
 
-def _read_typed(tables: Tables, name: str) -> DataFrame:
-    return tables.read(name, events.typed_schema(EVENT_SHAPES[name]))
+def _read_typed(tables: Tables, name: str, days: Days = None) -> DataFrame:
+    return tables.read(name, events.typed_schema(EVENT_SHAPES[name]), days)
 
 
 def _typed(shape: EventShape) -> Callable[[Tables, Days], DataFrame]:
-    return lambda tables, days: events.typed_events(_events(tables), shape, days)
+    return lambda tables, days: events.typed_events(_events(tables, days), shape, days)
 
 
 DAILY: list[DailyTable] = [
-    DailyTable("stg_gh_events", lambda t, d: events.stg_gh_events(_events(t), d)),
+    DailyTable("stg_gh_events", lambda t, d: events.stg_gh_events(_events(t, d), d)),
     *[DailyTable(name, _typed(shape)) for name, shape in EVENT_SHAPES.items()],
     DailyTable(
         "dw_activity_daily",
-        lambda t, d: facts.dw_activity_daily(t.read("stg_gh_events", schemas.STG_EVENTS), d),
+        lambda t, d: facts.dw_activity_daily(t.read("stg_gh_events", schemas.STG_EVENTS, d), d),
     ),
-    DailyTable("dw_watch_daily", lambda t, d: facts.dw_watch_daily(_read_typed(t, "dl_watch_events"), d)),
+    DailyTable("dw_watch_daily", lambda t, d: facts.dw_watch_daily(_read_typed(t, "dl_watch_events", d), d)),
     DailyTable(
         "dw_activity_feed",
-        lambda t, d: feed_from_tables({name: _read_typed(t, name) for name in EVENT_SHAPES}, d),
+        lambda t, d: feed_from_tables({name: _read_typed(t, name, d) for name in EVENT_SHAPES}, d),
     ),
     DailyTable(
         "dm_watch_summary",
-        lambda t, d: facts.dm_watch_summary(t.read("dw_watch_daily", schemas.WATCH_DAILY), d),
+        lambda t, d: facts.dm_watch_summary(t.read("dw_watch_daily", schemas.WATCH_DAILY, d), d),
     ),
 ]
 
@@ -99,13 +99,29 @@ VIEWS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "dm_unique_users_by_org_repo": facts.dm_unique_users_by_org_repo,
 }
 
-DECLARED: dict[str, StructType] = {
-    "stg_gh_events": schemas.STG_EVENTS,
-    "dw_activity_daily": schemas.ACTIVITY_DAILY,
-    "dw_watch_daily": schemas.WATCH_DAILY,
-    "dw_activity_feed": schemas.ACTIVITY_FEED,
-    "dm_watch_summary": schemas.WATCH_SUMMARY,
-}
+# Name, schema and partition columns of every stored table.
+DECLARED: list[tuple[str, StructType, tuple[str, ...]]] = [
+    (EVENTS, schemas.FILTERED_EVENT, EVENT_PARTITIONS),
+    ("stg_gh_events", schemas.STG_EVENTS, ("base_date",)),
+    *[(name, events.typed_schema(shape), ("base_date",)) for name, shape in EVENT_SHAPES.items()],
+    ("dw_activity_daily", schemas.ACTIVITY_DAILY, ("base_date",)),
+    ("dw_watch_daily", schemas.WATCH_DAILY, ("base_date",)),
+    ("dw_activity_feed", schemas.ACTIVITY_FEED, ("base_date",)),
+    ("dm_watch_summary", schemas.WATCH_SUMMARY, ("base_date",)),
+    ("dim_event_type", schemas.DIM_EVENT_TYPE, ()),
+    ("dim_organization", schemas.DIM_ORGANIZATION, ()),
+    ("dim_repository", schemas.DIM_REPOSITORY, ()),
+    ("dim_user", schemas.DIM_USER, ()),
+    ("dm_active_users_daily", schemas.ACTIVE_USERS_DAILY, ("base_date",)),
+    ("dm_org_overview", schemas.ORG_OVERVIEW, ("activity_date",)),
+    ("dm_user_activity", schemas.USER_ACTIVITY, ("activity_date",)),
+    ("dm_repo_contributors", schemas.REPO_CONTRIBUTORS, ("period_start_date",)),
+    ("dm_user_retention", schemas.USER_RETENTION, ("cohort_date",)),
+    ("dm_user_cohort_summary", schemas.COHORT_SUMMARY, ("cohort_month",)),
+    ("gh_user_relations", schemas.USER_RELATIONS, ("dt_kst",)),
+    ("dl_actor_week", schemas.ACTOR_WEEK_REPORT, ()),
+    ("dl_repo_week", schemas.REPO_WEEK_REPORT, ()),
+]
 
 
 def append_events(tables: Tables, filtered: DataFrame) -> None:
@@ -162,13 +178,13 @@ def create_views(tables: Tables) -> None:
         tables.view(name, build(_fact(tables)))
 
 
-def declare_tables(tables: Tables) -> None:
-    """Register the daily tables in the catalog with their declared schemas."""
-    typed = {name: events.typed_schema(shape) for name, shape in EVENT_SHAPES.items()}
-    for name, schema in (DECLARED | typed).items():
-        tables.declare(name, schema, ["base_date"])
+def declare_tables(tables: Tables, names: Sequence[str] | None = None) -> None:
+    """Register the stored tables in the catalog with their declared schemas."""
+    for name, schema, keys in DECLARED:
+        if names is None or name in names:
+            tables.declare(name, schema, keys)
 
 
 def drop_tables(tables: Tables) -> None:
-    for table in DAILY:
-        tables.drop(table.name)
+    for name, _, _ in DECLARED:
+        tables.drop(name)

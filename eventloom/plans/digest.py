@@ -81,15 +81,15 @@ def groups(extract: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def digest_blocks(
-    extract: DataFrame, keys: Sequence[str], max_rows: int = 20_000, escape: bool = False
+    extract: DataFrame, keys: Sequence[str], page_rows: int = 20_000, escape: bool = False
 ) -> DataFrame:
-    """Activity rows of each group as tab-separated text."""
+    """Activity rows of each group as tab-separated text, in pages of so many rows."""
     return tsv_blocks(
         extract,
         keys=keys,
         columns=fixed.DIGEST_COLUMNS,
         sort=("base_date", "organization", "repo_name", "actor_login"),
-        max_rows=max_rows,
+        page_rows=page_rows,
         escape=escape,
     )
 
@@ -115,8 +115,11 @@ def single_group(extract: DataFrame, **key: str) -> DataFrame:
     return rows
 
 
-def weekly_actor_digest(extract: DataFrame, top_n: int = 5) -> DataFrame:
-    """Organizations and most active repos of each person, with event types."""
+def weekly_actor_digest(extract: DataFrame, top_n: int | None = None) -> DataFrame:
+    """Organizations and repos of each person, most active first, with event types.
+
+    With `top_n` only so many repos are listed.
+    """
     key = ["week_start", "actor_login"]
     counted = (
         extract.where(F.col("actor_login").isNotNull())
@@ -130,9 +133,10 @@ def weekly_actor_digest(extract: DataFrame, top_n: int = 5) -> DataFrame:
     # so both branches read the one shuffle of `counted`
     no_repo = F.col("repo_name").isNull()
     order = Window.partitionBy(*key).orderBy(no_repo, F.desc("n"), "repo_name")
+    listed = ~no_repo if top_n is None else (F.col("rank") <= top_n) & ~no_repo
     top = (
         per_repo.withColumn("rank", F.row_number().over(order))
-        .where((F.col("rank") <= top_n) & ~no_repo)
+        .where(listed)
         .groupBy(*key)
         .agg(F.array_sort(F.collect_list(F.struct("rank", "repo_name", "events"))).alias("_top"))
         .select(
@@ -163,13 +167,16 @@ def weekly_repo_digest(extract: DataFrame, top_n: int = 3) -> DataFrame:
         .groupBy(*key, "actor_login", "source_event_type")
         .agg(F.count("*").alias("n"))
     )
+    # both branches read all columns of `per_type`, so they share its exchange
     per_actor = per_type.groupBy(*key, "actor_login").agg(
         F.sum("n").alias("n"),
         F.min(F.struct((-F.col("n")).alias("m"), F.col("source_event_type").alias("t"))).alias("best"),
+    )
+    by_kind = per_type.groupBy(*key).agg(
         *[
             F.sum(F.when(F.col("source_event_type").isin(*types), F.col("n")).otherwise(0)).alias(name)
             for name, types in kinds.items()
-        ],
+        ]
     )
     # nobody ranks last and is left out after ranking, so both branches share a shuffle
     nobody = F.col("actor_login").isNull()
@@ -196,8 +203,7 @@ def weekly_repo_digest(extract: DataFrame, top_n: int = 3) -> DataFrame:
             ).alias("contributors_top"),
         )
     )
-    totals = per_actor.groupBy(*key).agg(*[F.sum(name).alias(name) for name in kinds])
-    return totals.join(top.hint("merge"), key, "left")
+    return by_kind.join(top.hint("merge"), key, "left")
 
 
 # --- reports that come back as text ------------------------------------------

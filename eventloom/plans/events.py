@@ -93,11 +93,11 @@ def typed_events(
     arrays = (shape.items,) if shape.items else ()
     rows = _named(own, "user_login", "payload")
     rows = payload.with_parsed(rows, "payload", "_p", shape.fields, arrays)
-    rows = payload.with_fields(rows, "payload", "_p", shape.fields)
+    rows = payload.with_fields(rows, "_p", shape.fields)
     if shape.items:
         rows = rows.withColumn("_item", F.explode(F.col("_p").getField(shape.items)))
         rows = payload.with_parsed(rows.drop("_p", "payload"), "_item", "_i", shape.item_fields)
-        rows = payload.with_fields(rows, "_item", "_i", shape.item_fields)
+        rows = payload.with_fields(rows, "_i", shape.item_fields)
     derived = {name: c.is_value(F.col(source), value) for name, source, value in shape.flags}
     derived |= {name: F.col(source) for name, source in shape.copies}
     if shape is PUSH:

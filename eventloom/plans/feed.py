@@ -249,9 +249,9 @@ def dw_activity_feed(events: DataFrame, days: Iterable[date] | None = None) -> D
         f"CASE type WHEN '{ef.PUSH.event_type}' THEN _p.commits "
         f"WHEN '{ef.GOLLUM.event_type}' THEN _p.pages ELSE array(cast(NULL AS string)) END"
     )
-    rows = payload.with_fields(rows, "payload", "_p", fields).withColumn("_item", F.explode(items))
+    rows = payload.with_fields(rows, "_p", fields).withColumn("_item", F.explode(items))
     rows = payload.with_parsed(rows.drop("_p", "payload"), "_item", "_i", item_fields)
-    rows = payload.with_fields(rows, "_item", "_i", item_fields)
+    rows = payload.with_fields(rows, "_i", item_fields)
     rows = rows.withColumns({"ref_name": _push_extras({})["ref_name"]})
 
     keys, texts = (

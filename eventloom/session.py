@@ -12,7 +12,6 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
-    "spark.sql.files.ignoreMissingFiles": "true",
     # wide typed tables: more compiled stages than the default cache holds
     "spark.sql.codegen.cache.maxEntries": "2000",
 }
@@ -40,7 +39,8 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     own = spark.sparkContext.getCheckpointDir()
     if own is None:

@@ -22,14 +22,18 @@ def hour_paths(root: str, day: date | str) -> list[str]:
 
 
 def existing_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
-    """Paths that are there; a missing hour is skipped, not an error."""
+    """Paths that are there; a missing hour is skipped, not an error.
+
+    Each folder is listed once, not once per file.
+    """
     jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
-    found = []
-    for path in paths:
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        if target.getFileSystem(conf).exists(target):
-            found.append(path)
-    return found
+    there: dict[str, set[str]] = {}
+    for folder in {path.rpartition("/")[0] for path in paths}:
+        target = jvm.org.apache.hadoop.fs.Path(folder)
+        fs = target.getFileSystem(conf)
+        listed = fs.listStatus(target) if fs.exists(target) else []
+        there[folder] = {status.getPath().getName() for status in listed}
+    return [path for path in paths if path.rpartition("/")[2] in there[path.rpartition("/")[0]]]
 
 
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

@@ -82,7 +82,8 @@ _VALUES = {
     "other": f"'u' || {_text('(user_id * 7 + event_id) % 50')}",
     "other_id": _text("(user_id * 7 + event_id) % 50"),
     "sha": f"'c' || {_text('event_id')} || 'abcdef0123456789'",
-    "title": f"event_type || ' ' || chr(92) || '\"' || {_text('value')} || chr(92) || '\" ' || repeat('가나다 ', 40)",
+    # a ticket in brackets is text, though it looks like a list
+    "title": f"(case when {_TURN} % 7 = 0 then '[SPARK-1] ' when {_TURN} % 7 = 3 then '[1' else '' end) || event_type || ' ' || chr(92) || '\"' || {_text('value')} || chr(92) || '\" ' || repeat('가나다 ', 40)",
     "deep": "repeat('/deep', 20)",
     "size": _text("event_id % 3"),
     "small": _text("event_id % 9"),
@@ -161,9 +162,10 @@ _PAYLOADS = {
         {"repository_id":<repo_id>,"push_id":<event>,"size":"<size>","distinct_size":1.5,
         "ref":"<ref>","head":"<sha>","before":"<sha>b","commits":[<commits>]}
     """,
-    "IssuesEvent": '{"action":<issue_action>,' + _ISSUE + "}",
+    # repeated keys: such a payload is no valid document to a strict parser
+    "IssuesEvent": '{"action":<issue_action>,"twice":1,"twice":1,' + _ISSUE + "}",
     "IssueCommentEvent": '{"action":"created",' + _ISSUE + ',"comment":{' + _COMMENT + "}}",
-    "PullRequestEvent": '{"action":<pull_action>,"number":<number>,"pull_request":{' + _PULL + """,
+    "PullRequestEvent": '{"action":<pull_action>,"twice":1,"twice":1,"number":<number>,"pull_request":{' + _PULL + """,
         "draft":<even>,"body":<pull_body>,"head":{"ref":"feature/x","sha":"<sha>"},
         "base":{"ref":"main","sha":"<sha>b"},"commits":<small>,"additions":<large>,
         "deletions":<small>,"changed_files":<size>,"comments":<size>,"review_comments":<small>,
@@ -222,7 +224,8 @@ EVENT_COLUMNS = {
 
 # Archive lines as they are before ingest, with blank, broken and undated ones.
 _LINE_VALUES = _VALUES | {
-    "type": EVENT_TYPE,
+    "type": f"(case when event_id % 113 = 0 then 'None' else {EVENT_TYPE} end)",
+    "payload": f"({PAYLOAD})",
     "actor": f"({ACTOR_JSON})",
     "repo_json": f"({REPO_JSON})",
     "org_json": f"coalesce(({ORG_JSON}), 'null')",
@@ -233,7 +236,7 @@ LINE = (
     + _fill(
         """
         {"id":"<event>","type":"<type>","actor":<actor>,"repo":<repo_json>,
-        "payload":{"action":"started"},"public":true,"created_at":"<at>","org":<org_json>}
+        "payload":<payload>,"public":true,"created_at":"<at>","org":<org_json>}
         """,
         _LINE_VALUES,
     )
@@ -246,10 +249,10 @@ LINE = (
 FACT_COLUMNS = {
     "base_date": "cast(date '2024-01-01' + cast((o_orderkey * 31 + o_custkey * 17) % 150 as int) as date)",
     "organization": "case when o_orderkey % 211 = 0 then null else "
-    + _pick("o_custkey % 3", "CausalInferenceLab", "Pseudo-Lab", "apache")
+    + _pick("o_orderkey % 3", "CausalInferenceLab", "Pseudo-Lab", "apache")
     + " end",
     "repo_name": "case when o_orderkey % 199 = 0 then null else "
-    + _pick("o_custkey % 4", "superset", "study", "docs", "core")
+    + _pick("cast(floor(o_orderkey / 3) as bigint) % 4", "superset", "study", "docs", "core")
     + " end",
     "event_type": _pick("o_orderkey % 13", *_TYPES),
     "user_login": f"case when o_orderkey % 97 = 0 then null else 'u' || {_text('o_custkey')} end",
@@ -273,15 +276,8 @@ PAGE_COLUMNS = {
 # --- reading -----------------------------------------------------------------
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """The table; a file too small to be split is spread over the cores.
-
-    Only a scan narrower than the session is touched. One of a large table has
-    more tasks than cores and is read as it lies.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= min(cores, 8) else df.repartition(cores, key)
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -291,19 +287,19 @@ def _select(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 
 def filtered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _select(_table(spark, sf_dir, "events", "event_id"), EVENT_COLUMNS)
+    return _select(_table(spark, sf_dir, "events"), EVENT_COLUMNS)
 
 
 def archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON lines in a `value` column, with the UTC day of each."""
     columns = {"value": LINE, "utc_day": "cast(ts as date)"}
-    return _select(_table(spark, sf_dir, "events", "event_id"), columns)
+    return _select(_table(spark, sf_dir, "events"), columns)
 
 
 def order_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _select(_table(spark, sf_dir, "orders", "o_orderkey"), FACT_COLUMNS)
+    rows = _select(_table(spark, sf_dir, "orders"), FACT_COLUMNS)
     return rows.groupBy(*FACT_COLUMNS).count().withColumnRenamed("count", "event_count")
 
 
 def relation_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _select(_table(spark, sf_dir, "orders", "o_orderkey"), PAGE_COLUMNS)
+    return _select(_table(spark, sf_dir, "orders"), PAGE_COLUMNS)

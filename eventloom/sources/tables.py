@@ -6,11 +6,12 @@ at most over the days of one run.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterable, Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -30,17 +31,28 @@ def day_range(start: date | str, end: date | str) -> list[date]:
 
 
 class Tables:
-    """Named tables below one root folder."""
+    """Named tables below one root folder.
 
-    def __init__(self, spark: SparkSession, root: str):
+    A table's files lie in a folder per version, `<root>/<name>/<version>`. A version
+    counts once its marker `<root>/_versions/<name>/<version>` exists; the last one is
+    the table. So a rebuild shows all at once or not at all, and one that is cut short
+    leaves the table as it was.
+
+    Declared tables are kept in step: every write registers the partitions it
+    has written and drops those it has emptied.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, catalog_prefix: str = ""):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.catalog_prefix = catalog_prefix
         self._jvm = spark._jvm
         self._conf = spark._jsparkSession.sessionState().newHadoopConf()
 
     # --- folders ---
 
     def path(self, name: str) -> str:
+        """A folder beside the tables, for raw files and checkpoints."""
         return f"{self.root}/{name}"
 
     def _handle(self, path: str):
@@ -51,30 +63,87 @@ class Tables:
         fs, target = self._handle(path)
         if not fs.exists(target):
             return []
-        return [status.getPath().getName() for status in fs.listStatus(target)]
+        names = [status.getPath().getName() for status in fs.listStatus(target)]
+        return sorted(name for name in names if not name.startswith(("_", ".")))
+
+    def _delete(self, path: str) -> None:
+        fs, target = self._handle(path)
+        fs.delete(target, True)
+
+    def _versions(self, name: str) -> list[str]:
+        return self._children(f"{self.root}/_versions/{name}")
+
+    def _new_version(self, name: str) -> str:
+        last = self._versions(name)[-1:]
+        number = int(last[0].split("-")[0]) + 1 if last else 1
+        return f"{number:06d}-{uuid.uuid4().hex[:12]}"
+
+    def _publish(self, name: str, version: str) -> None:
+        fs, marker = self._handle(f"{self.root}/_versions/{name}/{version}")
+        fs.create(marker, False).close()
+
+    def data_path(self, name: str) -> str:
+        """The folder of the current version."""
+        versions = self._versions(name)
+        if not versions:
+            raise FileNotFoundError(f"{self.root}/{name}")
+        return f"{self.root}/{name}/{versions[-1]}"
 
     def exists(self, name: str) -> bool:
-        return any(not child.startswith(("_", ".")) for child in self._children(self.path(name)))
+        return bool(self._versions(name))
 
     def days(self, name: str, day_column: str = "base_date") -> list[str]:
         prefix = f"{day_column}="
-        return sorted(
-            child[len(prefix):] for child in self._children(self.path(name)) if child.startswith(prefix)
-        )
+        found = self._children(self.data_path(name)) if self.exists(name) else []
+        return [child[len(prefix):] for child in found if child.startswith(prefix)]
 
     # --- reading ---
 
-    def read(self, name: str, schema: StructType | None = None) -> DataFrame:
-        """Read a table; with a schema, columns an old file lacks come out NULL."""
+    def read(
+        self,
+        name: str,
+        schema: StructType | None = None,
+        days: Iterable[date | str] | None = None,
+        day_column: str = "base_date",
+    ) -> DataFrame:
+        """Read a table; with a schema, columns an old file lacks come out NULL.
+
+        Given days, only their folders are listed and read.
+        """
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         if not self.exists(name):
             if schema is None:
-                raise FileNotFoundError(self.path(name))
+                raise FileNotFoundError(f"{self.root}/{name}")
             return self.spark.createDataFrame([], schema)
-        return reader.parquet(self.path(name))
+        folder = self.data_path(name)
+        if days is None:
+            return reader.parquet(folder)
+        wanted = {str(run_day(day)) for day in days}
+        there = [day for day in self.days(name, day_column) if day in wanted]
+        if not there:
+            return reader.parquet(folder).where("false") if schema is None else self.spark.createDataFrame([], schema)
+        return self.read_parts(name, [f"{day_column}={day}" for day in there], schema)
+
+    def read_parts(self, name: str, parts: Sequence[str], schema: StructType | None = None) -> DataFrame:
+        """Read some partition folders, named below the table."""
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
+        folder = self.data_path(name)
+        return reader.option("basePath", folder).parquet(*[f"{folder}/{part}" for part in parts])
+
+    def parts(self, name: str, levels: int, under: str = "") -> list[str]:
+        """Partition folders below the table (or below one of its folders)."""
+        found = [under] if under else [""]
+        for _ in range(levels - (under.count("/") + 1 if under else 0)):
+            found = [
+                f"{part}/{child}".lstrip("/")
+                for part in found
+                for child in self._children(f"{self.data_path(name)}/{part}")
+                if "=" in child
+            ]
+        return found
 
     def view(self, name: str, df: DataFrame) -> None:
-        df.createOrReplaceTempView(name)
+        df.createOrReplaceTempView(self.catalog_name(name))
 
     # --- writing ---
 
@@ -88,6 +157,34 @@ class Tables:
         if missing:
             raise ValueError(f"partition columns not in the data: {missing}")
 
+    def _write(
+        self,
+        df: DataFrame,
+        folder: str,
+        keys: Sequence[str],
+        sort_by: Sequence[str] = (),
+        mode: str = "error",
+    ) -> set[tuple]:
+        """Write the rows; gives the partition values written, observed on the way."""
+        self._check_partitions(df, keys)
+        seen = Observation()
+        if keys:
+            values = F.to_json(F.array(*[F.col(key).cast("string") for key in keys]))
+            df = df.observe(seen, F.collect_set(values).alias("parts"))
+        rows = self._balanced(df, keys)
+        if sort_by:
+            rows = rows.sortWithinPartitions(*keys, *sort_by)
+        writer = rows.write.partitionBy(*keys)
+        if mode == "replace":
+            writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        else:
+            writer = writer.mode(mode)
+        writer.parquet(folder)
+        # rows known to be none while planning are not observed
+        if not keys or seen._jo.getRow().length() == 0:
+            return set()
+        return {tuple(json.loads(part)) for part in seen.get["parts"]}
+
     def append(
         self,
         name: str,
@@ -96,23 +193,36 @@ class Tables:
         sort_by: Sequence[str] = (),
     ) -> None:
         """Create on first write, append afterwards; new columns are allowed."""
-        self._check_partitions(df, partition_by)
-        rows = self._balanced(df, partition_by)
-        if sort_by:
-            rows = rows.sortWithinPartitions(*partition_by, *sort_by)
-        rows.write.partitionBy(*partition_by).mode("append").parquet(self.path(name))
+        self._into_version(name, df, partition_by, sort_by, "append")
+
+    def overwrite_parts(
+        self, name: str, df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str] = ()
+    ) -> set[tuple]:
+        """Replace the partitions that `df` has rows for, leave the others; gives those."""
+        return self._into_version(name, df, partition_by, sort_by, "replace")
+
+    def _into_version(self, name, df, keys, sort_by, mode) -> set[tuple]:
+        if self.exists(name):
+            written = self._write(df, self.data_path(name), keys, sort_by, mode)
+        else:
+            version = self._new_version(name)
+            written = self._write(df, f"{self.root}/{name}/{version}", keys, sort_by, mode)
+            self._publish(name, version)
+        self._register(name, keys, written)
+        return written
 
     def rebuild(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
-        """Drop and replace the whole table; it may be computed from itself."""
-        self._check_partitions(df, partition_by)
-        staged = f"{self.root}/_staged/{name}-{uuid.uuid4().hex}"
-        self._balanced(df, partition_by).write.partitionBy(*partition_by).parquet(staged)
-        fs, target = self._handle(self.path(name))
-        _, source = self._handle(staged)
-        fs.delete(target, True)
-        fs.mkdirs(target.getParent())
-        if not fs.rename(source, target):
-            raise OSError(f"cannot move {staged} to {self.path(name)}")
+        """Replace the whole table, even if it is computed from itself.
+
+        The version before is kept for readers that still use it; older ones go.
+        """
+        version = self._new_version(name)
+        self._write(df, f"{self.root}/{name}/{version}", partition_by)
+        self._publish(name, version)
+        for old in self._versions(name)[:-2]:
+            self._delete(f"{self.root}/_versions/{name}/{old}")
+            self._delete(f"{self.root}/{name}/{old}")
+        self._moved(name)
 
     def replace_days(
         self,
@@ -124,35 +234,36 @@ class Tables:
     ) -> None:
         """Replace exactly the given days by the rows of `df`.
 
-        One job writes all days to a staging folder; then each day's folder is
-        exchanged. A day without rows loses its old rows too, which a dynamic
-        partition overwrite would leave behind. Running it again gives the same
-        table, so a run cut short is repaired by repeating it.
+        One job overwrites the partitions that have rows. Then the partitions of these
+        days that got none are dropped, which the overwrite leaves behind.
+        Running it again gives the same table, so a run cut short is repaired by
+        repeating it.
         """
         wanted = sorted({str(run_day(day)) for day in days})
         keys = (day_column, *more_partitions)
         self._check_partitions(df, keys)
         rows = df.where(F.col(day_column).isin([date.fromisoformat(day) for day in wanted]))
-        staged = f"{self.root}/_staged/{name}-{uuid.uuid4().hex}"
-        self._balanced(rows, keys).write.partitionBy(*keys).parquet(staged)
-        fs, root = self._handle(self.path(name))
-        fs.mkdirs(root)
-        for day in wanted:
-            folder = f"{day_column}={day}"
-            _, old = self._handle(f"{self.path(name)}/{folder}")
-            _, new = self._handle(f"{staged}/{folder}")
-            fs.delete(old, True)
-            if fs.exists(new) and not fs.rename(new, old):
-                raise OSError(f"cannot move {new} to {old}")
-        _, rest = self._handle(staged)
-        fs.delete(rest, True)
-
-    def overwrite_parts(self, name: str, df: DataFrame, partition_by: Sequence[str]) -> None:
-        """Replace the partitions that `df` has rows for, leave the others."""
-        self._check_partitions(df, partition_by)
-        self._balanced(df, partition_by).write.partitionBy(*partition_by).mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).parquet(self.path(name))
+        written = self.overwrite_parts(name, rows, keys)
+        kept = {"/".join(f"{k}={v}" for k, v in zip(keys, part, strict=True)) for part in written}
+        there = set(self.days(name, day_column))
+        emptied = [
+            part
+            for day in wanted
+            if day in there
+            for part in self.parts(name, len(keys), f"{day_column}={day}")
+            if part not in kept
+        ]
+        self.drop_parts(name, emptied)
+
+    def drop_parts(self, name: str, parts: Sequence[str]) -> None:
+        """Delete partition folders, named below the table."""
+        folder = self.data_path(name)
+        declared = self._declared(name)
+        for part in parts:
+            if declared:
+                spec = self._spec(part.split("/"))
+                self.spark.sql(f"ALTER TABLE {self.catalog_name(name)} DROP IF EXISTS PARTITION ({spec})")
+            self._delete(f"{folder}/{part}")
 
     def store(
         self, name: str, df: DataFrame, mode: str = "auto", partition_by: Sequence[str] = ()
@@ -169,18 +280,67 @@ class Tables:
 
     # --- catalog ---
 
+    def catalog_name(self, name: str) -> str:
+        return f"{self.catalog_prefix}{name}"
+
+    @staticmethod
+    def _spec(pairs: Iterable[str]) -> str:
+        parts = []
+        for pair in pairs:
+            key, _, value = pair.partition("=")
+            parts.append(f"`{key}` = '{value}'")
+        return ", ".join(parts)
+
+    def _declared(self, name: str) -> bool:
+        table = self.catalog_name(name)
+        return self.spark.catalog.tableExists(table) and self.spark.catalog.getTable(table).tableType == "EXTERNAL"
+
     def declare(self, name: str, schema: StructType, partition_by: Sequence[str] = ()) -> None:
-        """CREATE TABLE IF NOT EXISTS over the table's folder."""
+        """CREATE TABLE IF NOT EXISTS over the table's folder, with the partitions it has."""
+        if self._declared(name):
+            return
+        if not self.exists(name):
+            version = self._new_version(name)
+            fs, folder = self._handle(f"{self.root}/{name}/{version}")
+            fs.mkdirs(folder)
+            self._publish(name, version)
         body = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         parts = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+        table = self.catalog_name(name)
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} ({body}) USING parquet {parts} "
-            f"LOCATION '{self.path(name)}'"
+            f"CREATE TABLE {table} ({body}) USING parquet {parts} LOCATION '{self.data_path(name)}'"
         )
+        if partition_by:
+            self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+
+    def _register(self, name: str, keys: Sequence[str], written: set[tuple]) -> None:
+        """Make the partitions just written known to a declared table."""
+        if not self._declared(name):
+            return
+        table = self.catalog_name(name)
+        specs = [
+            f"PARTITION ({self._spec(f'{k}={v}' for k, v in zip(keys, part, strict=True))})"
+            for part in sorted(written, key=repr)
+            if None not in part
+        ]
+        if specs:
+            self.spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(specs)}")
+        if len(specs) < len(written):  # NULL values have a folder name of their own
+            self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+        self.spark.catalog.refreshTable(table)
+
+    def _moved(self, name: str) -> None:
+        """Declare a rebuilt table again, at its new place."""
+        if self._declared(name):
+            table = self.catalog_name(name)
+            schema = self.spark.table(table).schema
+            keys = [c.name for c in self.spark.catalog.listColumns(table) if c.isPartition]
+            self.drop(name)
+            self.declare(name, schema, keys)
 
     def drop(self, name: str) -> None:
         """DROP TABLE IF EXISTS; the files stay where they are."""
-        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.catalog_name(name)}")
 
 
 def report_table_name(df: DataFrame) -> str:

@@ -17,35 +17,106 @@ from ..sources.archive import EVENT_PARTITIONS, filter_events
 from ..sources.tables import Tables
 
 _STORED = StructType([*schemas.FILTERED_EVENT.fields, StructField("batch", LongType())])
+BATCH_PARTITIONS = (*EVENT_PARTITIONS, "batch")
 
 
-def archive_stream(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
-    """New hourly files below a folder; each is taken once."""
+def archive_stream(
+    spark: SparkSession,
+    folder: str,
+    files_per_batch: int | None = None,
+    archive_to: str | None = None,
+    delete_read: bool = False,
+) -> DataFrame:
+    """New hourly files below a folder; each is taken once.
+
+    Files that are done can be moved to another folder or deleted, so that later starts
+    do not list them again.
+    """
     reader = spark.readStream.schema(schemas.RAW_EVENT).option("recursiveFileLookup", True)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if archive_to is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_to)
+    elif delete_read:
+        reader = reader.option("cleanSource", "delete")
     return reader.json(folder)
 
 
+def _store_batch(
+    tables: Tables, name: str, batch: DataFrame, number: int, organizations: Sequence[str] | None
+) -> list[str]:
+    """Write one batch, balanced and sorted by type; gives the days it touched.
+
+    Its rows lie in partitions of its own number below their day, so a batch that is tried
+    again overwrites what it wrote.
+    """
+    rows = filter_events(batch, organizations).withColumn("batch", F.lit(number).cast("bigint"))
+    written = tables.overwrite_parts(name, rows, BATCH_PARTITIONS, sort_by=["type"])
+    return sorted({day for day, _, _ in written if day is not None})
+
+
+def _live(parts: Sequence[str]) -> tuple[list[str], list[str]]:
+    """Batch folders that count, and those a compacted one has taken the place of.
+
+    Folder batch=-n holds all batches below n of its day and organization.
+    """
+    by_group: dict[str, list[int]] = {}
+    for part in parts:
+        group, _, number = part.rpartition("/batch=")
+        by_group.setdefault(group, []).append(int(number))
+    live, done = [], []
+    for group, numbers in by_group.items():
+        top = -min([0, *numbers])
+        for number in numbers:
+            counts = number == -top if number < 0 else number >= top
+            (live if counts else done).append(f"{group}/batch={number}")
+    return live, done
+
+
+def read_batches(tables: Tables, name: str, days: Sequence[str] | None = None) -> DataFrame:
+    """The event table a stream writes; given days, only their folders are listed."""
+    if not tables.exists(name):
+        return tables.read(name, _STORED)
+    wanted = tables.days(name, "dt_kst") if days is None else days
+    parts = [p for day in wanted for p in tables.parts(name, 3, f"dt_kst={day}")]
+    live, _ = _live(parts)
+    return tables.read_parts(name, live, _STORED) if live else tables.spark.createDataFrame([], _STORED)
+
+
+def compact_days(tables: Tables, name: str, days: Sequence[str]) -> None:
+    """Merge the batches of closed days into one folder per day and organization.
+
+    The merged folder says by its number which batches it holds. Readers go by that, so
+    a run cut short shows no row twice, and repeating it finishes the work.
+    """
+    parts = [p for day in days for p in tables.parts(name, 3, f"dt_kst={day}")]
+    live, _ = _live(parts)
+    if not live:
+        return
+    numbers = [int(part.rpartition("=")[2]) for part in live]
+    top = max(number + 1 if number >= 0 else -number for number in numbers)
+    merged = tables.read_parts(name, live, _STORED).withColumn("batch", F.lit(-top).cast("bigint"))
+    tables.overwrite_parts(name, merged, BATCH_PARTITIONS, sort_by=["type"])
+    tables.drop_parts(name, _live([p for day in days for p in tables.parts(name, 3, f"dt_kst={day}")])[1])
+
+
 def stream_ingest(
     lines: DataFrame,
     tables: Tables,
     checkpoint: str,
-    name: str = "gh_archive_filtered",
+    name: str = "gh_archive_by_batch",
     organizations: Sequence[str] | None = fixed.TARGET_ORGANIZATIONS,
 ) -> StreamingQuery:
-    """Append filtered events to the table, then stop when all files are read.
+    """Store filtered events batch by batch, then stop when all files are read.
 
-    The checkpoint records which files are done, so a restart neither repeats
-    nor skips one. The sink's own log makes its writes atomic; the table then
-    belongs to the stream, and batch jobs must append elsewhere.
+    The checkpoint records which files are done, so a restart neither repeats nor skips
+    one. Read the table with `read_batches`.
     """
     return (
-        filter_events(lines, organizations)
-        .writeStream.format("parquet")
-        .option("path", tables.path(name))
+        lines.writeStream.foreachBatch(
+            lambda batch, number: _store_batch(tables, name, batch, number, organizations)
+        )
         .option("checkpointLocation", checkpoint)
-        .partitionBy(*EVENT_PARTITIONS)
         .trigger(availableNow=True)
         .start()
     )
@@ -62,18 +133,13 @@ def stream_daily_counts(
     """Keep the daily fact current: each batch recounts the days it touched.
 
     Late rows need no watermark, as a touched day is counted again from the
-    event table. A batch's rows lie in partitions of its own number below their
-    day; a batch that is tried again overwrites those, so it changes nothing.
+    event table.
     """
 
     def load(batch: DataFrame, number: int) -> None:
-        stored = filter_events(batch, organizations).withColumn("batch", F.lit(number))
-        tables.overwrite_parts(events, stored, (*EVENT_PARTITIONS, "batch"))
-        mine = tables.read(events, _STORED).where(F.col("batch") == number)
-        # days of one batch: a handful of values, not data
-        days = [row[0] for row in mine.select("dt_kst").distinct().collect() if row[0]]
+        days = _store_batch(tables, events, batch, number, organizations)
         if days:
-            stg = stg_gh_events(tables.read(events, _STORED), days)
+            stg = stg_gh_events(read_batches(tables, events, days))
             tables.replace_days(daily, dw_activity_daily(stg), days)
 
     return (

@@ -134,7 +134,7 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, tmp_path, tables):
     for _ in range(2):
         stream = ingest.archive_stream(spark, str(folder), files_per_batch=2)
         ingest.stream_ingest(stream, tables, tables.path("_mark")).awaitTermination()
-        stored = tables.read("gh_archive_filtered", schemas.FILTERED_EVENT)
+        stored = ingest.read_batches(tables, "gh_archive_by_batch")
         assert stored.select(*batch.columns).exceptAll(batch).count() == 0
         assert stored.count() == batch.count() == 30
 
@@ -216,13 +216,77 @@ def test_store_modes_and_schema_growth(spark, tables):
 
 
 def test_declared_tables(spark, tables):
+    tables.rebuild("dw_activity_daily", days_of(spark, (1, "a"), (2, "b")), ["base_date"])
     build.declare_tables(tables)
-    assert spark.table("dl_push_events").schema["base_date"].dataType.typeName() == "date"
     build.declare_tables(tables)
+    assert spark.table("dl_push_events").schema["base_date"].dataType.typeName() == "date"
+
+    def stored():
+        return sorted((r.base_date.day, r.repo_name) for r in spark.table("dw_activity_daily").collect())
+
+    assert stored() == [(1, "a"), (2, "b")]
+    tables.replace_days("dw_activity_daily", days_of(spark, (2, "c")), ["2024-01-01", "2024-01-02"])
+    assert stored() == [(2, "c")]
+    tables.append("dw_activity_daily", days_of(spark, (5, "d")), ["base_date"])
+    assert stored() == [(2, "c"), (5, "d")]
+    tables.rebuild("dw_activity_daily", days_of(spark, (7, "e")), ["base_date"])
+    assert stored() == [(7, "e")]
     build.drop_tables(tables)
     assert not spark.catalog.tableExists("dl_push_events")
 
 
+def days_of(spark, *values):
+    rows = [(date(2024, 1, day), "o", name, "PushEvent", "u", 1) for day, name in values]
+    return spark.createDataFrame(rows, schemas.ACTIVITY_DAILY)
+
+
+def test_a_rebuild_cut_short_changes_nothing(spark, tables):
+    tables.rebuild("t", spark.createDataFrame([(1,)], "a int"))
+    broken = spark.range(3).select(F.when(F.col("id") == 2, F.raise_error(F.lit("lost"))).cast("int").alias("a"))
+    with pytest.raises(Exception, match="lost"):
+        tables.rebuild("t", broken)
+    assert [row.a for row in tables.read("t").collect()] == [1]
+    for n in range(4):
+        tables.rebuild("t", spark.createDataFrame([(n,)], "a int"))
+    assert [row.a for row in tables.read("t").collect()] == [3] and len(tables._versions("t")) == 2
+
+
+def test_given_days_are_the_only_ones_listed(spark, tables):
+    tables.rebuild("dw_activity_daily", days_of(spark, (1, "a"), (2, "b"), (3, "c")), ["base_date"])
+    one = tables.read("dw_activity_daily", schemas.ACTIVITY_DAILY, ["2024-01-02", "2024-01-09"])
+    assert {file.split("/")[-2] for file in one.inputFiles()} == {"base_date=2024-01-02"}
+    assert [(row.base_date, row.repo_name) for row in one.collect()] == [(date(2024, 1, 2), "b")]
+    assert tables.read("dw_activity_daily", schemas.ACTIVITY_DAILY, ["2024-02-02"]).count() == 0
+
+
+def test_a_vanished_file_raises(spark, tables):
+    tables.rebuild("t", spark.range(100).repartition(4))
+    rows = tables.read("t")
+    for file in rows.inputFiles():
+        tables._delete(file)
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist|FileNotFound"):
+        rows.count()
+
+
+def test_compacted_days(spark, tables):
+    def batch(number, *days):
+        rows = [(f"{number}", "PushEvent", date(2024, 1, d), "o", number) for d in days]
+        return spark.createDataFrame(rows, "id string, type string, dt_kst date, organization string, batch bigint")
+
+    for number, days in enumerate([(1, 2), (1,), (1, 2)]):
+        tables.overwrite_parts("e", batch(number, *days), ingest.BATCH_PARTITIONS)
+    before = sorted(r.id for r in ingest.read_batches(tables, "e").collect())
+    for _ in range(2):
+        ingest.compact_days(tables, "e", ["2024-01-01", "2024-01-02"])
+        assert sorted(r.id for r in ingest.read_batches(tables, "e").collect()) == before
+        assert len(tables.parts("e", 3)) == 2
+    tables.overwrite_parts("e", batch(3, 1), ingest.BATCH_PARTITIONS)
+    assert ingest.read_batches(tables, "e", ["2024-01-01"]).count() == 4
+    # an old batch that is still there beside the merged one does not count twice
+    tables.overwrite_parts("e", batch(0, 1), ingest.BATCH_PARTITIONS)
+    assert ingest.read_batches(tables, "e", ["2024-01-01"]).count() == 4
+
+
 def test_run_days():
     from eventloom.sources.tables import day_range, run_day
 

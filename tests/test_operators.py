@@ -82,21 +82,18 @@ def test_exact_median_with_copies_and_hot_group(spark):
     assert got == {name: (float(median(values)), len(values)) for name, values in groups.items()}
 
 
-def test_blocks_keep_every_row_of_a_large_group(spark):
-    rows = [("hot", n % 50, f"text {n}") for n in range(700)] + [("hot", 1, "same")] * 300 + [("cold", 2, "x"), ("cold", 1, "y")]
+@pytest.mark.parametrize("size", [7, 40, 20_000])
+def test_pages_joined_are_the_sorted_text(spark, size):
+    rows = [("hot", n % 50, f"text {n}") for n in range(700)] + [("hot", 1, "same")] * 300 + [("cold", 2, "x"), ("cold", None, "y")]
     df = spark.createDataFrame(rows, "k string, day int, text string")
-    blocks = tsv_blocks(df, keys=["k"], columns=["day", "text"], sort=["day"], max_rows=40).collect()
-    lines = defaultdict(list)
-    for block in blocks:
-        header, *body = block.tsv.split("\n")
-        assert header == "day\ttext" and len(body) == block.row_count
-        assert [int(text.split("\t")[0]) for text in body] == sorted(int(text.split("\t")[0]) for text in body)
-        assert block.row_count < 200
-        lines[block.k] += body
+    pages = tsv_blocks(df, keys=["k"], columns=["day", "text"], sort=["day"], page_rows=size).collect()
     for key in ("hot", "cold"):
-        assert sorted(lines[key]) == sorted(f"{day}\t{text}" for k, day, text in rows if k == key)
-    assert {block.block_count for block in blocks if block.k == "hot"} == {25}
-    assert [block.tsv for block in blocks if block.k == "cold"] == ["day\ttext\n1\ty\n2\tx"]
+        own = sorted((p for p in pages if p.k == key), key=lambda p: p.block_no)
+        mine = sorted(((d is None, d, t) for k, d, t in rows if k == key))
+        lines = [f"{d}\t{t}" for _, d, t in mine]
+        assert "\n".join(p.tsv for p in own) == "\n".join(["day\ttext", *lines])
+        assert [p.block_no for p in own] == list(range(1, own[0].block_count + 1))
+        assert all(p.row_count == size for p in own[:-1]) and sum(p.row_count for p in own) == len(lines)
 
 
 def test_blocks_cells(spark):
