@@ -22,9 +22,14 @@ packed row by row; an empty table gives no piece.
 
 from __future__ import annotations
 
+import os
+import re
+import sys
+import types
 import zlib
+from array import array
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from itertools import chain
 
@@ -41,6 +46,7 @@ END_ID = 2
 SENTENCE_CUT = 4
 INNER_CUT = 48
 SHELF = 1 << 19
+SLICE = 2 << 20  # text bytes encoded at a time
 REMEMBERED = 200_000  # words a worker keeps; beyond it starts afresh
 
 RESULT = (
@@ -55,29 +61,83 @@ def default_tokenizer() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+# Marks at the end of a word, behind a letter, are a piece of their own for the tokenizer.
+_MARKS = b".,!?;:"
+_LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+_LAST_LETTER = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])\Z")
+
+
+def _byte_letters() -> dict[int, int]:
+    """The letters that byte-level vocabularies write bytes with: visible ones are themselves."""
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    return dict(zip(sorted(set(range(256)) - visible), range(256, 512), strict=False))
+
+
 class Encoder:
+    """Encodes texts word by word, remembering the ids of each word as bytes."""
+
     def __init__(self, definition: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the unit of parallel work
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.known: dict[bytes, list[int]] = {}
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
+        self.known: dict[bytes, bytes] = {}  # ids of words without closing marks
         vocabulary = self.tokenizer.get_vocab()
         self.ends_sentence = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         for token, number in vocabulary.items():
             if token.removesuffix("</w>").endswith((".", "!", "?")):
                 self.ends_sentence[number] = True
 
-    def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
-        """Ids of each text, the end id included."""
-        split = [text.split() for text in texts]
+    def _learn(self, stems: Iterable[bytes]) -> None:
+        others = []
+        for stem in stems:
+            if _LETTERS.fullmatch(stem):
+                # lower-case letters in composed form: nothing to normalise nor to cut
+                tokens = self.model.tokenize(stem.decode("latin-1").translate(self.letters))
+                self.known[stem] = array("I", [token.id for token in tokens]).tobytes()
+            else:
+                others.append(stem)
+        texts = [stem.decode() for stem in others]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        for stem, made in zip(others, found, strict=True):
+            self.known[stem] = array("I", made.ids).tobytes()
+
+    def _ids(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of some words."""
+        parts = {}
+        for word in words:
+            stem = word.rstrip(_MARKS)
+            cut = len(stem) < len(word) and _LAST_LETTER.search(stem)
+            parts[word] = (stem, word[len(stem) :]) if cut else (word, b"")
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        new = list(set(chain.from_iterable(split)) - self.known.keys())
-        found = self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)
-        self.known.update((word, made.ids) for word, made in zip(new, found, strict=True))
+        self._learn({part for both in parts.values() for part in both} - self.known.keys())
+        known = self.known
+        return {word: known[stem] + known[marks] for word, (stem, marks) in parts.items()}
+
+    def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+        """Ids of each text, the end id included."""
+        # capital letters only tell special tokens from others
+        split = [(text if b"<|" in text else text.lower()).split() for text in texts]
+        ids = self._ids(set(chain.from_iterable(split)))
+        end = array("I", [END_ID]).tobytes()
         for words in split:
-            ids = chain.from_iterable(map(self.known.__getitem__, words))
-            yield np.fromiter(chain(ids, (END_ID,)), dtype=np.uint32)
+            yield np.frombuffer(b"".join(map(ids.__getitem__, words)) + end, dtype=np.uint32)
+
+
+def worker_encoder(definition: str) -> Encoder:
+    """The encoder of this worker process, which outlives a task and so do the words it knows.
+
+    Functions travel by value, so what a process shares is kept at a module of its own.
+    """
+    name = f"_encoder_{zlib.crc32(definition.encode()):08x}"
+    if name not in sys.modules:
+        held = types.ModuleType(name)
+        held.encoder = Encoder(definition)
+        sys.modules[name] = held
+    return sys.modules[name].encoder
 
 
 @dataclass
@@ -191,7 +251,7 @@ def pack(
         shared = docs.sparkSession.sparkContext.broadcast(definition.read())
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder = worker_encoder(shared.value)
         sequence = TaskContext.get().partitionId() << 40
         shelf = Shelf()
 
@@ -203,7 +263,7 @@ def pack(
             return _batch(rows)
 
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE):
                 ids = part.column("id").to_pylist()
                 made = encoder.encode(as_bytes(part.column("text")))
                 for doc, tokens in zip(ids, made, strict=True):
