@@ -283,8 +283,7 @@ def _relations_write(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _cohort_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = supplied.order_fact(spark, sf_dir)
-    rows = marts.dm_user_cohort_summary(marts.dm_user_retention(fact), fact)
+    rows = marts.dm_user_cohort_summary(supplied.order_fact(spark, sf_dir))
     doubles = [f.name for f in rows.schema.fields if f.dataType.typeName() == "double"]
     return rows.withColumns({name: F.round(name, 9) for name in doubles})
 
@@ -417,6 +416,11 @@ def analytics_queries() -> dict[str, Query]:
             lambda fact: dashboards.dau_trend(fact, start="2024-02-01", end="2024-04-30")
         ),
         "event_user_trend": _on_user_days(dashboards.event_user_trend),
+        "event_user_trend_filtered": _on_user_days(
+            lambda days: dashboards.event_user_trend(
+                days, organization="apache", start="2024-02-01", end="2024-03-01"
+            )
+        ),
         "top_contributors": _on_user_days(dashboards.top_contributors),
         "engagement_funnel": _on_user_days(dashboards.engagement_funnel),
         "engagement_funnel_total": _on_user_days(
@@ -425,7 +429,13 @@ def analytics_queries() -> dict[str, Query]:
             )
         ),
         "repo_performance": _on_orders(lambda fact: dashboards.repo_performance(fact, AS_OF)),
+        "repo_performance_top": _on_orders(
+            lambda fact: dashboards.repo_performance(fact, AS_OF, organization="apache", top_n=3)
+        ),
         "pr_issue_quality": _on_orders(dashboards.pr_issue_quality),
+        "pr_issue_quality_top": _on_orders(
+            lambda fact: dashboards.pr_issue_quality(fact, top_n=2, organization="Pseudo-Lab")
+        ),
         "pr_lead_time": _on_typed(dashboards.pr_lead_time, "dl_pull_request_events"),
         "issue_first_response": _on_typed(
             dashboards.issue_first_response, "dl_issues_events", "dl_issue_comment_events"

@@ -20,6 +20,8 @@ def filter_bar(
     event_types: Iterable[str] | None = None,
     day_column: str = "base_date",
     repo_column: str = "repo_name",
+    organization_column: str = "organization",
+    user_column: str = "user_login",
 ) -> DataFrame:
     """The dashboard filter bar: date range, organization, repo, user, event types."""
     if start is not None:
@@ -27,11 +29,11 @@ def filter_bar(
     if end is not None:
         df = df.where(F.col(day_column) <= F.lit(str(end)).cast("date"))
     if organization is not None:
-        df = df.where(F.col("organization") == organization)
+        df = df.where(F.col(organization_column) == organization)
     if repo is not None:
         df = df.where(F.col(repo_column) == repo)
     if user is not None:
-        df = df.where(F.col("user_login") == user)
+        df = df.where(F.col(user_column) == user)
     if event_types is not None:
         df = df.where(F.col("event_type").isin(*event_types))
     return df

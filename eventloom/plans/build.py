@@ -87,9 +87,7 @@ WHOLE: list[WholeTable] = [
     WholeTable("dm_user_retention", lambda t: marts.dm_user_retention(_fact(t)), "cohort_date"),
     WholeTable(
         "dm_user_cohort_summary",
-        lambda t: marts.dm_user_cohort_summary(
-            t.read("dm_user_retention", schemas.USER_RETENTION), _fact(t)
-        ),
+        lambda t: marts.dm_user_cohort_summary(_fact(t)),
         "cohort_month",
     ),
 ]

@@ -156,11 +156,11 @@ def dau_trend(fact: DataFrame, **filters) -> DataFrame:
     )
 
 
-def user_metrics(fact: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+def user_metrics(fact: DataFrame, by: tuple[str, ...] = (), **filters) -> DataFrame:
     """Per day: DAU, WAU, MAU, new contributors, next-day retention in percent."""
     group = list(by)
     sightings = (
-        fact.dropna(subset=[*group, "user_login"])
+        filter_bar(fact, **filters).dropna(subset=[*group, "user_login"])
         .groupBy(*group, "user_login", "base_date")
         .agg(F.lit(True).alias("is_any"))
     )
@@ -192,10 +192,15 @@ def user_metrics(fact: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 # --- over user days ----------------------------------------------------------
 
 
-def event_user_trend(user_days: DataFrame) -> DataFrame:
+def _bar(rows: DataFrame, **filters) -> DataFrame:
+    """The filter bar over user days and what is made of them."""
+    return filter_bar(rows, day_column="activity_date", organization_column="org_login", **filters)
+
+
+def event_user_trend(user_days: DataFrame, **filters) -> DataFrame:
     """Users with at least one push / pull request / ... per day and organization."""
     kinds = ("push", "pr", "review", "comment", "issue")
-    return user_days.groupBy("activity_date", "org_login").agg(
+    return _bar(user_days, **filters).groupBy("activity_date", "org_login").agg(
         *[F.count_if(F.col(f"{kind}_count") > 0).alias(f"{kind}_users") for kind in kinds]
     )
 
@@ -207,9 +212,7 @@ def top_contributors(
     end: date | str | None = None,
     organization: str | None = None,
 ) -> DataFrame:
-    rows = filter_bar(user_days, start=start, end=end, day_column="activity_date")
-    if organization is not None:
-        rows = rows.where(F.col("org_login") == organization)
+    rows = _bar(user_days, start=start, end=end, organization=organization)
     names = {
         "push_count": "pushes",
         "pr_count": "prs",
@@ -248,14 +251,14 @@ def _conversions() -> list[Column]:
     return [c.percent(F.col(part), F.col(whole)).alias(name) for name, (part, whole) in steps.items()]
 
 
-def engagement_funnel(user_days: DataFrame) -> DataFrame:
+def engagement_funnel(user_days: DataFrame, **filters) -> DataFrame:
     """Active, push, push & PR, & review, & comment users per day and organization."""
     push = F.col("push_count") > 0
     to_pr = push & (F.col("pr_count") > 0)
     to_review = to_pr & (F.col("review_count") > 0)
     full = to_review & (F.col("comment_count") > 0)
     steps = (F.lit(True), push, to_pr, to_review, full)
-    counts = user_days.groupBy("activity_date", "org_login").agg(
+    counts = _bar(user_days, **filters).groupBy("activity_date", "org_login").agg(
         *[F.count_if(step).alias(name) for name, step in zip(_FUNNEL, steps)]
     )
     return counts.select("*", *_conversions())
@@ -268,14 +271,22 @@ def engagement_funnel_total(
     organization: str | None = None,
 ) -> DataFrame:
     """The funnel summed over days, conversions formed again from the sums."""
-    rows = filter_bar(funnel, start=start, end=end, day_column="activity_date")
-    if organization is not None:
-        rows = rows.where(F.col("org_login") == organization)
+    rows = _bar(funnel, start=start, end=end, organization=organization)
     return rows.agg(*[F.sum(name).alias(name) for name in _FUNNEL]).select("*", *_conversions())
 
 
-def repo_performance(fact: DataFrame, as_of: date | str, span: int = 30) -> DataFrame:
-    """Contributors and engagement, last `span` days against the `span` before."""
+def repo_performance(
+    fact: DataFrame,
+    as_of: date | str,
+    span: int = 30,
+    organization: str | None = None,
+    repo: str | None = None,
+    top_n: int | None = None,
+) -> DataFrame:
+    """Contributors and engagement, last `span` days against the `span` before.
+
+    With `top_n` the repos whose contributors grew most, those without growth last.
+    """
     day = _day(as_of)
     recent_from, previous_from = (
         _lit_day(day - timedelta(days=span * n)) for n in (1, 2)
@@ -287,7 +298,7 @@ def repo_performance(fact: DataFrame, as_of: date | str, span: int = 30) -> Data
         return F.sum(F.when(rows, c.contribution()).otherwise(0))
 
     people = (
-        filter_bar(fact, end=day)
+        filter_bar(fact, end=day, organization=organization, repo=repo)
         .dropna(subset=["organization", "repo_name", "user_login"])
         .groupBy("organization", "repo_name", "user_login")
         .agg(
@@ -319,7 +330,7 @@ def repo_performance(fact: DataFrame, as_of: date | str, span: int = 30) -> Data
         change = (F.col(now) - F.col(then)).cast("double") * F.lit(100.0) / F.col(then).cast("double")
         return F.when(F.col(then) > 0, F.round(change, 2))
 
-    return repos.select(
+    rows = repos.select(
         "org_login",
         "repo_name",
         "contributor_count",
@@ -338,10 +349,17 @@ def repo_performance(fact: DataFrame, as_of: date | str, span: int = 30) -> Data
         ),
         (F.col("recent_contributors") > 0).alias("recently_active"),
     )
+    return _top(rows, F.desc_nulls_last("contributor_growth_pct"), top_n)
+
 
+def _top(rows: DataFrame, order: Column, top_n: int | None) -> DataFrame:
+    if top_n is None:
+        return rows
+    return rows.orderBy(order, "org_login", "repo_name").limit(top_n)
 
-def pr_issue_quality(fact: DataFrame) -> DataFrame:
-    """Review and comment density per repo.
+
+def pr_issue_quality(fact: DataFrame, top_n: int | None = None, **filters) -> DataFrame:
+    """Review and comment density per repo; with `top_n` those with most pull requests.
 
     Each fact row stands once for its day (with the counts) and once for its
     user, so both distinct counts come out of one grouping.
@@ -363,7 +381,8 @@ def pr_issue_quality(fact: DataFrame) -> DataFrame:
         "total_comments": ("IssueCommentEvent", "PullRequestReviewCommentEvent"),
     }
     rows = (
-        fact.dropna(subset=["organization", "repo_name"])
+        filter_bar(fact, **filters)
+        .dropna(subset=["organization", "repo_name"])
         .select("organization", "repo_name", "event_type", F.explode(members).alias("_m"))
         .select("organization", "repo_name", "event_type", "_m.*")
     )
@@ -380,7 +399,7 @@ def pr_issue_quality(fact: DataFrame) -> DataFrame:
         F.count_if(person).alias("_people"),
         F.count_if(person & F.coalesce("reviewed", F.lit(False))).alias("_reviewers"),
     )
-    return repos.select(
+    ratios = repos.select(
         "org_login",
         "repo_name",
         *sums,
@@ -389,6 +408,7 @@ def pr_issue_quality(fact: DataFrame) -> DataFrame:
         c.ratio(F.col("_reviewers"), F.col("_people")).alias("reviewer_to_contributor_ratio"),
         c.ratio(F.col("_events"), F.col("_days")).alias("avg_activity_per_day"),
     )
+    return _top(ratios, F.desc("total_prs"), top_n)
 
 
 # --- over the typed tables ---------------------------------------------------

@@ -282,54 +282,48 @@ def dm_user_retention(
     )
 
 
-def dm_user_cohort_summary(retention: DataFrame, fact: DataFrame) -> DataFrame:
+def dm_user_cohort_summary(fact: DataFrame) -> DataFrame:
     """Monthly cohorts: sizes, size-weighted retention, activity per user.
 
-    A size-weighted mean of retained / size is the sum of retained users over
-    the sum of sizes, which is exact whatever the order of adding up.
+    A size-weighted mean of retained / size is the share of people of the month who
+    came back, so one row per user has all that is asked for: the fact is read once.
     """
-    at_day_one = F.col("days_since_cohort") == 1
-    size = F.when(at_day_one, F.col("cohort_size")).otherwise(0)
-
-    def users(kind: str) -> Column:
-        return F.sum(F.when(F.col("cohort_activity_type") == kind, size).otherwise(0))
-
-    def weighted(offset: int) -> Column:
-        kept = F.when(F.col("days_since_cohort") == offset, F.col("retained_users_any"))
-        total = F.coalesce(F.sum(kept), F.lit(0)).cast("double")
-        return F.when(F.sum(size) > 0, total / F.sum(size).cast("double"))
-
-    month_key = ["cohort_month", "organization", "repo_name"]
-    cohorts = (
-        retention.withColumn("cohort_month", F.date_format("cohort_date", "yyyy-MM"))
-        .groupBy(*month_key)
-        .agg(
-            F.sum(size).alias("cohort_size"),
-            users("Light").alias("light_users_count"),
-            users("Medium").alias("medium_users_count"),
-            users("Heavy").alias("heavy_users_count"),
-            *[weighted(n).alias(f"day{n}_retention") for n in fixed.RETENTION_OFFSETS],
-        )
-        .where(F.col("cohort_size") > 0)
+    days = _user_days(
+        fact.dropna(subset=USER_REPO),
+        {f"is_{name}": F.bool_or(flag) for name, flag in c.class_flags().items()}
+        | {"events": F.sum("event_count")},
+    )
+    kind = (
+        F.when(F.col("is_heavy"), "Heavy")
+        .when(F.col("is_medium"), "Medium")
+        .when(F.col("is_light"), "Light")
+        .otherwise("Unknown")
     )
-    lifetimes = (
-        _user_days(fact.dropna(subset=USER_REPO), {"events": F.sum("event_count")})
+    first = F.min("base_date").over(Window.partitionBy(*USER_REPO))
+    people = (
+        days.withColumn("_age", F.datediff("base_date", first))
         .groupBy(*USER_REPO)
         .agg(
+            F.min("base_date").alias("first_day"),
+            F.min_by(kind, "base_date").alias("kind"),
             F.count("*").alias("active_days"),
             F.sum("events").alias("events"),
-            F.min("base_date").alias("first_day"),
-            F.datediff(F.max("base_date"), F.min("base_date")).alias("lifetime_days"),
+            F.max("_age").alias("lifetime_days"),
+            *[F.bool_or(F.col("_age") == n).alias(f"back_{n}") for n in fixed.RETENTION_OFFSETS],
         )
+        .withColumn("cohort_month", F.date_format("first_day", "yyyy-MM"))
     )
-    averages = (
-        lifetimes.withColumn("cohort_month", F.date_format("first_day", "yyyy-MM"))
-        .groupBy(*month_key)
-        .agg(
-            F.avg("events").alias("avg_events_per_user"),
-            F.avg("active_days").alias("avg_active_days_per_user"),
-            F.avg("lifetime_days").alias("avg_lifetime_days"),
-        )
+    return people.groupBy("cohort_month", "organization", "repo_name").agg(
+        F.count("*").alias("cohort_size"),
+        *[
+            F.count_if(F.col("kind") == name).alias(f"{name.lower()}_users_count")
+            for name in ("Light", "Medium", "Heavy")
+        ],
+        *[
+            F.avg(F.col(f"back_{n}").cast("double")).alias(f"day{n}_retention")
+            for n in fixed.RETENTION_OFFSETS
+        ],
+        F.avg("events").alias("avg_events_per_user"),
+        F.avg("active_days").alias("avg_active_days_per_user"),
+        F.avg("lifetime_days").alias("avg_lifetime_days"),
     )
-    # both sides are grouped by the key: they merge where they lie
-    return cohorts.join(averages.hint("merge"), month_key, "left")

@@ -53,7 +53,7 @@ def test_retention(spark):
     assert heavy == {1: 1.0, 7: 1.0, 14: 0.0, 30: 0.0, 60: 0.0, 90: 1.0}
     assert got["Heavy", 1].retained_users_light == 1 and got["Heavy", 7].retained_users_heavy == 0
     assert got["Unknown", 1].cohort_size == 1
-    summary = marts.dm_user_cohort_summary(marts.dm_user_retention(rows), rows).first()
+    summary = marts.dm_user_cohort_summary(rows).first()
     assert (summary.cohort_size, summary.heavy_users_count, summary.light_users_count) == (2, 1, 0)
     assert (summary.day1_retention, summary.day14_retention) == (0.5, 0.0)
     assert (summary.avg_active_days_per_user, summary.avg_lifetime_days) == (2.5, 45.0)
