@@ -44,14 +44,14 @@ def stored(df: DataFrame, kind: str) -> DataFrame:
 
 
 def squeeze(raw: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(raw)
+    return zstandard.ZstdCompressor(level=3).compress(raw)
 
 
 def unsqueeze(packed: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(packed)
 
 
-def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pack(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
     part, number = TaskContext.get().partitionId(), 0
     ids: list[int] = []
     texts: list[bytes] = []
@@ -77,7 +77,7 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         begin = 0
         docs = zip(ids_of(batch.column("id")), as_bytes(batch.column("text")), strict=True)
         for n, (doc, text) in enumerate(docs):
-            if total and total + len(text) > BLOCK_BYTES:
+            if total and total + len(text) > limit:
                 rest.append(batch.slice(begin, n - begin))
                 yield block()
                 total, begin = 0, n
@@ -102,19 +102,25 @@ def _rest_bytes(batches: list[pa.RecordBatch]) -> bytes | None:
 
 
 def packed_blocks(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_columns: bool = False
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    keep_columns: bool = False,
+    scale: int = 1,
 ) -> DataFrame:
     """The documents as stored blocks; every row is in one, with NULL ids and texts.
 
-    With `keep_columns` all columns travel along, under `rest`.
+    With `keep_columns` all columns travel along, under `rest`. A block has about
+    `scale` times BLOCK_BYTES.
     """
+    limit = scale * BLOCK_BYTES
     rest = [F.struct(*[F.col(c) for c in docs.columns if c != text_col]).alias("rest")]
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("id"),
         F.col(text_col).alias("text"),
         *(rest if keep_columns else []),
     )
-    return stored(rows.mapInArrow(_pack, BLOCK_SCHEMA), "blocks")
+    return stored(rows.mapInArrow(lambda batches: _pack(batches, limit), BLOCK_SCHEMA), "blocks")
 
 
 def _by_bucket(answers: list[dict] | None) -> dict[int, bytes]:
@@ -149,6 +155,7 @@ class Block:
 
 def each_block(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
     for batch in batches:
+        pa.default_memory_pool().release_unused()  # what the batch before has left
         for n in range(batch.num_rows):
             yield Block(batch.slice(n, 1).to_pylist()[0])
 

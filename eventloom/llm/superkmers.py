@@ -38,7 +38,7 @@ from eventloom.llm.text import SPACED_WORD, Words, minimisers, mix, pair, window
 
 WINDOW = 13
 MARK = 3
-BUCKET_TEXT = 12 << 20
+BUCKET_TEXT = 4 << 20  # a bucket gets about three times as much, as windows overlap
 U = np.uint64
 
 RESULT = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string, kept string"
@@ -157,7 +157,7 @@ def dedup_substrings(
 ) -> DataFrame:
     """Per document: counts, the kept words joined by one space, and their digest."""
     blocks = packed_blocks(docs, id_col, text_col)
-    buckets = bucket_count(blocks, BUCKET_TEXT // 2)
+    buckets = bucket_count(blocks, BUCKET_TEXT)
     answers = ask(
         blocks, lambda block: _emit(block, buckets, window), lambda parts: _resolve(parts, window)
     )

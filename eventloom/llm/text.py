@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 NO_ID = np.iinfo(np.int64).max  # stands for a NULL id: after every other
 
 U = np.uint64
@@ -53,6 +53,7 @@ def pair(first: np.ndarray, second: np.ndarray) -> np.ndarray:
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Row slices holding up to `limit` text bytes, or one longer text."""
+    pa.default_memory_pool().release_unused()  # what the batch before has left
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start = total = 0
     for row, size in enumerate(sizes):
@@ -109,20 +110,21 @@ class Words:
 
     def names(self, salt: int = 0) -> np.ndarray:
         """A name for each word: the sum of well-spread (byte, place) numbers."""
-        if not len(self):
-            return np.zeros(0, dtype=U)
-        lengths = self.ends - self.starts
-        letters = self.data[self.inside]
-        stops = np.cumsum(lengths)
-        begins = stops - lengths
-        places = np.arange(len(letters), dtype=np.int64) - np.repeat(begins, lengths)
-        letters = places.astype(U) << U(8) | letters
-        for lo in range(0, len(letters), _TILE):
-            part = letters[lo : lo + _TILE]
-            part *= _K3
-            part += U(salt)
-            mix(part)
-        return mix(np.add.reduceat(letters, begins) + lengths.astype(U) * _K1)
+        out = np.empty(len(self), dtype=U)
+        step = 1 << 14  # words handled at a time, so that arrays stay small
+        for lo in range(0, len(self), step):
+            starts, ends = self.starts[lo : lo + step], self.ends[lo : lo + step]
+            lengths = ends - starts
+            span = slice(starts[0], ends[-1])
+            letters = self.data[span][self.inside[span]]
+            begins = np.cumsum(lengths) - lengths
+            places = np.arange(len(letters), dtype=np.int64) - np.repeat(begins, lengths)
+            letters = places.astype(U) << U(8) | letters
+            letters *= _K3
+            letters += U(salt)
+            mix(letters)
+            out[lo : lo + step] = np.add.reduceat(letters, begins) + lengths.astype(U) * _K1
+        return mix(out)
 
 
 def window_names(names: np.ndarray, size: int) -> np.ndarray:
