@@ -97,7 +97,8 @@ def _scalar_helpers(spark: SparkSession, sf_dir: str) -> DataFrame:
             c.utc_date_as_local(F.col("dt_utc").cast("string")).alias("local_day"),
             c.partition_path(F.col("dt_kst"), archive.organization_login(F.col("org"))).alias("path"),
             c.monday_of(F.col("dt_kst")).alias("monday"),
-            c.lenient_json(F.col("payload")).isNotNull().alias("payload_ok"),
+            F.get_json_object("payload", "$").isNotNull().alias("payload_ok"),
+            c.lenient_json(F.col("actor")).isNotNull().alias("actor_ok"),
         )
         .join(texts.withColumnRenamed("public", "public_text"), "id")
     )
