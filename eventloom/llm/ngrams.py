@@ -4,7 +4,9 @@ The model is the corpus itself. Counts of all 1- to `order`-grams are partitione
 hash of the n-gram. A block of documents counts its own n-grams first and sends each
 distinct one once, so a frequent n-gram costs one row per block; buckets sum the counts
 and send them back to the blocks, which join them to the n-grams of each document and
-add up the scores. The size of what is counted follows the corpus.
+add up the scores. The size of what is counted follows the corpus. The longest n-grams are
+counted in a second round, which leaves out those that have a part seen too rarely: they
+cannot be seen often enough themselves.
 
 An n-gram seen less than `least_count` times counts as unseen, as it may only be the
 place that is scored. The score of a word is the relative frequency after the longest
@@ -45,6 +47,7 @@ ORDER = 3
 BACKOFF = 0.4
 LEAST_COUNT = 2
 BUCKET_TEXT = 12 << 20
+BLOCK_SCALE = 4  # larger blocks send a frequent n-gram less often
 U = np.uint64
 
 RESULT = (
@@ -53,25 +56,65 @@ RESULT = (
 
 
 class Grams:
-    """Distinct n-grams of a block by name, and the one that ends at each word."""
+    """N-grams of a block by name: distinct ones of some sizes, and the one ending at each word."""
 
-    def __init__(self, block: Block, order: int):
-        self.words = Words([text.lower() for text in block.texts()], SPACED_WORD)
-        names = self.words.names()
-        within = np.arange(len(names)) - np.repeat(self.words.first, self.words.counts)
-        keys, places = [], []
-        for n in range(1, order + 1):
-            ends = np.flatnonzero(within >= n - 1)
+    def __init__(self, words: Words, names: np.ndarray, sizes: range, where: np.ndarray | None = None):
+        within = np.arange(len(names)) - np.repeat(words.first, words.counts)
+        keys, self.places = [], []
+        for n in sizes:
+            ends = np.flatnonzero(within >= n - 1 if where is None else (within >= n - 1) & where)
             grams = window_names(names, n)[ends - n + 1] if len(ends) else names[:0]
             # n-grams of different sizes must not meet
             keys.append(mix(grams + U(n)))
-            places.append(ends)
-        self.places = places
+            self.places.append(ends)
+        self.sizes = sizes
         self.keys, kinds, self.counts = np.unique(
             np.concatenate(keys), return_inverse=True, return_counts=True
         )
-        bounds = np.cumsum([len(ends) for ends in places])[:-1]
-        self.kinds = np.split(kinds, bounds)
+        self.kinds = np.split(kinds, np.cumsum([len(ends) for ends in self.places])[:-1])
+
+    def send(self, buckets: int) -> Iterator[tuple[int, bytes]]:
+        counts = self.counts.astype(np.uint32)
+        for bucket, part in split_by_bucket(self.keys, buckets):
+            # keys are sorted, so their steps are small numbers
+            steps = np.diff(self.keys[part], prepend=U(0))
+            yield bucket, squeeze(_packed(steps) + _packed(counts[part]))
+
+    def fill(self, seen: np.ndarray, answers: dict[int, bytes], buckets: int) -> None:
+        """Write the corpus count of the n-gram ending at each word to row n of `seen`."""
+        totals = np.zeros(len(self.keys), dtype=np.int64)
+        for bucket, part in split_by_bucket(self.keys, buckets):
+            totals[part] = _unpacked(unsqueeze(answers[bucket]), np.int64)
+        for n, ends, kinds in zip(self.sizes, self.places, self.kinds, strict=True):
+            seen[n, ends] = totals[kinds]
+
+
+class Counted:
+    """A block's words and what is known of the counts of their n-grams."""
+
+    def __init__(self, block: Block, order: int, least: int, buckets: int):
+        self.words = Words([text.lower() for text in block.texts()], SPACED_WORD)
+        self.names = self.words.names()
+        self.order, self.least, self.buckets = order, least, buckets
+        self.seen = np.zeros((order + 1, len(self.words)), dtype=np.int64)
+        self.short = Grams(self.words, self.names, range(1, max(order, 2)))
+
+    def long(self, block: Block) -> Grams:
+        """The longest n-grams that may be seen: both their parts have to be."""
+        self.short.fill(self.seen, block.answers, self.buckets)
+        part = self.seen[self.order - 1] >= self.least
+        before = np.append(False, part[:-1])
+        return Grams(self.words, self.names, range(self.order, self.order + 1), part & before)
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers byte by byte, all first bytes together, then all second ones: that packs well."""
+    return numbers.view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
+
+
+def _unpacked(raw: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(raw, dtype=np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
 
 
 def _sum_counts(payloads: list[bytes]) -> list[bytes]:
@@ -79,28 +122,22 @@ def _sum_counts(payloads: list[bytes]) -> list[bytes]:
     for payload in payloads:
         raw = unsqueeze(payload)
         size = len(raw) // 12
-        keys.append(np.frombuffer(raw[: 8 * size], dtype=U))
-        counts.append(np.frombuffer(raw[8 * size :], dtype=np.uint32))
+        keys.append(np.cumsum(_unpacked(raw[: 8 * size], U)))
+        counts.append(_unpacked(raw[8 * size :], np.uint32))
     found, kinds = np.unique(np.concatenate(keys), return_inverse=True)
     totals = np.bincount(kinds, np.concatenate(counts), len(found)).astype(np.int64)[kinds]
     bounds = np.cumsum([0] + [len(k) for k in keys])
-    return [squeeze(totals[a:b].tobytes()) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    return [squeeze(_packed(totals[a:b])) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
-def _scores(
-    grams: Grams, totals: np.ndarray, corpus_words: int, order: int, backoff: float, least: int
-) -> tuple[np.ndarray, np.ndarray]:
+def _scores(counted: Counted, corpus_words: int, backoff: float) -> tuple[np.ndarray, np.ndarray]:
     """(score in millionths, order used) of each word."""
-    size = len(grams.words)
-    seen = np.zeros((order + 1, size), dtype=np.int64)  # count of the n-gram ending at a word
+    words, seen, order, least = counted.words, counted.seen, counted.order, counted.least
     seen[0] = corpus_words
-    for n in range(1, order + 1):
-        seen[n, grams.places[n - 1]] = totals[grams.kinds[n - 1]]
-    used = np.zeros(size, dtype=np.int64)
-    ratio = np.full(size, 1.0 / max(corpus_words, 1))
-    steps = np.zeros(size, dtype=np.int64)
-    begins = np.repeat(grams.words.first, grams.words.counts)
-    deepest = np.minimum(np.arange(size) - begins + 1, order)
+    used = np.zeros(len(words), dtype=np.int64)
+    ratio = np.full(len(words), 1.0 / max(corpus_words, 1))
+    begins = np.repeat(words.first, words.counts)
+    deepest = np.minimum(np.arange(len(words)) - begins + 1, order)
     for n in range(order, 0, -1):
         context = seen[0] if n == 1 else np.append(0, seen[n - 1, :-1])
         hit = (used == 0) & (seen[n] >= least) & (deepest >= n)
@@ -121,14 +158,13 @@ def lm_scores(
     text_col: str = "text",
 ) -> DataFrame:
     """One row per document with its score under the n-gram counts of all documents."""
-    blocks = packed_blocks(docs, id_col, text_col)
+    if order < 2:
+        raise ValueError("stupid backoff needs an order of 2 or more")
+    blocks = packed_blocks(docs, id_col, text_col, scale=BLOCK_SCALE)
     buckets = bucket_count(blocks, BUCKET_TEXT)
 
-    def send(block: Block) -> Iterator[tuple[int, bytes]]:
-        grams = Grams(block, order)
-        counts = grams.counts.astype(np.uint32)
-        for bucket, part in split_by_bucket(grams.keys, buckets):
-            yield bucket, squeeze(grams.keys[part].tobytes() + counts[part].tobytes())
+    def opened(block: Block) -> Counted:
+        return Counted(block, order, least_count, buckets)
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in each_block(batches):
@@ -136,17 +172,18 @@ def lm_scores(
             yield pa.RecordBatch.from_arrays([pa.array([words], pa.int64())], names=["words"])
 
     corpus_words = blocks.mapInArrow(count_words, "words bigint").agg(F.sum("words")).first()[0] or 0
-    answered = blocks.join(stored(ask(blocks, send, _sum_counts), "counts"), "block", "left")
+    short = ask(blocks, lambda block: opened(block).short.send(buckets), _sum_counts)
+    once = blocks.join(stored(short, "counts"), "block", "left")
+    more = ask(once, lambda block: opened(block).long(block).send(buckets), _sum_counts)
+    answered = once.join(more.withColumnRenamed("answers", "more"), "block", "left")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in each_block(batches):
-            grams = Grams(block, order)
-            totals = np.zeros(len(grams.keys), dtype=np.int64)
-            for bucket, part in split_by_bucket(grams.keys, buckets):
-                totals[part] = np.frombuffer(unsqueeze(block.answers[bucket]), dtype=np.int64)
-            micro, used = _scores(grams, totals, corpus_words, order, backoff, least_count)
+            counted = opened(block)
+            counted.long(block).fill(counted.seen, block.more, buckets)
+            micro, used = _scores(counted, corpus_words, backoff)
             sums = np.append(0, np.cumsum(micro))
-            words = grams.words
+            words = counted.words
             score = sums[words.stop] - sums[words.first]
             by_order = [
                 np.bincount(used[a:b], minlength=order + 1).tolist()
