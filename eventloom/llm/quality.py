@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from eventloom.llm.text import SPACE_BYTES, as_bytes
+from eventloom.llm.text import SPACE_BYTES, as_bytes, slices
 
 SYMBOLS = b"#*$%&|<>"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_repeat_words")
@@ -76,11 +76,12 @@ def measure(text: bytes) -> tuple[int, ...]:
 
 def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [measure(text) for text in as_bytes(batch.column("text"))]
-        columns = [pa.array([row[n] for row in rows], pa.int64()) for n in range(len(MEASURES))]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc"), *columns], names=["doc", *MEASURES]
-        )
+        for part in slices(batch, "text"):
+            rows = [measure(text) for text in as_bytes(part.column("text"))]
+            columns = [pa.array([row[n] for row in rows], pa.int64()) for n in range(len(MEASURES))]
+            yield pa.RecordBatch.from_arrays(
+                [part.column("doc"), *columns], names=["doc", *MEASURES]
+            )
 
 
 def quality_ledger(docs: DataFrame, text_col: str = "text") -> DataFrame:
