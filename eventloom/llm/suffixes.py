@@ -13,11 +13,14 @@ strings choose the same one. Starts in a row with the same position form a run.
 
 * Round 1 sorts (rank of the position, rank of the whole run). A run that also
   occurs in a smaller document goes whole; a position whose rank occurs with one
-  kind of run only is settled.
-* Round 2 sorts (rank of the position, rank of `LENGTH` bytes) for each start of the
+  kind of run only is settled. Of a rank with many kinds of runs a block sends the two
+  at the ends, which show that the rank is open; the runs between them stay open unasked.
+* Round 2 sorts (rank of `LENGTH` bytes, rank of the position) for each start of the
   runs left open. These lie at the edges of repeated passages.
 
-Both parts of a pair must agree, 128 bits in all.
+Both parts of a pair must agree, 128 bits in all. So a string of 32 bytes that very many
+documents hold in differing surroundings costs its bucket of round 1 two pairs a block,
+and its starts go to as many buckets of round 2 as they have different `LENGTH` bytes.
 
 Defined cases: a NULL text is empty; a NULL id counts as larger than any other; rows
 that repeat an id never remove bytes from each other, but repeats inside each count;
@@ -110,9 +113,13 @@ class Runs:
             np.minimum.reduceat(owner[self.order], self.heads) if len(self.heads) else owner[:0]
         )
         self.owner = owner
+        ranks = self.rank[self.order[self.heads]]
+        ends = np.ones(len(ranks) + 1, dtype=bool)
+        ends[1:-1] = ranks[1:] != ranks[:-1]
+        self.asked = np.flatnonzero(ends[1:] | ends[:-1])  # the first and the last kind of each rank
 
     def keys(self) -> tuple[np.ndarray, np.ndarray]:
-        chosen = self.order[self.heads]
+        chosen = self.order[self.heads[self.asked]]
         return self.rank[chosen], self.whole[chosen]
 
 
@@ -134,7 +141,7 @@ class Starts:
         halves = pair(grams[self.at], grams[self.at + _GRAM])
         rest = pair(grams[self.at + 2 * _GRAM], grams[self.at + LENGTH - _GRAM])
         self.name = pair(halves, rest)
-        self.order, self.heads, self.kind = _kinds(self.rank, self.name)
+        self.order, self.heads, self.kind = _kinds(self.name, self.rank)  # a name spreads what shares a rank
         self.least = (
             np.minimum.reduceat(self.owner[self.order], self.heads)
             if len(self.heads)
@@ -143,7 +150,7 @@ class Starts:
 
     def keys(self) -> tuple[np.ndarray, np.ndarray]:
         chosen = self.order[self.heads]
-        return self.rank[chosen], self.name[chosen]
+        return self.name[chosen], self.rank[chosen]
 
 
 def _send(first, second, least, buckets: int) -> Iterator[tuple[int, bytes]]:
@@ -183,7 +190,10 @@ def _answered(answers: dict[int, bytes], first: np.ndarray, buckets: int) -> np.
 
 def _open_starts(block: Block, buckets: int) -> tuple[Runs, Starts]:
     runs = Runs(block)
-    return runs, Starts(runs, *_answered(block.answers, runs.keys()[0], buckets))
+    flags = np.zeros((2, len(runs.heads)), dtype=bool)
+    flags[1] = True  # kinds not asked about are open
+    flags[:, runs.asked] = _answered(block.answers, runs.keys()[0], buckets)
+    return runs, Starts(runs, *flags)
 
 
 def _gone(block: Block, buckets: int) -> np.ndarray:
@@ -220,7 +230,7 @@ def _solved(docs: DataFrame, id_col: str, text_col: str, keep_columns: bool) ->
 
     def first_round(block: Block) -> Iterator[tuple[int, bytes]]:
         runs = Runs(block)
-        yield from _send(*runs.keys(), runs.least, buckets)
+        yield from _send(*runs.keys(), runs.least[runs.asked], buckets)
 
     def second_round(block: Block) -> Iterator[tuple[int, bytes]]:
         _, starts = _open_starts(block, buckets)

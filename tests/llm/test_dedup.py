@@ -199,6 +199,41 @@ def test_without_repeats(odd):
     assert suffixes.suffix_report(empty(df)).count() == 0
 
 
+def hot_line(count):
+    """A block of texts with one line of 60 bytes in differing surroundings, and its documents."""
+    rng = random.Random(7)
+    line = "".join(rng.choice("abcdefgh") for _ in range(60))
+    some = lambda: "".join(rng.choice("stuvwxyz") for _ in range(90))
+    docs = [(n, some() + line + some()) for n in range(count)]
+    texts = [t.encode() for _, t in docs]
+    row = {"block": 0, "ids": np.arange(count), "sizes": np.array(list(map(len, texts)), dtype=np.int64)}
+    row |= {"texts": blocks.squeeze(b"".join(texts)), "rest": None}
+    return blocks.Block(row), docs
+
+
+def test_hot_line_is_spread_over_buckets():
+    runs = suffixes.Runs(hot_line(1000)[0])
+    _, times = np.unique(runs.keys()[0], return_counts=True)
+    assert times.max() <= 2
+    _, kinds = np.unique(runs.rank[runs.order[runs.heads]], return_counts=True)
+    assert kinds.max() > 100  # of which only two are asked about
+    starts = suffixes.Starts(runs, np.zeros(len(runs.heads), dtype=bool), np.ones(len(runs.heads), dtype=bool))
+    sizes = [part.stop - part.start for _, part in blocks.split_by_bucket(starts.keys()[0], 64)]
+    assert max(sizes) < 2 * np.mean(sizes)
+
+
+def test_hot_line_with_repeats_around_it(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 4000)
+    docs = hot_line(150)[1]
+    rng = random.Random(8)
+    for n in range(150, 300):
+        one, two = rng.choice(docs)[1], rng.choice(docs)[1]
+        docs.append((n, one[: rng.randint(60, 240)] + two[rng.randint(0, 120) :]))
+    rng.shuffle(docs)
+    got = brute.rows_of(suffixes.suffix_report(brute.as_table(spark, docs)))
+    assert got == brute.ordered(brute.byte_report(docs))
+
+
 # --- substring dedup ----------------------------------------------------------
 
 
