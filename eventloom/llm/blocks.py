@@ -35,11 +35,11 @@ def shared_path(spark: SparkSession, kind: str) -> str:
     return f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, kind: str) -> DataFrame:
+def stored(df: DataFrame, kind: str, compression: str = "snappy") -> DataFrame:
     """The rows written to the shared folder and read again: lineage ends here."""
     spark = df.sparkSession
     path = shared_path(spark, kind)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
