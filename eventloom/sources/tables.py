@@ -244,7 +244,7 @@ class Tables:
         self._check_partitions(df, keys)
         rows = df.where(F.col(day_column).isin([date.fromisoformat(day) for day in wanted]))
         written = self.overwrite_parts(name, rows, keys)
-        kept = {"/".join(f"{k}={v}" for k, v in zip(keys, part, strict=True)) for part in written}
+        kept = {"/".join(map(self._folder, keys, part)) for part in written}
         there = set(self.days(name, day_column))
         emptied = [
             part
@@ -255,6 +255,11 @@ class Tables:
         ]
         self.drop_parts(name, emptied)
 
+    def _folder(self, key: str, value: str | None) -> str:
+        """Name of a partition's folder as Spark writes it, with NULL and escaped letters."""
+        names = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+        return names.getPartitionPathString(key, value)
+
     def drop_parts(self, name: str, parts: Sequence[str]) -> None:
         """Delete partition folders, named below the table."""
         folder = self.data_path(name)

@@ -302,3 +302,16 @@ def test_a_repeated_batch_changes_nothing(spark, tables):
     for part in (rows, more, more, rows):
         tables.overwrite_parts("t", part, ["d", "batch"])
     assert sorted(row.v for row in tables.read("t").collect()) == ["a", "b", "c"]
+
+
+def test_replace_days_keeps_null_and_escaped_partitions(spark, tables):
+    def rows(*organizations):
+        return spark.createDataFrame(
+            [(o, n) for n, o in enumerate(organizations)], "organization string, n int"
+        ).withColumn("base_date", F.lit("2024-01-15").cast("date"))
+
+    more = ["organization"]
+    tables.replace_days("t", rows("gone", None, "a:b", "plain"), ["2024-01-15"], more_partitions=more)
+    tables.replace_days("t", rows(None, "a:b", "c/d=e", "plain"), ["2024-01-15"], more_partitions=more)
+    got = {(r.organization, r.n) for r in tables.read("t").collect()}
+    assert got == {(None, 0), ("a:b", 1), ("c/d=e", 2), ("plain", 3)}
