@@ -1,4 +1,4 @@
-"""Suffix-array dedup over bytes by prefix doubling.
+"""Suffix-array dedup over bytes by sampled positions and hashed ranks.
 
 Strings of `LENGTH` bytes that start more than once are found without holding the
 suffix array itself. Positions get ranks of ever longer prefixes: 8, 16 and 32 bytes
