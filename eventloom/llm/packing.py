@@ -13,8 +13,8 @@ Windows are settled shelf by shelf: the last, unfinished window goes on to the n
 shelf, so memory is bounded by a shelf or one document. What is left at the end of a
 partition is cut at powers of two, which need no padding, if that costs less.
 
-The tokenizer drops white space and never joins ids across it, so words are encoded
-once and remembered.
+A tokenizer that drops white space and never joins ids across it encodes words one by
+one, and they are remembered; `cuts_at_spaces` tells. Any other encodes whole texts.
 
 Defined cases: a NULL or empty text has the end id only; NULL and repeated ids are
 packed row by row; an empty table gives no piece.
@@ -22,6 +22,7 @@ packed row by row; an empty table gives no piece.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import sys
@@ -29,9 +30,8 @@ import types
 import zlib
 from array import array
 from collections import deque
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +47,8 @@ SENTENCE_CUT = 4
 INNER_CUT = 48
 SHELF = 1 << 19
 SLICE = 2 << 20  # text bytes encoded at a time
-REMEMBERED = 200_000  # words a worker keeps; beyond it starts afresh
+REMEMBERED = 96 << 20  # bytes of words in a generation of a worker's memory
+ENTRY = 200  # bytes an entry takes beside word and ids
 
 RESULT = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
@@ -73,6 +74,56 @@ def _byte_letters() -> dict[int, int]:
     return dict(zip(sorted(set(range(256)) - visible), range(256, 512), strict=False))
 
 
+# How a tokenizer must cut texts for words to be encoded one by one.
+_CUTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_NORMAL = ["NFC", "Replace", "Lowercase"]
+
+
+def cuts_at_spaces(definition: str) -> bool:
+    """Whether the word-wise shortcuts hold for a tokenizer: they are made for one kind."""
+    parts = json.loads(definition)
+    normal = [step.get("type") for step in (parts.get("normalizer") or {}).get("normalizers", [])]
+    steps = (parts.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    model = parts["model"]
+    return (
+        model.get("type") == "BPE"
+        and not any(model.get(key) for key in ("dropout", "continuing_subword_prefix", "byte_fallback", "ignore_merges"))
+        and normal == _NORMAL
+        and [step.get("type") for step in steps] == ["Split", "ByteLevel"]
+        and steps[0]["pattern"] == {"Regex": _CUTS}
+        and steps[0]["behavior"] == "Removed"
+        and steps[0]["invert"]
+        and not steps[1]["add_prefix_space"]
+        and all(token["content"].startswith("<|") for token in parts.get("added_tokens", []))
+    )
+
+
+class Words(dict):
+    """Ids of words as bytes, learnt when first asked for.
+
+    Two generations bound the memory: once the young one is full it becomes the old one,
+    and a word asked for again moves over. Frequent words are never learnt twice.
+    """
+
+    def __init__(self, learn: Callable[[bytes], bytes], limit: int = REMEMBERED):
+        self.learn = learn
+        self.limit = limit
+        self.size = 0
+        self.old: dict[bytes, bytes] = {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.learn(word)
+        self.size += len(word) + len(ids) + ENTRY
+        if self.size > self.limit:
+            self.old = dict(self)
+            self.clear()
+            self.size = 0
+        self[word] = ids
+        return ids
+
+
 class Encoder:
     """Encodes texts word by word, remembering the ids of each word as bytes."""
 
@@ -83,48 +134,41 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(definition)
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
-        self.known: dict[bytes, bytes] = {}  # ids of words without closing marks
+        self.by_word = cuts_at_spaces(definition)
+        self.stems = Words(self._stem_ids)
+        self.words = Words(self._word_ids)
         vocabulary = self.tokenizer.get_vocab()
         self.ends_sentence = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         for token, number in vocabulary.items():
             if token.removesuffix("</w>").endswith((".", "!", "?")):
                 self.ends_sentence[number] = True
 
-    def _learn(self, stems: Iterable[bytes]) -> None:
-        others = []
-        for stem in stems:
-            if _LETTERS.fullmatch(stem):
-                # lower-case letters in composed form: nothing to normalise nor to cut
-                tokens = self.model.tokenize(stem.decode("latin-1").translate(self.letters))
-                self.known[stem] = array("I", [token.id for token in tokens]).tobytes()
-            else:
-                others.append(stem)
-        texts = [stem.decode() for stem in others]
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        for stem, made in zip(others, found, strict=True):
-            self.known[stem] = array("I", made.ids).tobytes()
-
-    def _ids(self, words: set[bytes]) -> dict[bytes, bytes]:
-        """Ids of some words."""
-        parts = {}
-        for word in words:
-            stem = word.rstrip(_MARKS)
-            cut = len(stem) < len(word) and _LAST_LETTER.search(stem)
-            parts[word] = (stem, word[len(stem) :]) if cut else (word, b"")
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        self._learn({part for both in parts.values() for part in both} - self.known.keys())
-        known = self.known
-        return {word: known[stem] + known[marks] for word, (stem, marks) in parts.items()}
+    def _stem_ids(self, stem: bytes) -> bytes:
+        if _LETTERS.fullmatch(stem):
+            # lower-case letters in composed form: nothing to normalise nor to cut
+            tokens = self.model.tokenize(stem.decode("latin-1").translate(self.letters))
+            return array("I", [token.id for token in tokens]).tobytes()
+        made = self.tokenizer.encode(stem.decode(), add_special_tokens=False)
+        return array("I", made.ids).tobytes()
+
+    def _word_ids(self, word: bytes) -> bytes:
+        stem = word.rstrip(_MARKS)
+        if len(stem) < len(word) and _LAST_LETTER.search(stem):
+            return self.stems[stem] + self.stems[word[len(stem) :]]
+        return self.stems[word]
 
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         """Ids of each text, the end id included."""
-        # capital letters only tell special tokens from others
-        split = [(text if b"<|" in text else text.lower()).split() for text in texts]
-        ids = self._ids(set(chain.from_iterable(split)))
         end = array("I", [END_ID]).tobytes()
-        for words in split:
-            yield np.frombuffer(b"".join(map(ids.__getitem__, words)) + end, dtype=np.uint32)
+        if not self.by_word:
+            for made in self.tokenizer.encode_batch([text.decode() for text in texts], add_special_tokens=False):
+                yield np.array([*made.ids, END_ID], dtype=np.uint32)
+            return
+        for text in texts:
+            # capital letters only tell special tokens from others
+            words = (text if b"<|" in text else text.lower()).split()
+            ids = b"".join(map(self.words.__getitem__, words))
+            yield np.frombuffer(ids + end, dtype=np.uint32)
 
 
 def worker_encoder(definition: str) -> Encoder:

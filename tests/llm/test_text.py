@@ -256,6 +256,37 @@ def test_packing(odd):
     assert packing.pack(df.where("false")).count() == 0
 
 
+def test_small_memory_of_words_gives_the_same_ids(odd):
+    docs, _ = odd
+    with open(packing.default_tokenizer(), encoding="utf-8") as file:
+        definition = file.read()
+    texts = [(text or "").encode() for _, text in docs]
+    plain, forgetful = packing.Encoder(definition), packing.Encoder(definition)
+    forgetful.words.limit = forgetful.stems.limit = 3000
+    wanted = [ids.tolist() for ids in plain.encode(texts)]
+    assert [ids.tolist() for ids in forgetful.encode(texts)] == wanted
+    assert forgetful.words.old and forgetful.words.size <= 3000
+
+
+def test_other_tokenizers_encode_whole_texts(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    with open(path, encoding="utf-8") as file:
+        assert not packing.cuts_at_spaces(file.read())
+    docs = [(1, "Two  spaces, a Tab\tand\nlines."), (2, None), (3, "Étage 12")]
+    tokenizer = Tokenizer.from_file(path)
+    rows = packing.pack(spark.createDataFrame(docs, "doc_id bigint, text string"), tokenizer=path).collect()
+    for doc, text in docs:
+        wanted = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
+        pieces = sorted((r for r in rows if r.doc_id == doc), key=lambda r: r.start)
+        assert sum(r.length for r in pieces) == len(wanted)
+        for r in pieces:
+            part = np.array(wanted[r.start : r.start + r.length], dtype="<u4")
+            assert zlib.crc32(part.tobytes()) == r.ids_crc32
+
+
 def test_cuts_are_the_cheapest():
     rng = random.Random(6)
     for _ in range(60):
