@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,7 @@ from eventloom.llm.text import NO_ID, as_bytes, ids_of
 from eventloom.session import shared_folder
 
 BLOCK_BYTES = 1 << 20
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 BLOCK_SCHEMA = "block bigint, n_bytes bigint, ids binary, sizes binary, texts binary, rest binary"
 SENT_SCHEMA = "bucket int, block bigint, payload binary"
 
@@ -35,12 +37,37 @@ def shared_path(spark: SparkSession, kind: str) -> str:
     return f"{shared_folder(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files go when a query ends: what it wrote is never computed again."""
+    before = spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(DROP_SHUFFLES)
+        else:
+            spark.conf.set(DROP_SHUFFLES, before)
+
+
 def stored(df: DataFrame, kind: str, compression: str = "snappy") -> DataFrame:
     """The rows written to the shared folder and read again: lineage ends here."""
     spark = df.sparkSession
     path = shared_path(spark, kind)
-    df.write.parquet(path, compression=compression)
-    return spark.read.schema(df.schema).parquet(path)
+    with _shuffles_dropped(spark):
+        df.write.parquet(path, compression=compression)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete stored tables; whatever was made of them must be stored itself."""
+    for table in tables:
+        spark = table.sparkSession
+        target = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
 
 
 def squeeze(raw: bytes) -> bytes:
@@ -55,6 +82,7 @@ def _pack(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBa
     part, number = TaskContext.get().partitionId(), 0
     ids: list[int] = []
     texts: list[bytes] = []
+    sizes: list[int] = []
     rest: list[pa.RecordBatch] = []
 
     def block() -> pa.RecordBatch:
@@ -63,26 +91,28 @@ def _pack(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBa
             "block": pa.array([(part << 32) | number]),
             "n_bytes": pa.array([sum(map(len, texts))]),
             "ids": pa.array([np.array(ids, dtype=np.int64).tobytes()]),
-            "sizes": pa.array([np.array(list(map(len, texts)), dtype=np.int64).tobytes()]),
+            "sizes": pa.array([np.array(sizes, dtype=np.int64).tobytes()]),
             "texts": pa.array([squeeze(b"".join(texts))]),
             "rest": pa.array([_rest_bytes(rest)], pa.binary()),
         }
-        number += 1
-        for filled in (ids, texts, rest):
+        number += len(ids)
+        for filled in (ids, texts, sizes, rest):
             filled.clear()
         return pa.RecordBatch.from_arrays(list(row.values()), names=list(row))
 
     total = 0
     for batch in batches:
         begin = 0
-        docs = zip(ids_of(batch.column("id")), as_bytes(batch.column("text")), strict=True)
-        for n, (doc, text) in enumerate(docs):
+        column = batch.column("text")
+        docs = zip(ids_of(batch.column("id")), as_bytes(column), column.is_valid().to_pylist(), strict=True)
+        for n, (doc, text, given) in enumerate(docs):
             if total and total + len(text) > limit:
                 rest.append(batch.slice(begin, n - begin))
                 yield block()
                 total, begin = 0, n
             ids.append(doc)
             texts.append(text)
+            sizes.append(len(text) if given else -1)
             total += len(text)
         rest.append(batch.slice(begin))
     if ids:
@@ -111,7 +141,8 @@ def packed_blocks(
     """The documents as stored blocks; every row is in one, with NULL ids and texts.
 
     With `keep_columns` all columns travel along, under `rest`. A block has about
-    `scale` times BLOCK_BYTES.
+    `scale` times BLOCK_BYTES. It is numbered by its first row, so rows have numbers too:
+    that of their block and their place in it.
     """
     limit = scale * BLOCK_BYTES
     rest = [F.struct(*[F.col(c) for c in docs.columns if c != text_col]).alias("rest")]
@@ -123,6 +154,11 @@ def packed_blocks(
     return stored(rows.mapInArrow(lambda batches: _pack(batches, limit), BLOCK_SCHEMA), "blocks")
 
 
+def chosen_rows(rows: DataFrame) -> DataFrame:
+    """Row numbers (block, row) gathered by block, for a join with the blocks."""
+    return rows.groupBy("block").agg(F.collect_list("row").alias("chosen"))
+
+
 def _by_bucket(answers: list[dict] | None) -> dict[int, bytes]:
     return {answer["bucket"]: answer["payload"] for answer in answers or []}
 
@@ -134,16 +170,22 @@ class Block:
         self.number = row["block"]
         self.ids = np.frombuffer(row["ids"], dtype=np.int64)
         sizes = np.frombuffer(row["sizes"], dtype=np.int64)
+        self.given = sizes >= 0  # the others are NULL
+        sizes = np.maximum(sizes, 0)
         self.raw = unsqueeze(row["texts"])
         self._rest = row["rest"]
         self.stops = np.cumsum(sizes)
         self.starts = self.stops - sizes
         self.answers = _by_bucket(row.get("answers"))
         self.more = _by_bucket(row.get("more"))  # answers of a second round
+        self.chosen = np.sort(np.array(row.get("chosen") or [], dtype=np.int64)) - self.number  # places
 
     def texts(self) -> list[bytes]:
         return [self.raw[a:b] for a, b in zip(self.starts, self.stops, strict=True)]
 
+    def chosen_texts(self) -> list[bytes]:
+        return [self.raw[a:b] for a, b in zip(self.starts[self.chosen], self.stops[self.chosen], strict=True)]
+
     def rest(self) -> pa.Array:
         """The other columns, as structs."""
         table = pa.ipc.open_stream(unsqueeze(self._rest)).read_all()

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.blocks import stored
+from eventloom.llm.blocks import forget, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -19,7 +19,7 @@ def components(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     both = stored(both.where("a != b").dropDuplicates(), "edges")
     nodes = both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("label"))
-    labels = stored(nodes, "labels")
+    before = labels = stored(nodes, "labels")
     while True:
         near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("near"))
         grown = labels.join(near, F.col("node") == F.col("a")).select(
@@ -30,6 +30,8 @@ def components(edges: DataFrame) -> DataFrame:
             "node", F.least("next", "above").alias("label"), (F.least("next", "above") != F.col("label")).alias("moved")
         )
         step = stored(jumped, "labels")
-        labels = step.drop("moved")
+        forget(before)
+        before, labels = step, step.drop("moved")
         if step.where("moved").isEmpty():
+            forget(both)
             return labels

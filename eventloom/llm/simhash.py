@@ -27,7 +27,6 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -35,11 +34,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from eventloom.llm.blocks import stored
 from eventloom.llm.components import components
-from eventloom.llm.text import as_bytes, mix, slices
+from eventloom.llm.text import as_bytes, slices
 
 SHINGLE = 3
 RADIUS = 3
@@ -50,11 +49,11 @@ MASK = (1 << 64) - 1
 U = np.uint64
 
 
-def fingerprints(text: bytes, shingle: int, tables: int = 1) -> list[int]:
-    """64-bit SimHashes; zeros without words. Those beyond the first mix the hashes anew."""
+def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
+    """64-bit SimHash; zero without words."""
     words = text.lower().split()  # bytes: A-Z and ASCII white space only
     if not words:
-        return [0] * tables
+        return 0
     joined = b" ".join(words)
     ends = np.cumsum([len(word) + 1 for word in words]) - 1
     starts = np.append(0, ends[:-1] + 1)
@@ -62,36 +61,25 @@ def fingerprints(text: bytes, shingle: int, tables: int = 1) -> list[int]:
     bounds = zip(starts[: len(words) - size + 1].tolist(), ends[size - 1 :].tolist(), strict=True)
     digest = xxhash.xxh64_intdigest
     hashes = np.array([digest(joined[a:b], SEED) for a, b in bounds], dtype=U)
-    out = []
-    for table in range(tables):
-        counts = np.zeros(64, dtype=np.int64)
-        for lo in range(0, len(hashes), 1 << 14):
-            part = hashes[lo : lo + (1 << 14)]
-            if table:
-                part = mix(part + U(table))
-            bits = np.unpackbits(part.view(np.uint8), bitorder="little").reshape(-1, 64)
-            counts += bits.sum(axis=0, dtype=np.int64)
-        out.append(int(np.packbits(2 * counts > len(hashes), bitorder="little").view(U)[0]))
-    return out
-
-
-def with_fingerprints(
-    docs: DataFrame, shingle: int = SHINGLE, tables: int = 1, text_col: str = "text"
-) -> DataFrame:
-    """All columns of `docs` under `doc`, with the fingerprints `fps` as signed numbers."""
+    counts = np.zeros(64, dtype=np.int64)
+    for lo in range(0, len(hashes), 1 << 14):
+        bits = np.unpackbits(hashes[lo : lo + (1 << 14)].view(np.uint8), bitorder="little").reshape(-1, 64)
+        counts += bits.sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view(U)[0])
+
+
+def with_fingerprints(docs: DataFrame, shingle: int = SHINGLE, text_col: str = "text") -> DataFrame:
+    """All columns of `docs` under `doc`, with the fingerprint `fp` as a signed number."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                made = [fingerprints(text, shingle, tables) for text in as_bytes(part.column("text"))]
-                signed = np.array(made, dtype=U).view(np.int64).tolist()
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc"), pa.array(signed, pa.list_(pa.int64()))], names=["doc", "fps"]
-                )
+                made = [fingerprint(text, shingle) for text in as_bytes(part.column("text"))]
+                signed = pa.array(np.array(made, dtype=U).view(np.int64))
+                yield pa.RecordBatch.from_arrays([part.column("doc"), signed], names=["doc", "fp"])
 
     rows = docs.select(F.struct("*").alias("doc"), F.col(text_col).alias("text"))
-    schema = StructType([rows.schema["doc"], StructField("fps", ArrayType(LongType()))])
-    return rows.mapInArrow(scan, schema)
+    return rows.mapInArrow(scan, StructType([rows.schema["doc"], StructField("fp", LongType())]))
 
 
 class BKTree:
@@ -219,18 +207,14 @@ def _labelled(nodes: DataFrame, links: DataFrame, name: str) -> DataFrame:
     return joined.select(name, F.coalesce("label", name).alias("label"))
 
 
-def _links_by_any(nodes: DataFrame, tables: int, radius: int, keep: int) -> DataFrame:
-    """Links (a, b) of nodes (node, fps) that are near in at least one fingerprint."""
-    found = []
-    for table in range(tables):
-        own = nodes.select("node", F.col("fps")[table].alias("fp"))
-        first = own.groupBy("fp").agg(F.min("node").alias("first"))
-        same = own.join(first, "fp").where("node != first").select(F.col("first").alias("a"), F.col("node").alias("b"))
-        near = fingerprint_links(first.select("fp"), radius, keep)
-        left = first.select(F.col("fp").alias("a"), F.col("first").alias("x"))
-        right = first.select(F.col("fp").alias("b"), F.col("first").alias("y"))
-        found += [same, near.join(left, "a").join(right, "b").select(F.col("x").alias("a"), F.col("y").alias("b"))]
-    return reduce(DataFrame.union, found)
+def node_links(nodes: DataFrame, radius: int = RADIUS, keep: int = KEEP) -> DataFrame:
+    """Links (a, b) that join all nodes (node, fp) whose fingerprints are within the radius."""
+    first = nodes.groupBy("fp").agg(F.min("node").alias("first"))
+    same = nodes.join(first, "fp").where("node != first").select(F.col("first").alias("a"), F.col("node").alias("b"))
+    near = fingerprint_links(first.select("fp"), radius, keep)
+    left = first.select(F.col("fp").alias("a"), F.col("first").alias("x"))
+    right = first.select(F.col("fp").alias("b"), F.col("first").alias("y"))
+    return same.union(near.join(left, "a").join(right, "b").select(F.col("x").alias("a"), F.col("y").alias("b")))
 
 
 def near_groups(
@@ -243,7 +227,7 @@ def near_groups(
 ) -> DataFrame:
     """One row per document: doc_id, `fp` and component_id, the smallest id reachable."""
     rows = with_fingerprints(docs.select(id_col, "text"), shingle)
-    rows = rows.select(F.col(f"doc.{id_col}").alias("doc_id"), F.col("fps")[0].alias("fp"))
+    rows = rows.select(F.col(f"doc.{id_col}").alias("doc_id"), "fp")
     rows = stored(rows, "fingerprints")
     prints = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
     labelled = prints.join(_labels(prints.select("fp"), radius, keep), "fp")
@@ -252,33 +236,6 @@ def near_groups(
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(
-    docs: DataFrame,
-    *,
-    shingle: int = SHINGLE,
-    radius: int = RADIUS,
-    keep: int = KEEP,
-    tables: int = 1,
-    id_col: str = "doc_id",
-) -> DataFrame:
-    """The documents with the smallest id of each component, columns unchanged.
-
-    With several `tables` documents are linked if any of so many independent
-    fingerprints is near, which finds more of the pairs whose shingles are alike.
-    Among rows that repeat the smallest id one is kept; a component of NULL ids keeps one
-    too.
-    """
-    rows = with_fingerprints(docs, shingle, tables).withColumn("row", F.monotonically_increasing_id())
-    rows = stored(rows, "fingerprinted")  # row numbers are fixed once written
-    order = F.struct(F.col(f"doc.{id_col}").isNull(), f"doc.{id_col}", "row")
-    # documents with equal fingerprints are one node, named by the first of its rows
-    nodes = rows.groupBy("fps").agg(F.min("row").alias("node"), F.min(order).alias("first"))
-    nodes = stored(nodes, "nodes")
-    labels = _labelled(nodes.select("node"), _links_by_any(nodes, tables, radius, keep), "node")
-    firsts = nodes.join(labels, "node").groupBy("label").agg(F.min("first").alias("first"))
-    return rows.join(firsts.select("first.row"), "row", "left_semi").select("doc.*")
-
-
 def near_report(docs: DataFrame, **options) -> DataFrame:
     text = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return near_groups(docs, **options).select("doc_id", text.alias("fingerprint"), "component_id")

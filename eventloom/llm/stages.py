@@ -10,9 +10,6 @@ from eventloom.llm import decontaminate, jaccard, packing, quality, suffixes
 # Near-duplicates of whole documents share eight tenths of their five-word shingles.
 SHINGLE = 5
 SIMILARITY = 0.8
-# The rule before, by fingerprints; only test_stages_in_turn still compares with it.
-RADIUS = 6
-TABLES = 4
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -27,7 +24,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each near-duplicate group."""
+    """Keeps the document with the smallest id of each near-duplicate group.
+
+    Candidates of SimHash (operator 2) over five-word shingles, checked and completed by
+    the exact similarity.
+    """
     return jaccard.keep_one(docs, shingle=SHINGLE, similarity=SIMILARITY)
 
 

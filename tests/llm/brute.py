@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 from collections import Counter
+from fractions import Fraction
 
 import xxhash
 
@@ -47,41 +48,52 @@ def leaks(docs, items, window=10):
     return out
 
 
-def spread(x: int) -> int:
-    full = (1 << 64) - 1
-    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-        x = (x ^ x >> shift) * factor & full
-    return x ^ x >> 31
-
-
-def simhash(text: str | None, shingle=3, table=0) -> int:
+def simhash(text: str | None, shingle=3) -> int:
     words = SPACED.findall(lower(text or ""))
     if not words:
         return 0
     size = min(shingle, len(words))
     grams = [" ".join(words[i : i + size]) for i in range(len(words) - size + 1)]
     hashes = [xxhash.xxh64_intdigest(gram.encode(), 42) for gram in grams]
-    if table:
-        hashes = [spread((h + table) % (1 << 64)) for h in hashes]
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def near_components(docs, shingle=3, radius=3, tables=1):
-    prints = [[simhash(text, shingle, table) for table in range(tables)] for _, text in docs]
+def near_components(docs, shingle=3, radius=3):
+    prints = [simhash(text, shingle) for _, text in docs]
     group = list(range(len(docs)))
     for i in range(len(docs)):
         for j in range(i):
-            near = any((a ^ b).bit_count() <= radius for a, b in zip(prints[i], prints[j], strict=True))
+            near = (prints[i] ^ prints[j]).bit_count() <= radius
             if near and group[i] != group[j]:
                 old, new = group[i], group[j]
                 group = [new if g == old else g for g in group]
     out = []
     for (doc, _), value, own in zip(docs, prints, group, strict=True):
         ids = [d for (d, _), g in zip(docs, group, strict=True) if g == own and d is not None]
-        out.append((doc, f"{value[0]:016x}", min(ids, default=None)))
+        out.append((doc, f"{value:016x}", min(ids, default=None)))
     return out
 
 
+def shingles(text, size=5):
+    words = SPACED.findall(lower(text or ""))
+    size = min(size, len(words))
+    return frozenset(tuple(words[i : i + size]) for i in range(len(words) - size + 1)) if words else frozenset()
+
+
+def kept_of_similar(docs, least=Fraction(4, 5)):
+    """The smallest id of each component of documents with similar shingle sets."""
+    sets = [shingles(text) for _, text in docs]
+    group = list(range(len(docs)))
+    for i, one in enumerate(sets):
+        for j, two in enumerate(sets[:i]):
+            if group[i] != group[j] and (one == two or len(one & two) >= least * len(one | two)):
+                group = [group[j] if g == group[i] else g for g in group]
+    return sorted(
+        (min((d for (d, _), g in zip(docs, group, strict=True) if g == own), key=order_key) for own in set(group)),
+        key=repr,
+    )
+
+
 def quality(text: str | None):
     text = text or ""
     words = SPACED.findall(text)

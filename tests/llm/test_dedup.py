@@ -158,15 +158,14 @@ def test_components_of_chain_and_star(spark):
     assert none.count() == 0
 
 
-def test_keep_one(odd):
-    docs, df = odd
-    kept = simhash.keep_one(df)
-    assert kept.columns == df.columns
-    groups = brute.near_components(docs)
-    named = sorted({g for _, _, g in groups if g is not None})
-    ids = sorted(r.doc_id for r in kept.where("doc_id is not null").collect())
-    assert ids == named
-    assert simhash.keep_one(empty(df)).count() == 0 and simhash.near_report(empty(df)).count() == 0
+def test_no_documents_no_groups(odd):
+    assert simhash.near_report(empty(odd[1])).count() == 0
+
+
+def test_node_links_join_equal_fingerprints(spark):
+    nodes = spark.createDataFrame([(1, 8), (2, 8), (3, 9), (4, -1)], "node bigint, fp bigint")
+    links = {tuple(r) for r in simhash.node_links(nodes).collect()}
+    assert groups_of([1, 2, 3, 4], links) == {1: 1, 2: 1, 3: 1, 4: 4}
 
 
 # --- suffix dedup -------------------------------------------------------------
