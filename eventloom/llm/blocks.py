@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm.text import NO_ID, as_bytes, ids_of
+from eventloom.llm.text import NO_ID, as_bytes, give_back, ids_of
 from eventloom.session import shared_folder
 
 BLOCK_BYTES = 1 << 20
@@ -87,6 +87,7 @@ def _pack(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBa
 
     def block() -> pa.RecordBatch:
         nonlocal number
+        give_back()
         row = {
             "block": pa.array([(part << 32) | number]),
             "n_bytes": pa.array([sum(map(len, texts))]),
@@ -197,9 +198,9 @@ class Block:
 
 def each_block(batches: Iterator[pa.RecordBatch]) -> Iterator[Block]:
     for batch in batches:
-        pa.default_memory_pool().release_unused()  # what the batch before has left
         for n in range(batch.num_rows):
             yield Block(batch.slice(n, 1).to_pylist()[0])
+            give_back()
 
 
 def bucket_count(blocks: DataFrame, bytes_each: int) -> int:
@@ -242,6 +243,7 @@ def ask(blocks: DataFrame, emit: Emit, resolve: Resolve) -> DataFrame:
 
     def answer(group: pa.Table) -> pa.Table:
         solved = resolve(group.column("payload").to_pylist())
+        give_back()
         return group.set_column(2, "payload", pa.array(solved, pa.binary()))
 
     sent = blocks.mapInArrow(send, SENT_SCHEMA)

@@ -48,6 +48,7 @@ INNER_CUT = 48
 SHELF = 1 << 19
 SLICE = 2 << 20  # text bytes encoded at a time
 REMEMBERED = 96 << 20  # bytes of words in a generation of a worker's memory
+STEMS = 32 << 20  # the same of words without marks
 ENTRY = 200  # bytes an entry takes beside word and ids
 
 RESULT = (
@@ -135,7 +136,7 @@ class Encoder:
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
         self.by_word = cuts_at_spaces(definition)
-        self.stems = Words(self._stem_ids)
+        self.stems = Words(self._stem_ids, STEMS)
         self.words = Words(self._word_ids)
         vocabulary = self.tokenizer.get_vocab()
         self.ends_sentence = np.zeros(max(vocabulary.values()) + 1, dtype=bool)

@@ -7,7 +7,9 @@ every position of a block.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -51,9 +53,23 @@ def pair(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return mix(first * _K1 + (second ^ (second >> U(29))) * _K2)
 
 
+@functools.cache
+def _trim() -> Callable[[int], int]:
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):  # another C library
+        return lambda _: 0
+
+
+def give_back() -> None:
+    """Return what the last batch has left to the system: workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    _trim()(0)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Row slices holding up to `limit` text bytes, or one longer text."""
-    pa.default_memory_pool().release_unused()  # what the batch before has left
+    give_back()
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start = total = 0
     for row, size in enumerate(sizes):
