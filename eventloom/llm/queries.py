@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eventloom.llm import (
     chat,
+    classifier,
     decontaminate,
+    manifest,
     ngrams,
     packing,
     quality,
+    repair,
     simhash,
     suffixes,
     superkmers,
@@ -49,6 +52,11 @@ def queries() -> dict[str, Query]:
             chat.with_probe(s, _table(s, d, "conversations"))
         ),
         "op10_pack": _on_documents(packing.pack),
+        "op11_repair": lambda s, d: repair.repair_report(_table(s, d, "conversations")),
+        "op12_merkle": _on_documents(manifest.manifest_report),
+        "op13_classifier": lambda s, d: classifier.classifier_report(
+            _table(s, d, "documents"), _table(s, d, "labels")
+        ),
     }
 
 
@@ -59,4 +67,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_quality": quality.SQL,
         "op8_warc": warc.SQL,
         "op9_chat_format": chat.SQL,
+        "op12_merkle": manifest.SQL,
     }

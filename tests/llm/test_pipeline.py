@@ -18,7 +18,7 @@ def duck():
 
 def test_one_query_for_each_operator():
     names = sorted(queries.queries())
-    assert sorted(int(name[2:].split("_")[0]) for name in names) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in names) == list(range(1, 14))
     assert {*names, "pipeline"} <= set(entry.queries())
 
 
