@@ -47,9 +47,8 @@ SENTENCE_CUT = 4
 INNER_CUT = 48
 SHELF = 1 << 19
 SLICE = 2 << 20  # text bytes encoded at a time
-REMEMBERED = 96 << 20  # bytes of words in a generation of a worker's memory
-STEMS = 32 << 20  # the same of words without marks
-ENTRY = 200  # bytes an entry takes beside word and ids
+REMEMBERED = 48 << 20  # bytes of words in a generation of a worker's memory
+ENTRY = 150  # bytes an entry takes beside word and ids
 
 RESULT = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
@@ -136,28 +135,24 @@ class Encoder:
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
         self.by_word = cuts_at_spaces(definition)
-        self.stems = Words(self._stem_ids, STEMS)
-        self.words = Words(self._word_ids)
+        self.words = Words(self._learn)
         vocabulary = self.tokenizer.get_vocab()
         self.ends_sentence = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         for token, number in vocabulary.items():
             if token.removesuffix("</w>").endswith((".", "!", "?")):
                 self.ends_sentence[number] = True
 
-    def _stem_ids(self, stem: bytes) -> bytes:
-        if _LETTERS.fullmatch(stem):
+    def _learn(self, word: bytes) -> bytes:
+        stem = word.rstrip(_MARKS)
+        if len(stem) < len(word) and _LAST_LETTER.search(stem):
+            return self.words[stem] + self.words[word[len(stem) :]]
+        if _LETTERS.fullmatch(word):
             # lower-case letters in composed form: nothing to normalise nor to cut
-            tokens = self.model.tokenize(stem.decode("latin-1").translate(self.letters))
+            tokens = self.model.tokenize(word.decode("latin-1").translate(self.letters))
             return array("I", [token.id for token in tokens]).tobytes()
-        made = self.tokenizer.encode(stem.decode(), add_special_tokens=False)
+        made = self.tokenizer.encode(word.decode(), add_special_tokens=False)
         return array("I", made.ids).tobytes()
 
-    def _word_ids(self, word: bytes) -> bytes:
-        stem = word.rstrip(_MARKS)
-        if len(stem) < len(word) and _LAST_LETTER.search(stem):
-            return self.stems[stem] + self.stems[word[len(stem) :]]
-        return self.stems[word]
-
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         """Ids of each text, the end id included."""
         end = array("I", [END_ID]).tobytes()

@@ -262,7 +262,7 @@ def test_small_memory_of_words_gives_the_same_ids(odd):
         definition = file.read()
     texts = [(text or "").encode() for _, text in docs]
     plain, forgetful = packing.Encoder(definition), packing.Encoder(definition)
-    forgetful.words.limit = forgetful.stems.limit = 3000
+    forgetful.words.limit = 3000
     wanted = [ids.tolist() for ids in plain.encode(texts)]
     assert [ids.tolist() for ids in forgetful.encode(texts)] == wanted
     assert forgetful.words.old and forgetful.words.size <= 3000
