@@ -19,10 +19,11 @@ from eventloom.functions import columns as c
 from eventloom.functions.filters import filter_bar
 from eventloom.plans import build, dashboards, digest, dims, events, facts, feed, marts, quality
 from eventloom.session import shared_folder
-from eventloom.sources import archive, relations, supplied
+from eventloom.sources import archive, hours, relations, supplied
+from eventloom.sources.merging import SchemaConflict
 from eventloom.sources.tables import Tables, read_report_json, write_report_json
 from eventloom.streaming import ingest
-from oracle.sql import ANSWER, AS_OF, WEEK_START, all_sql
+from oracle.sql import ANSWER, AS_OF, HOUR_BLANK, HOUR_CUT, HOUR_MISSING, WEEK_START, all_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -111,6 +112,55 @@ def _ingest_day_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive.partition_summary(tables.read(build.EVENTS, schemas.FILTERED_EVENT))
 
 
+def _hour_files(spark: SparkSession, sf_dir: str, tables: Tables) -> str:
+    """Archive lines in one gzipped file per UTC hour; each day has a missing, a cut and a blank one."""
+    folder, root = tables.path("by_hour"), tables.path("raw_data")
+    lines = supplied.archive_lines(spark, sf_dir)
+    lines.repartition("utc_day", "hour").write.partitionBy("utc_day", "hour").option("compression", "gzip").text(folder)
+    for part in lines.select("utc_day", "hour").distinct().collect():
+        path = f"{root}/{part.utc_day}/{part.utc_day}-{part.hour}.json.gz"
+        source = f"{folder}/utc_day={part.utc_day}/hour={part.hour}"
+        if part.hour != HOUR_MISSING:
+            tables.move_only_file(source, path)
+        if part.hour == HOUR_CUT:
+            tables.cut_file(path, 0.6)
+        elif part.hour == HOUR_BLANK:
+            tables.cut_file(path, 0)
+    return root
+
+
+def _load_hours(spark: SparkSession, sf_dir: str) -> tuple[Tables, DataFrame]:
+    tables = _tables(spark)
+    root = _hour_files(spark, sf_dir, tables)
+    days = supplied.archive_lines(spark, sf_dir).agg(F.min("utc_day"), F.max("utc_day")).first()
+    return tables, hours.load_hours(tables, root, *days)
+
+
+def _ingest_hour_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _load_hours(spark, sf_dir)[1]
+
+
+def _ingest_other_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables, _ = _load_hours(spark, sf_dir)
+    return archive.partition_summary(tables.read(build.EVENTS, schemas.FILTERED_EVENT))
+
+
+def _append_schema_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three appends: narrow columns, wider ones with a new one, and a type that is refused."""
+    tables = _tables(spark)
+    rows = spark.read.parquet(f"{sf_dir}/events.parquet")
+    part = F.col("event_id") % 3
+    tables.append("merged", rows.where(part == 0).selectExpr("cast(event_id as int) as id", "event_type"))
+    tables.append("merged", rows.where(part == 1).selectExpr("event_id as id", "event_type", "user_id"))
+    try:
+        tables.append("merged", rows.where(part == 2).selectExpr("cast(event_id as string) as id", "event_type"))
+        refused = False
+    except SchemaConflict:
+        refused = True
+    tables.append("merged", rows.where(part == 2).selectExpr("cast(event_id as int) as id", "user_id"))
+    return tables.read("merged").withColumn("refused", F.lit(refused))
+
+
 def _loaded(spark: SparkSession, sf_dir: str, rows: DataFrame) -> tuple[Tables, date, date]:
     """Tables built from `rows`, then loaded again over all days from the full events."""
     tables = _tables(spark)
@@ -357,6 +407,9 @@ def analytics_queries() -> dict[str, Query]:
         "gh_archive_filtered": lambda s, d: _unzoned(_ingested(s, d)),
         "partition_summary": lambda s, d: archive.partition_summary(_ingested(s, d)),
         "ingest_day_files": _ingest_day_files,
+        "ingest_hour_status": _ingest_hour_status,
+        "ingest_other_hours": _ingest_other_hours,
+        "append_schema_merge": _append_schema_merge,
         "scalar_helpers": _scalar_helpers,
         "filter_bar": _on_fact(
             lambda fact: filter_bar(

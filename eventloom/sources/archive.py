@@ -132,11 +132,12 @@ def filter_events(
     raw: DataFrame,
     organizations: Sequence[str] | DataFrame | None = fixed.TARGET_ORGANIZATIONS,
     unique_ids: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Raw lines to the filtered event table: one narrow pass, no shuffle.
 
     `unique_ids` drops repeated ids; by default re-ingested rows stay, as the
-    uniqueness check reports them.
+    uniqueness check reports them. `keep` names columns that go along unchanged.
     """
     has_org = F.col("org").isNotNull() & ~F.col("org").isin("", "{}", "[]", "0", "false")
     kept = keep_organizations(raw.where(has_org), organizations)
@@ -146,7 +147,7 @@ def filter_events(
             "public": F.col("public").try_cast("boolean"),
             "organization": c.snake_case(organization_login(F.col("org"))),
         }
-    ).select(*schemas.FILTERED_EVENT.names)
+    ).select(*schemas.FILTERED_EVENT.names, *keep)
     return shaped.dropDuplicates(["id"]) if unique_ids else shaped
 
 

@@ -291,8 +291,8 @@ def filtered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JSON lines in a `value` column, with the UTC day of each."""
-    columns = {"value": LINE, "utc_day": "cast(ts as date)"}
+    """JSON lines in a `value` column, with the UTC day and hour of each."""
+    columns = {"value": LINE, "utc_day": "cast(ts as date)", "hour": "cast(extract(hour from ts) as int)"}
     return _select(_table(spark, sf_dir, "events"), columns)
 
 

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .merging import fitted, merged_schema, plain
+
 
 def run_day(given: date | str | None = None, today: date | None = None) -> date:
     """The day to load: the given one, else yesterday."""
@@ -38,6 +40,11 @@ class Tables:
     the table. So a rebuild shows all at once or not at all, and one that is cut short
     leaves the table as it was.
 
+    A version's schema is kept beside it, `<root>/_schemas/<name>/<version>`. Every write is
+    checked against it first: columns may be added and types widened, which the kept schema
+    then shows; other rows are refused before a file is written. Reads without a given
+    schema use it, so old files show new columns as NULL.
+
     Declared tables are kept in step: every write registers the partitions it
     has written and drops those it has emptied.
     """
@@ -70,6 +77,29 @@ class Tables:
         fs, target = self._handle(path)
         fs.delete(target, True)
 
+    def move_only_file(self, folder: str, path: str) -> None:
+        """Rename the one data file of a folder."""
+        (name,) = self._children(folder)
+        fs, source = self._handle(f"{folder}/{name}")
+        _, target = self._handle(path)
+        fs.mkdirs(target.getParent())
+        if not fs.rename(source, target):
+            raise OSError(f"cannot move {source} to {path}")
+
+    def cut_file(self, path: str, share: float) -> None:
+        """Keep the first part of a small file, as a broken transfer would."""
+        fs, target = self._handle(path)
+        stream = fs.open(target)
+        try:
+            content = bytes(self._jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+        finally:
+            stream.close()
+        stream = fs.create(target, True)
+        try:
+            stream.write(bytearray(content[: int(len(content) * share)]))
+        finally:
+            stream.close()
+
     def _versions(self, name: str) -> list[str]:
         return self._children(f"{self.root}/_versions/{name}")
 
@@ -82,6 +112,48 @@ class Tables:
         fs, marker = self._handle(f"{self.root}/_versions/{name}/{version}")
         fs.create(marker, False).close()
 
+    # --- schemas ---
+
+    def schema(self, name: str) -> StructType | None:
+        """The kept schema of the current version."""
+        versions = self._versions(name)
+        folder = f"{self.root}/_schemas/{name}/{versions[-1]}" if versions else None
+        numbers = self._children(folder) if folder else []
+        if not numbers:
+            return None
+        fs, target = self._handle(f"{folder}/{numbers[-1]}")
+        stream = fs.open(target)
+        try:
+            text = self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return StructType.fromJson(json.loads(text))
+
+    def _keep_schema(self, name: str, version: str, schema: StructType) -> None:
+        """Each change is a new file, so a reader sees the old one or the new one whole."""
+        folder = f"{self.root}/_schemas/{name}/{version}"
+        number = len(self._children(folder)) + 1
+        fs, hidden = self._handle(f"{folder}/.{number:06d}-{uuid.uuid4().hex[:12]}")
+        stream = fs.create(hidden, False)
+        try:
+            stream.write(bytearray(schema.json(), "utf-8"))
+        finally:
+            stream.close()
+        _, target = self._handle(f"{folder}/{number:06d}")
+        if not fs.rename(hidden, target):
+            raise OSError(f"another write has changed the schema of {name}")
+
+    def _admitted(self, name: str, df: DataFrame) -> DataFrame:
+        """The rows as the existing table takes them; keeps the schema they widen."""
+        known = self.schema(name)
+        if known is None:
+            return df
+        merged = merged_schema(known, df.schema)
+        if merged != known:
+            self._keep_schema(name, self._versions(name)[-1], merged)
+            self._moved(name, merged)
+        return fitted(df, merged)
+
     def data_path(self, name: str) -> str:
         """The folder of the current version."""
         versions = self._versions(name)
@@ -110,11 +182,12 @@ class Tables:
 
         Given days, only their folders are listed and read.
         """
-        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         if not self.exists(name):
             if schema is None:
                 raise FileNotFoundError(f"{self.root}/{name}")
             return self.spark.createDataFrame([], schema)
+        schema = schema or self.schema(name)
+        reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         folder = self.data_path(name)
         if days is None:
             return reader.parquet(folder)
@@ -126,6 +199,7 @@ class Tables:
 
     def read_parts(self, name: str, parts: Sequence[str], schema: StructType | None = None) -> DataFrame:
         """Read some partition folders, named below the table."""
+        schema = schema or self.schema(name)
         reader = self.spark.read if schema is None else self.spark.read.schema(schema)
         folder = self.data_path(name)
         return reader.option("basePath", folder).parquet(*[f"{folder}/{part}" for part in parts])
@@ -192,7 +266,10 @@ class Tables:
         partition_by: Sequence[str] = (),
         sort_by: Sequence[str] = (),
     ) -> None:
-        """Create on first write, append afterwards; new columns are allowed."""
+        """Create on first write, append afterwards; columns may be added or widened.
+
+        Rows of a type the table cannot hold raise `SchemaConflict` and change nothing.
+        """
         self._into_version(name, df, partition_by, sort_by, "append")
 
     def overwrite_parts(
@@ -203,10 +280,12 @@ class Tables:
 
     def _into_version(self, name, df, keys, sort_by, mode) -> set[tuple]:
         if self.exists(name):
+            df = self._admitted(name, df)
             written = self._write(df, self.data_path(name), keys, sort_by, mode)
         else:
             version = self._new_version(name)
             written = self._write(df, f"{self.root}/{name}/{version}", keys, sort_by, mode)
+            self._keep_schema(name, version, plain(df.schema))
             self._publish(name, version)
         self._register(name, keys, written)
         return written
@@ -218,10 +297,11 @@ class Tables:
         """
         version = self._new_version(name)
         self._write(df, f"{self.root}/{name}/{version}", partition_by)
+        self._keep_schema(name, version, plain(df.schema))
         self._publish(name, version)
         for old in self._versions(name)[:-2]:
-            self._delete(f"{self.root}/_versions/{name}/{old}")
-            self._delete(f"{self.root}/{name}/{old}")
+            for place in ("_versions", "_schemas", ""):
+                self._delete("/".join(part for part in (self.root, place, name, old) if part))
         self._moved(name)
 
     def replace_days(
@@ -308,6 +388,7 @@ class Tables:
             version = self._new_version(name)
             fs, folder = self._handle(f"{self.root}/{name}/{version}")
             fs.mkdirs(folder)
+            self._keep_schema(name, version, plain(schema))
             self._publish(name, version)
         body = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         parts = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
@@ -334,11 +415,11 @@ class Tables:
             self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
         self.spark.catalog.refreshTable(table)
 
-    def _moved(self, name: str) -> None:
-        """Declare a rebuilt table again, at its new place."""
+    def _moved(self, name: str, schema: StructType | None = None) -> None:
+        """Declare a rebuilt table again, at its new place or with a wider schema."""
         if self._declared(name):
             table = self.catalog_name(name)
-            schema = self.spark.table(table).schema
+            schema = schema or self.spark.table(table).schema
             keys = [c.name for c in self.spark.catalog.listColumns(table) if c.isPartition]
             self.drop(name)
             self.declare(name, schema, keys)
