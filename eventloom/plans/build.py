@@ -17,6 +17,9 @@ from .event_fields import EVENT_SHAPES, EventShape
 from .feed import feed_from_tables
 
 EVENTS = "gh_archive_filtered"
+# periods are replaced one by one, so the level is a partition too
+PERIOD_KEYS = ("activity_date", "aggregation_level")
+CONTRIBUTOR_KEYS = ("period_start_date", "aggregation_level")
 Days = Sequence[date] | None
 
 
@@ -34,7 +37,7 @@ class WholeTable:
 
     name: str
     build: Callable[[Tables], DataFrame]
-    partition_by: str | None = None
+    partition_by: tuple[str, ...] = ()
 
 
 def _events(tables: Tables, days: Days = None) -> DataFrame:
@@ -77,18 +80,18 @@ WHOLE: list[WholeTable] = [
     WholeTable("dim_repository", lambda t: dims.dim_repository(_fact(t))),
     WholeTable("dim_user", lambda t: dims.dim_user(_fact(t), _read_typed(t, "dl_create_events"))),
     WholeTable(
-        "dm_active_users_daily", lambda t: marts.dm_active_users_daily(_fact(t)), "base_date"
+        "dm_active_users_daily", lambda t: marts.dm_active_users_daily(_fact(t)), ("base_date",)
     ),
-    WholeTable("dm_org_overview", lambda t: marts.dm_org_overview(_fact(t)), "activity_date"),
-    WholeTable("dm_user_activity", lambda t: marts.dm_user_activity(_fact(t)), "activity_date"),
+    WholeTable("dm_org_overview", lambda t: marts.dm_org_overview(_fact(t)), PERIOD_KEYS),
+    WholeTable("dm_user_activity", lambda t: marts.dm_user_activity(_fact(t)), PERIOD_KEYS),
     WholeTable(
-        "dm_repo_contributors", lambda t: marts.dm_repo_contributors(_fact(t)), "period_start_date"
+        "dm_repo_contributors", lambda t: marts.dm_repo_contributors(_fact(t)), CONTRIBUTOR_KEYS
     ),
-    WholeTable("dm_user_retention", lambda t: marts.dm_user_retention(_fact(t)), "cohort_date"),
+    WholeTable("dm_user_retention", lambda t: marts.dm_user_retention(_fact(t)), ("cohort_date",)),
     WholeTable(
         "dm_user_cohort_summary",
         lambda t: marts.dm_user_cohort_summary(_fact(t)),
-        "cohort_month",
+        ("cohort_month",),
     ),
 ]
 
@@ -111,9 +114,9 @@ DECLARED: list[tuple[str, StructType, tuple[str, ...]]] = [
     ("dim_repository", schemas.DIM_REPOSITORY, ()),
     ("dim_user", schemas.DIM_USER, ()),
     ("dm_active_users_daily", schemas.ACTIVE_USERS_DAILY, ("base_date",)),
-    ("dm_org_overview", schemas.ORG_OVERVIEW, ("activity_date",)),
-    ("dm_user_activity", schemas.USER_ACTIVITY, ("activity_date",)),
-    ("dm_repo_contributors", schemas.REPO_CONTRIBUTORS, ("period_start_date",)),
+    ("dm_org_overview", schemas.ORG_OVERVIEW, PERIOD_KEYS),
+    ("dm_user_activity", schemas.USER_ACTIVITY, PERIOD_KEYS),
+    ("dm_repo_contributors", schemas.REPO_CONTRIBUTORS, CONTRIBUTOR_KEYS),
     ("dm_user_retention", schemas.USER_RETENTION, ("cohort_date",)),
     ("dm_user_cohort_summary", schemas.COHORT_SUMMARY, ("cohort_month",)),
     ("gh_user_relations", schemas.USER_RELATIONS, ("dt_kst",)),
@@ -167,8 +170,7 @@ def rebuild_whole(tables: Tables, names: Sequence[str] | None = None) -> None:
     """Recompute the dimensions and marts, in order."""
     for table in WHOLE:
         if names is None or table.name in names:
-            keys = [table.partition_by] if table.partition_by else []
-            tables.rebuild(table.name, table.build(tables), keys)
+            tables.rebuild(table.name, table.build(tables), table.partition_by)
 
 
 def create_views(tables: Tables) -> None:

@@ -57,6 +57,25 @@ def _user_days(fact: DataFrame, sums: dict[str, Column]) -> DataFrame:
     )
 
 
+def _kind() -> Column:
+    """Class of a user day: the heaviest it has."""
+    return (
+        F.when(F.col("is_heavy"), "Heavy")
+        .when(F.col("is_medium"), "Medium")
+        .when(F.col("is_light"), "Light")
+        .otherwise("Unknown")
+    )
+
+
+def user_repo_days(fact: DataFrame) -> DataFrame:
+    """One row per user, repo and day with sums, score and class flags: what the user marts add up."""
+    sums = {"total_events_count": F.sum("event_count")}
+    sums |= {name: c.typed_sum(types) for name, types in _COUNTS.items()}
+    sums |= {"contribution_score": F.sum(c.contribution())}
+    sums |= {f"is_{name}": F.bool_or(flag) for name, flag in c.class_flags().items()}
+    return _user_days(fact, sums)
+
+
 def _period_activity(days: DataFrame, sums: Sequence[str]) -> DataFrame:
     """Roll user days up to day, week and month in place: no further shuffle."""
     return (
@@ -73,11 +92,14 @@ def _period_activity(days: DataFrame, sums: Sequence[str]) -> DataFrame:
 
 
 def dm_user_activity(fact: DataFrame) -> DataFrame:
-    sums = {"total_events_count": F.sum("event_count")} | {
-        name: c.typed_sum(types) for name, types in _COUNTS.items()
-    }
-    days = _user_days(fact.where(F.col("user_login").isNotNull()), sums)
-    return _period_activity(days, list(sums)).select(
+    return user_activity_of(user_repo_days(fact))
+
+
+def user_activity_of(days: DataFrame) -> DataFrame:
+    """The same from user days."""
+    sums = ["total_events_count", *_COUNTS]
+    days = days.where(F.col("user_login").isNotNull()).select(*USER_REPO, "base_date", *sums)
+    return _period_activity(days, sums).select(
         F.col("start").alias("activity_date"),
         F.col("level").alias("aggregation_level"),
         "user_login",
@@ -96,14 +118,15 @@ def dm_repo_contributors(fact: DataFrame) -> DataFrame:
     Ties in score and events are ranked by user name. A repo's contributors are
     ranked slice by slice, since one repo may hold a large part of all rows.
     """
-    sums = (
-        {"total_events_count": F.sum("event_count")}
-        | {name: c.typed_sum(_COUNTS[name]) for name in _CONTRIBUTOR_COUNTS}
-        | {"contribution_score": F.sum(c.contribution())}
-    )
-    days = _user_days(fact.dropna(subset=USER_REPO), sums)
+    return repo_contributors_of(user_repo_days(fact))
+
+
+def repo_contributors_of(days: DataFrame) -> DataFrame:
+    """The same from user days."""
+    sums = ["total_events_count", *_CONTRIBUTOR_COUNTS, "contribution_score"]
+    days = days.dropna(subset=USER_REPO).select(*USER_REPO, "base_date", *sums)
     ranked = sliced_row_number(
-        _period_activity(days, list(sums)),
+        _period_activity(days, sums),
         group=["start", "end", "level", "organization", "repo_name"],
         slices={
             "_score": (F.col("contribution_score"), True),
@@ -128,9 +151,12 @@ def dm_repo_contributors(fact: DataFrame) -> DataFrame:
     )
 
 
-def dm_org_overview(fact: DataFrame) -> DataFrame:
+def dm_org_overview(fact: DataFrame, first_seen: DataFrame | None = None) -> DataFrame:
     """Repos, contributors, newcomers and activity per organization and period.
 
+    `first_seen` (organization, user_login, first_day) tells newcomers where the fact is
+    only a part of the days; without it the first day in the fact counts.
+
     Each fact row stands once for its repo (with the sums) and once for its
     user. These are merged per day, the first day of every user is marked, the
     days are exploded to periods and merged again; what is left to count per
@@ -155,9 +181,17 @@ def dm_org_overview(fact: DataFrame) -> DataFrame:
         .groupBy(*key, "base_date")
         .agg(*[column.alias(name) for name, column in sums.items()])
     )
-    first_day = F.min("base_date").over(Window.partitionBy(*key))
+    if first_seen is None:
+        is_new = F.col("base_date") == F.min("base_date").over(Window.partitionBy(*key))
+    else:
+        known = first_seen.select(
+            F.col("organization").alias("_org"), F.col("user_login").alias("_user"), "first_day"
+        )
+        here = (F.col("organization") == F.col("_org")) & (F.col("name") == F.col("_user"))
+        days = days.join(known, here & (F.col("kind") == "user"), "left").drop("_org", "_user")
+        is_new = F.coalesce(F.col("base_date") == F.col("first_day"), F.lit(False))
     periods = (
-        explode_periods(days.withColumn("_new", F.col("base_date") == first_day))
+        explode_periods(days.withColumn("_new", is_new))
         .groupBy(*key, "level", "start")
         .agg(F.max("_new").alias("_new"), *[F.sum(name).alias(name) for name in sums])
     )
@@ -182,6 +216,15 @@ def dm_org_overview(fact: DataFrame) -> DataFrame:
     )
 
 
+def in_active_scope(
+    rows: DataFrame,
+    organizations: Sequence[str] = fixed.ACTIVE_ORGANIZATIONS,
+    repositories: Sequence[str] = fixed.ACTIVE_REPOSITORIES,
+) -> DataFrame:
+    in_scope = F.col("organization").isin(*organizations) | F.col("repo_name").isin(*repositories)
+    return rows.where(in_scope).dropna(subset=["organization", "repo_name"])
+
+
 def dm_active_users_daily(
     fact: DataFrame,
     organizations: Sequence[str] = fixed.ACTIVE_ORGANIZATIONS,
@@ -190,12 +233,17 @@ def dm_active_users_daily(
     return_gap: int = fixed.RETURN_GAP_DAYS,
 ) -> DataFrame:
     """Daily, weekly and monthly active users per repo, by activity class."""
-    in_scope = F.col("organization").isin(*organizations) | F.col("repo_name").isin(*repositories)
     flags = c.class_flags()
-    scoped = fact.where(in_scope).dropna(subset=["organization", "repo_name"])
-    sightings = _user_days(
-        scoped, {f"is_{name}": F.bool_or(flag) for name, flag in flags.items()}
-    )
+    scoped = in_active_scope(fact, organizations, repositories)
+    days = _user_days(scoped, {f"is_{name}": F.bool_or(flag) for name, flag in flags.items()})
+    return active_users_of(days, windows, return_gap)
+
+
+def active_users_of(
+    sightings: DataFrame, windows: dict[str, int] | None = None, return_gap: int = fixed.RETURN_GAP_DAYS
+) -> DataFrame:
+    """The same from user days in scope."""
+    flags = c.class_flags()
     counts = rolling_distinct(
         sightings,
         group=["organization", "repo_name"],
@@ -227,16 +275,14 @@ def dm_user_retention(
     only on the finished cohorts. Cohort days whose offset lies beyond the data
     count as not retained.
     """
+    return user_retention_of(user_repo_days(fact), offsets)
+
+
+def user_retention_of(days: DataFrame, offsets: Sequence[int] = fixed.RETENTION_OFFSETS) -> DataFrame:
+    """The same from user days, which must hold the first day of each user."""
     flags = c.class_flags()
-    days = _user_days(
-        fact.dropna(subset=USER_REPO), {f"is_{name}": F.bool_or(flag) for name, flag in flags.items()}
-    )
-    kind = (
-        F.when(F.col("is_heavy"), "Heavy")
-        .when(F.col("is_medium"), "Medium")
-        .when(F.col("is_light"), "Light")
-        .otherwise("Unknown")
-    )
+    days = days.dropna(subset=USER_REPO).select(*USER_REPO, "base_date", *[f"is_{name}" for name in flags])
+    kind = _kind()
     since_first = Window.partitionBy(*USER_REPO).orderBy("base_date")
     upto = since_first.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     aged = days.withColumns(
@@ -293,12 +339,7 @@ def dm_user_cohort_summary(fact: DataFrame) -> DataFrame:
         {f"is_{name}": F.bool_or(flag) for name, flag in c.class_flags().items()}
         | {"events": F.sum("event_count")},
     )
-    kind = (
-        F.when(F.col("is_heavy"), "Heavy")
-        .when(F.col("is_medium"), "Medium")
-        .when(F.col("is_light"), "Light")
-        .otherwise("Unknown")
-    )
+    kind = _kind()
     first = F.min("base_date").over(Window.partitionBy(*USER_REPO))
     people = (
         days.withColumn("_age", F.datediff("base_date", first))
@@ -313,6 +354,11 @@ def dm_user_cohort_summary(fact: DataFrame) -> DataFrame:
         )
         .withColumn("cohort_month", F.date_format("first_day", "yyyy-MM"))
     )
+    return cohort_summary_of(people)
+
+
+def cohort_summary_of(people: DataFrame) -> DataFrame:
+    """Cohort rows from one row per user: kind, sums, lifetime and the days it came back."""
     return people.groupBy("cohort_month", "organization", "repo_name").agg(
         F.count("*").alias("cohort_size"),
         *[

@@ -290,6 +290,11 @@ class Tables:
         self._register(name, keys, written)
         return written
 
+    def kept(self, name: str, df: DataFrame) -> DataFrame:
+        """Write an interim result and read it again; what is read then cannot change under it."""
+        self.rebuild(f"_{name}", df)
+        return self.read(f"_{name}")
+
     def rebuild(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
         """Replace the whole table, even if it is computed from itself.
 
@@ -335,6 +340,20 @@ class Tables:
         ]
         self.drop_parts(name, emptied)
 
+    def replace_parts(
+        self, name: str, df: DataFrame, keys: Sequence[str], wanted: Iterable[Sequence]
+    ) -> None:
+        """Replace exactly the partitions with the given values by the rows of `df`.
+
+        Rows of other partitions are left out; wanted partitions without rows are dropped.
+        """
+        values = sorted({tuple(map(str, part)) for part in wanted})
+        named = F.to_json(F.array(*[F.col(key).cast("string") for key in keys]))
+        rows = df.where(named.isin([json.dumps(part, separators=(",", ":"), ensure_ascii=False) for part in values]))
+        written = self.overwrite_parts(name, rows, keys)
+        emptied = ["/".join(map(self._folder, keys, part)) for part in values if part not in written]
+        self.drop_parts(name, emptied)
+
     def _folder(self, key: str, value: str | None) -> str:
         """Name of a partition's folder as Spark writes it, with NULL and escaped letters."""
         names = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
