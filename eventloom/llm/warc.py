@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from eventloom.llm.blocks import shared_path, stored
 
 FRAME_BYTES = 256 << 10
+TASK_BYTES = 16 << 20  # bytes of records that a reading task takes
 SALTS = 32
 
 # Fixed values of the seekable format and of WARC 1.1.
@@ -222,25 +223,43 @@ def _manifest(rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def read_archives(manifest: DataFrame, payloads: bool = True) -> DataFrame:
-    """All records of the bundles that the manifest names, frame by frame."""
+def read_archives(manifest: DataFrame, payloads: bool = True, task_bytes: int = TASK_BYTES) -> DataFrame:
+    """All records that the manifest names, each from its frame and offset.
+
+    Frames are dealt in their order to as many tasks as their bytes ask for, so tasks read
+    neighbouring frames and a bundle may be read by several.
+    """
     names = [column.split()[0] for column in RECORD.split(", ")]
     types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary()]
 
+    def records(data: bytes, entries: list[dict]) -> Iterator[dict]:
+        for entry in entries:
+            yield next(parse_records(data[entry["offset"] : entry["offset"] + entry["length"]]))
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, file, bounds = None, None, []
         for batch in batches:
-            for path in batch.column(0).to_pylist():
-                files, place = _open(path)
-                with files.open_input_file(place) as file:
-                    for bounds in frame_bounds(file):
-                        found = list(parse_records(read_frame(file, bounds)))
-                        columns = [[r[name] if payloads or name != "payload" else None for r in found] for name in names]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names
-                        )
-
-    bundles = manifest.select("path").distinct()
-    return bundles.mapInArrow(read, RECORD)
+            for row in batch.to_pylist():
+                if row["path"] != current:
+                    if file is not None:
+                        file.close()
+                    files, place = _open(row["path"])
+                    current, file = row["path"], files.open_input_file(place)
+                    bounds = frame_bounds(file)
+                found = list(records(read_frame(file, bounds[row["frame"]]), row["entries"]))
+                columns = [[r[name] if payloads or name != "payload" else None for r in found] for name in names]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names
+                )
+        if file is not None:
+            file.close()
+
+    total = manifest.agg(F.sum("length")).first()[0] or 0
+    tasks = max(1, -(-total // task_bytes))
+    entry = F.struct("offset", "length")
+    frames = manifest.groupBy("path", "frame").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+    dealt = frames.repartitionByRange(tasks, "path", "frame").sortWithinPartitions("path", "frame")
+    return dealt.mapInArrow(read, RECORD)
 
 
 def read_record(entry: dict) -> dict:

@@ -183,6 +183,19 @@ def test_bundles_are_plain_zstandard(spark, pages):
     assert plain.count(b"WARC/1.1\r\nWARC-Type: ") == manifest.where(F.col("path") == manifest.first().path).count()
 
 
+def test_bundles_are_read_by_frames_in_many_tasks(spark):
+    rows = [(n, f"http://e/{n}", f"<p>{n}" + "x" * (n % 50) * 100) for n in range(2000)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(200)
+    manifest = warc.write_archives(warc.plan_records(pages).repartition(200), shared_path(spark, "warc"))
+    assert manifest.select("path").distinct().count() == 200
+    read = warc.read_archives(manifest, task_bytes=200_000)
+    assert 5 < read.rdd.getNumPartitions() < 200
+    got = {r.page_id: bytes(r.payload).decode() for r in read.collect()}
+    assert got == {n: html for n, _, html in rows}
+    wanted = manifest.where("page_id % 100 = 7")  # some records only, wherever they lie
+    assert sorted(r.page_id for r in warc.read_archives(wanted).collect()) == list(range(7, 2000, 100))
+
+
 # --- chats --------------------------------------------------------------------
 
 
