@@ -329,7 +329,7 @@ class Tables:
         self._check_partitions(df, keys)
         rows = df.where(F.col(day_column).isin([date.fromisoformat(day) for day in wanted]))
         written = self.overwrite_parts(name, rows, keys)
-        kept = {"/".join(map(self._folder, keys, part)) for part in written}
+        kept = {self.part_of(keys, part) for part in written}
         there = set(self.days(name, day_column))
         emptied = [
             part
@@ -351,9 +351,13 @@ class Tables:
         named = F.to_json(F.array(*[F.col(key).cast("string") for key in keys]))
         rows = df.where(named.isin([json.dumps(part, separators=(",", ":"), ensure_ascii=False) for part in values]))
         written = self.overwrite_parts(name, rows, keys)
-        emptied = ["/".join(map(self._folder, keys, part)) for part in values if part not in written]
+        emptied = [self.part_of(keys, part) for part in values if part not in written]
         self.drop_parts(name, emptied)
 
+    def part_of(self, keys: Sequence[str], values: Sequence[str | None]) -> str:
+        """Partition folder, named below the table, of some partition values."""
+        return "/".join(map(self._folder, keys, values))
+
     def _folder(self, key: str, value: str | None) -> str:
         """Name of a partition's folder as Spark writes it, with NULL and escaped letters."""
         names = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils

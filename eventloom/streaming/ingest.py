@@ -18,6 +18,9 @@ from ..sources.tables import Tables
 
 _STORED = StructType([*schemas.FILTERED_EVENT.fields, StructField("batch", LongType())])
 BATCH_PARTITIONS = (*EVENT_PARTITIONS, "batch")
+_PARTIAL = StructType([*schemas.ACTIVITY_DAILY.fields, StructField("batch", LongType())])
+PARTIAL_PARTITIONS = ("base_date", "batch")
+MOST_PARTIALS = 32  # batches of a day whose counts lie apart
 
 
 def archive_stream(
@@ -44,15 +47,14 @@ def archive_stream(
 
 def _store_batch(
     tables: Tables, name: str, batch: DataFrame, number: int, organizations: Sequence[str] | None
-) -> list[str]:
-    """Write one batch, balanced and sorted by type; gives the days it touched.
+) -> set[tuple]:
+    """Write one batch, balanced and sorted by type; gives the partitions it wrote.
 
     Its rows lie in partitions of its own number below their day, so a batch that is tried
     again overwrites what it wrote.
     """
     rows = filter_events(batch, organizations).withColumn("batch", F.lit(number).cast("bigint"))
-    written = tables.overwrite_parts(name, rows, BATCH_PARTITIONS, sort_by=["type"])
-    return sorted({day for day, _, _ in written if day is not None})
+    return tables.overwrite_parts(name, rows, BATCH_PARTITIONS, sort_by=["type"])
 
 
 def _live(parts: Sequence[str]) -> tuple[list[str], list[str]]:
@@ -122,6 +124,39 @@ def stream_ingest(
     )
 
 
+def _add_counts(tables: Tables, own: DataFrame, number: int, partials: str) -> list[str]:
+    """Write the counts of a batch's own rows; gives their days.
+
+    They lie under the batch's number, so a batch that is tried again replaces its own.
+    """
+    counts = dw_activity_daily(stg_gh_events(own)).where(F.col("base_date").isNotNull())
+    counts = counts.withColumn("batch", F.lit(number).cast("bigint"))
+    written = tables.overwrite_parts(partials, counts, PARTIAL_PARTITIONS)
+    return sorted({day for day, _ in written})
+
+
+def _summed(tables: Tables, partials: str, days: Sequence[str]) -> DataFrame:
+    """The fact of some days: the sum of what all batches counted."""
+    parts, _ = _live([p for day in days for p in tables.parts(partials, 2, f"base_date={day}")])
+    keys = [name for name in schemas.ACTIVITY_DAILY.names if name != "event_count"]
+    rows = tables.read_parts(partials, parts, _PARTIAL).groupBy(*keys).agg(F.sum("event_count").alias("event_count"))
+    return rows.select(*schemas.ACTIVITY_DAILY.names)
+
+
+def fold_partials(tables: Tables, partials: str, days: Sequence[str], most: int = MOST_PARTIALS) -> None:
+    """Sum the counts of days with many batches into one folder, which says which batches it holds."""
+    for day in days:
+        parts = tables.parts(partials, 2, f"base_date={day}")
+        live, done = _live(parts)
+        if len(live) > most:
+            numbers = [int(part.rpartition("=")[2]) for part in live]
+            top = max(number + 1 if number >= 0 else -number for number in numbers)
+            folded = _summed(tables, partials, [day]).withColumn("batch", F.lit(-top).cast("bigint"))
+            tables.overwrite_parts(partials, folded, PARTIAL_PARTITIONS)
+            _, done = _live(tables.parts(partials, 2, f"base_date={day}"))
+        tables.drop_parts(partials, done)
+
+
 def stream_daily_counts(
     lines: DataFrame,
     tables: Tables,
@@ -129,18 +164,23 @@ def stream_daily_counts(
     events: str = "gh_archive_by_batch",
     daily: str = "dw_activity_daily",
     organizations: Sequence[str] | None = fixed.TARGET_ORGANIZATIONS,
+    partials: str = "dw_activity_partials",
 ) -> StreamingQuery:
-    """Keep the daily fact current: each batch recounts the days it touched.
+    """Keep the daily fact current: each batch counts its own rows, days are sums of such counts.
 
-    Late rows need no watermark, as a touched day is counted again from the
-    event table.
+    Late rows need no watermark, as counts are added up per day whenever they come. A batch
+    that is replayed replaces its counts, and sums stay as they were.
     """
 
     def load(batch: DataFrame, number: int) -> None:
-        days = _store_batch(tables, events, batch, number, organizations)
+        written = _store_batch(tables, events, batch, number, organizations)
+        own = sorted(tables.part_of(BATCH_PARTITIONS, part) for part in written if part[0] is not None)
+        if not own:
+            return
+        days = _add_counts(tables, tables.read_parts(events, own, _STORED), number, partials)
         if days:
-            stg = stg_gh_events(read_batches(tables, events, days))
-            tables.replace_days(daily, dw_activity_daily(stg), days)
+            tables.replace_days(daily, _summed(tables, partials, days), days)
+            fold_partials(tables, partials, days)
 
     return (
         lines.writeStream.foreachBatch(load)
