@@ -8,8 +8,7 @@ every position of a block.
 from __future__ import annotations
 
 import ctypes
-import functools
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -53,18 +52,13 @@ def pair(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return mix(first * _K1 + (second ^ (second >> U(29))) * _K2)
 
 
-@functools.cache
-def _trim() -> Callable[[int], int]:
-    try:
-        return ctypes.CDLL("libc.so.6").malloc_trim
-    except (OSError, AttributeError):  # another C library
-        return lambda _: 0
-
-
 def give_back() -> None:
     """Return what the last batch has left to the system: workers outlive their tasks."""
     pa.default_memory_pool().release_unused()
-    _trim()(0)
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
 
 
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
