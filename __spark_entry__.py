@@ -180,6 +180,57 @@ def _backfill_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read("dw_activity_daily", schemas.ACTIVITY_DAILY)
 
 
+BREAK_AFTER = 6  # loads of a range before it breaks off
+
+
+def _backfill_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A range load that breaks off after some days of its second table, and is called again."""
+    tables = _tables(spark)
+    tables.rebuild(build.EVENTS, _events(spark, sf_dir), archive.EVENT_PARTITIONS)
+    names = ["stg_gh_events", "dw_activity_daily"]
+    days = tables.days(build.EVENTS, "dt_kst")
+    loads, load_days = [], build.load_days
+
+    class Broken(Exception):
+        pass
+
+    def broken(tables_, table, part):
+        if len(loads) == BREAK_AFTER:
+            raise Broken
+        loads.append(table.name)
+        load_days(tables_, table, part)
+
+    build.load_days = broken
+    try:
+        build.load_range(tables, days[0], days[-1], names, slice_days=8)
+    except Broken:
+        pass
+    finally:
+        build.load_days = load_days
+    build.load_range(tables, days[0], days[-1], names, slice_days=8)
+    return tables.read("dw_activity_daily", schemas.ACTIVITY_DAILY)
+
+
+# Days whose files hold the time columns as text, and without one of them.
+TEXT_DAY, SHORT_DAY = date(2024, 1, 9), date(2024, 1, 12)
+
+
+def _dq_time_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of an event table written by somebody else's job: times as text, a column left out."""
+    tables = _tables(spark)
+    every = _events(spark, sf_dir).withColumn("ts_utc", F.col("ts_utc").cast("timestamp"))
+    odd = F.col("dt_kst").isin(TEXT_DAY, SHORT_DAY)
+    tables.rebuild("events_in", every.where(~odd), ["dt_kst"])
+    folder = tables.data_path("events_in")
+    text = every.where(F.col("dt_kst") == F.lit(TEXT_DAY)).withColumns(
+        {"ts_utc": F.col("ts_utc").cast("string"), "ts_kst": F.col("ts_kst").cast("timestamp_ntz")}
+    )
+    text.coalesce(1).write.partitionBy("dt_kst").mode("append").parquet(folder)
+    short = every.where(F.col("dt_kst") == F.lit(SHORT_DAY)).drop("dt_utc")
+    short.coalesce(1).write.partitionBy("dt_kst").mode("append").parquet(folder)
+    return quality.time_column_drift(tables, "events_in")
+
+
 def _replace_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables, _, _ = _loaded(spark, sf_dir, _events(spark, sf_dir))
     kept = _events(spark, sf_dir).where(F.col("dt_kst") != F.lit("2024-01-10").cast("date"))
@@ -579,6 +630,7 @@ def analytics_queries() -> dict[str, Query]:
         "dq_unique": _on_events(
             lambda rows: quality.not_unique(rows.unionByName(rows.where(F.col("type") == "PushEvent")))
         ),
+        "dq_time_columns": _dq_time_columns,
         "dq_freshness": _on_events(lambda rows: quality.freshness(rows, "2024-02-04")),
         # storage and streaming
         "declared_tables": _declared_tables,
@@ -586,6 +638,7 @@ def analytics_queries() -> dict[str, Query]:
         "pipeline_end_to_end": _pipeline_end_to_end,
         "replace_day": _replace_day,
         "backfill_range": _backfill_range,
+        "backfill_resumed": _backfill_resumed,
         "stream_ingest": _stream_ingest,
         "stream_daily_counts": _stream_daily_counts,
     }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date
@@ -150,10 +151,14 @@ def load_range(
     start: date | str | None = None,
     end: date | str | None = None,
     names: Sequence[str] | None = None,
+    slice_days: int | None = None,
 ) -> None:
     """Load a range of days (default: yesterday) into the daily tables, in order.
 
-    All days of a table are one job, not one job per day.
+    All days of a table are one job, not one job per day; `slice_days` cuts a long range
+    into jobs of so many days. Each finished (table, days) is recorded. A run that was cut
+    short is taken up by the same call: it loads what is not recorded, and the record goes
+    once all is loaded, so that the range can be loaded again.
     """
     first = run_day(start)
     days = day_range(first, run_day(end) if end is not None else first)
@@ -161,9 +166,18 @@ def load_range(
     unknown = set(names or ()) - set(known)
     if unknown:
         raise ValueError(f"unknown tables: {sorted(unknown)}")
-    for name, table in known.items():
-        if names is None or name in names:
-            load_days(tables, table, days)
+    wanted = [name for name in known if names is None or name in names]
+    run = f"{days[0]}_{days[-1]}_{slice_days or len(days)}_{zlib.crc32(','.join(wanted).encode()):08x}"
+    done = tables.done(run)
+    for name in wanted:
+        size = slice_days or len(days)
+        for part in (days[n : n + size] for n in range(0, len(days), size)):
+            step = f"{name}.{part[0]}"
+            if step in done:
+                continue
+            load_days(tables, known[name], part)
+            tables.mark_done(run, step)
+    tables.end_run(run)
 
 
 def rebuild_whole(tables: Tables, names: Sequence[str] | None = None) -> None:

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from datetime import date
+from urllib.parse import unquote
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
+from ..sources.tables import Tables
 
 # The four time columns and the types they must have.
 TIME_COLUMNS = {
@@ -29,6 +33,59 @@ def time_columns_valid(df: DataFrame) -> bool:
     return all(types.get(name) in allowed for name, allowed in TIME_COLUMNS.items())
 
 
+def stored_columns(tables: Tables, name: str) -> DataFrame:
+    """(part, file, column_name, stored_type) of every Parquet file of a table, from its footer.
+
+    Footers are read in tasks, dealt by file; no row is read. `part` is the partition folder.
+    """
+    spark, root = tables.spark, tables.data_path(name)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(root)
+    base = root.rpartition(":")[2].lstrip("/")
+
+    def footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow.fs import FileSystem
+
+        for batch in batches:
+            rows = []
+            for path in batch.column("path").to_pylist():
+                system, place = FileSystem.from_uri(path)
+                with system.open_input_file(place) as file:
+                    schema = pq.read_schema(file)
+                part = unquote(path.rpartition("/")[0].partition(base)[2].strip("/"))
+                rows += [(part, path.rpartition("/")[2], field.name, str(field.type)) for field in schema]
+            columns = zip(*rows, strict=True) if rows else [[]] * 4
+            names = ["part", "file", "column_name", "stored_type"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=names)
+
+    paths = files.select("path").repartition(max(1, spark.sparkContext.defaultParallelism))
+    return paths.mapInArrow(footers, "part string, file string, column_name string, stored_type string")
+
+
+# How the Parquet files of a table may hold each of the time columns.
+STORED_TIME_TYPES = {
+    "dt_utc": ("date32[day]",),
+    "ts_kst": ("timestamp[us]", "timestamp[ns]"),
+    "ts_utc": ("timestamp[us, tz=UTC]", "timestamp[ns, tz=UTC]", "timestamp[ns]"),
+}
+
+
+def time_column_drift(tables: Tables, name: str, types: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """Files whose time columns are missing or of another type: (part, column_name, stored_type, files).
+
+    `dt_kst` is a partition folder and in no file.
+    """
+    wanted = types or STORED_TIME_TYPES
+    held = stored_columns(tables, name)
+    allowed = [F.struct(F.lit(column).alias("column_name"), F.lit(kind).alias("stored_type")) for column, kinds in wanted.items() for kind in kinds]
+    # one row per file and wanted column, with the type it has there
+    expected = F.array(*[F.lit(column) for column in wanted])
+    there = held.groupBy("part", "file").agg(F.map_from_entries(F.collect_list(F.struct("column_name", "stored_type"))).alias("types"))
+    rows = there.select("part", "file", "types", F.explode(expected).alias("column_name"))
+    rows = rows.withColumn("stored_type", F.coalesce(F.try_element_at("types", F.col("column_name")), F.lit("missing")))
+    drifted = rows.where(~F.struct("column_name", "stored_type").isin(*allowed))
+    return drifted.groupBy("part", "column_name", "stored_type").agg(F.count("*").alias("files"))
+
+
 def not_null(df: DataFrame, required: Sequence[str] = fixed.REQUIRED_EVENT_COLUMNS) -> DataFrame:
     """NULLs per required column, all counted in one pass.
 

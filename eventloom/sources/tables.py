@@ -77,6 +77,20 @@ class Tables:
         fs, target = self._handle(path)
         fs.delete(target, True)
 
+    # --- progress of long runs ---
+
+    def done(self, run: str) -> set[str]:
+        """Steps of a run that are finished."""
+        return set(self._children(f"{self.root}/_progress/{run}"))
+
+    def mark_done(self, run: str, step: str) -> None:
+        fs, marker = self._handle(f"{self.root}/_progress/{run}/{step}")
+        fs.create(marker, True).close()
+
+    def end_run(self, run: str) -> None:
+        """Forget a run whose steps are all finished, so that it may be made again."""
+        self._delete(f"{self.root}/_progress/{run}")
+
     def move_only_file(self, folder: str, path: str) -> None:
         """Rename the one data file of a folder."""
         (name,) = self._children(folder)
