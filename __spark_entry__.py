@@ -407,6 +407,15 @@ def _relations_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.groupBy("dt_kst", "relation_type").agg(F.count("*").alias("row_count"))
 
 
+LOOKED_UP = "camel_user_37"
+
+
+def _relations_of_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = _tables(spark)
+    relations.write_user_relations(tables, _relations(spark, sf_dir))
+    return _unzoned(relations.relations_of(tables, LOOKED_UP))
+
+
 def _cohort_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(marts.dm_user_cohort_summary(supplied.order_fact(spark, sf_dir)))
 
@@ -621,6 +630,7 @@ def analytics_queries() -> dict[str, Query]:
         ),
         "user_relations": lambda s, d: _unzoned(_relations(s, d)),
         "user_relations_write": _relations_write,
+        "user_relations_lookup": _relations_of_user,
         # quality
         "dq_not_null": _on_events(quality.not_null),
         "dq_required_columns": _on_events(

@@ -53,6 +53,22 @@ def user_relations(pages: DataFrame) -> DataFrame:
     return with_time_columns(rows, "collected_at").select(*schemas.USER_RELATIONS.names)
 
 
-def write_user_relations(tables: Tables, relations: DataFrame, name: str = "gh_user_relations") -> None:
-    """Append by day. Users are far too many to be folders: they sort the files."""
-    tables.append(name, relations, ["dt_kst"], sort_by=["username"])
+# Users are far too many to be folders: files are sorted by them, in row groups small enough
+# to skip, and a Bloom filter per row group tells that a user is not in it.
+LOOKUP_OPTIONS = {
+    "parquet.bloom.filter.enabled#username": "true",
+    "parquet.block.size": str(16 << 20),
+}
+
+
+def write_user_relations(
+    tables: Tables, relations: DataFrame, name: str = "gh_user_relations", options: dict[str, str] | None = None
+) -> None:
+    """Append by day, so that the relations of one user can be looked up."""
+    tables.append(name, relations, ["dt_kst"], sort_by=["username"], options=LOOKUP_OPTIONS | (options or {}))
+
+
+def relations_of(tables: Tables, username: str, name: str = "gh_user_relations") -> DataFrame:
+    """All relations of one user: row groups without them are skipped by statistics and filters."""
+    stored = tables.read(name, schemas.USER_RELATIONS)
+    return stored.where(F.col("username") == username)

@@ -252,6 +252,7 @@ class Tables:
         keys: Sequence[str],
         sort_by: Sequence[str] = (),
         mode: str = "error",
+        options: dict[str, str] | None = None,
     ) -> set[tuple]:
         """Write the rows; gives the partition values written, observed on the way."""
         self._check_partitions(df, keys)
@@ -262,7 +263,7 @@ class Tables:
         rows = self._balanced(df, keys)
         if sort_by:
             rows = rows.sortWithinPartitions(*keys, *sort_by)
-        writer = rows.write.partitionBy(*keys)
+        writer = rows.write.partitionBy(*keys).options(**(options or {}))
         if mode == "replace":
             writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         else:
@@ -279,12 +280,13 @@ class Tables:
         df: DataFrame,
         partition_by: Sequence[str] = (),
         sort_by: Sequence[str] = (),
+        options: dict[str, str] | None = None,
     ) -> None:
         """Create on first write, append afterwards; columns may be added or widened.
 
         Rows of a type the table cannot hold raise `SchemaConflict` and change nothing.
         """
-        self._into_version(name, df, partition_by, sort_by, "append")
+        self._into_version(name, df, partition_by, sort_by, "append", options)
 
     def overwrite_parts(
         self, name: str, df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str] = ()
@@ -292,13 +294,13 @@ class Tables:
         """Replace the partitions that `df` has rows for, leave the others; gives those."""
         return self._into_version(name, df, partition_by, sort_by, "replace")
 
-    def _into_version(self, name, df, keys, sort_by, mode) -> set[tuple]:
+    def _into_version(self, name, df, keys, sort_by, mode, options=None) -> set[tuple]:
         if self.exists(name):
             df = self._admitted(name, df)
-            written = self._write(df, self.data_path(name), keys, sort_by, mode)
+            written = self._write(df, self.data_path(name), keys, sort_by, mode, options)
         else:
             version = self._new_version(name)
-            written = self._write(df, f"{self.root}/{name}/{version}", keys, sort_by, mode)
+            written = self._write(df, f"{self.root}/{name}/{version}", keys, sort_by, mode, options)
             self._keep_schema(name, version, plain(df.schema))
             self._publish(name, version)
         self._register(name, keys, written)

@@ -341,3 +341,25 @@ def test_replace_days_keeps_null_and_escaped_partitions(spark, tables):
     tables.replace_days("t", rows(None, "a:b", "c/d=e", "plain"), ["2024-01-15"], more_partitions=more)
     got = {(r.organization, r.n) for r in tables.read("t").collect()}
     assert got == {(None, 0), ("a:b", 1), ("c/d=e", 2), ("plain", 3)}
+
+
+def test_looking_up_a_user_reads_few_row_groups(spark, tables):
+    from eventloom.sources import relations
+
+    # every second name, in an order that statistics alone cannot use
+    rows = spark.range(40_000).selectExpr("concat('u', sha2(string(id * 2), 256)) as username", "date'2024-01-15' as dt_kst", "id as related_id")
+    for part in range(4):
+        relations.write_user_relations(tables, rows.where(f"related_id % 4 = {part}").coalesce(1), options={"parquet.block.size": str(64 << 10)})
+    import hashlib
+
+    def scanned(number):
+        name = "u" + hashlib.sha256(str(number).encode()).hexdigest()
+        found = tables.read("gh_user_relations").where(F.col("username") == name)
+        count = len(found.collect())
+        plan = found._jdf.queryExecution().executedPlan()
+        scans = plan.collectLeaves()
+        return count, sum(scans.apply(n).metrics().apply("numOutputRows").value() for n in range(scans.size()))
+
+    count, read = scanned(2000)
+    assert count == 1 and 1 <= read < 8_000  # one row group or two of one file
+    assert scanned(2001) == (0, 0)  # between others, so only the Bloom filters know
