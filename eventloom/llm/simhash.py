@@ -5,7 +5,9 @@ shingles. Fingerprints with `radius` or fewer differing bits are linked.
 
 Two fingerprints within the radius, cut into radius + KEEP pieces, agree on at least
 KEEP pieces. So each fingerprint goes to one shard per choice of KEEP pieces, and
-every link lies in some shard; the shards grow in number with the corpus, not in size.
+every link lies in some shard. Shards have keys of a fixed width, 25 or 26 bits for a radius
+of three: beyond that many distinct fingerprints they grow in size too, and a shard of
+fingerprints that share many bits is searched in one task whatever its size.
 A shard is searched with a BK-tree: children are keyed by their distance to the parent,
 and a search follows only edges within the radius. Trees are built where their shard
 is, since a broadcast of all fingerprints has no bound.

@@ -6,7 +6,7 @@ fewest URLs hold. The tokens of a URL (labels of the host, whole segments of the
 fetch the rules it may match, and only these run their regular expression.
 
 All steps are DataFrame functions. The index is joined like any table, so whether it
-is broadcast is up to Spark's size check; equal URLs are judged once.
+is broadcast is up to Spark's size check; every row is judged.
 
 Defined cases: a NULL url, or one without `://`, has an empty host and path and matches
 no host rule; NULL and repeated page ids each give a row; an empty rule table leaves
