@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.text import as_bytes, slices
+from eventloom.llm.text import as_bytes, give_back, slices
 
 CAPACITY = 4096
 END_ID = 2
@@ -127,14 +127,14 @@ class Words(dict):
 class Encoder:
     """Encodes texts word by word, remembering the ids of each word as bytes."""
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, by_word: bool | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the unit of parallel work
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
-        self.by_word = cuts_at_spaces(definition)
+        self.by_word = cuts_at_spaces(definition) if by_word is None else by_word
         self.words = Words(self._learn)
         vocabulary = self.tokenizer.get_vocab()
         self.ends_sentence = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
@@ -167,7 +167,7 @@ class Encoder:
             yield np.frombuffer(ids + end, dtype=np.uint32)
 
 
-def worker_encoder(definition: str) -> Encoder:
+def worker_encoder(definition: str, by_word: bool) -> Encoder:
     """The encoder of this worker process, which outlives a task and so do the words it knows.
 
     Functions travel by value, so what a process shares is kept at a module of its own.
@@ -175,7 +175,8 @@ def worker_encoder(definition: str) -> Encoder:
     name = f"_encoder_{zlib.crc32(definition.encode()):08x}"
     if name not in sys.modules:
         held = types.ModuleType(name)
-        held.encoder = Encoder(definition)
+        held.encoder = Encoder(definition, by_word)
+        give_back()  # what reading the definition took
         sys.modules[name] = held
     return sys.modules[name].encoder
 
@@ -288,10 +289,12 @@ def pack(
 ) -> DataFrame:
     """One row per piece: where its ids lie in the document and in the sequence."""
     with open(tokenizer or default_tokenizer(), encoding="utf-8") as definition:
-        shared = docs.sparkSession.sparkContext.broadcast(definition.read())
+        text = definition.read()
+    by_word = cuts_at_spaces(text)  # here, as it reads the whole definition
+    shared = docs.sparkSession.sparkContext.broadcast(text)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(shared.value)
+        encoder = worker_encoder(shared.value, by_word)
         sequence = TaskContext.get().partitionId() << 40
         shelf = Shelf()
 

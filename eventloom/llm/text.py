@@ -73,6 +73,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         total += size
     if start < batch.num_rows:
         yield batch.slice(start)
+    give_back()  # a worker may be idle after its last batch
 
 
 def as_bytes(column: pa.Array) -> list[bytes]:
