@@ -5,6 +5,9 @@ organization, repo) key therefore has at most days x types rows, and can be
 brought together in one shuffle that every step of a mart reuses. Groups
 without that bound (an organization, a repo) are only ever aggregated with
 partial results or cut into slices.
+
+Rolling up to periods makes three wide rows of one. That is done in a given number of
+partitions: merged by their shuffled bytes they would hold a hundred times as much.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from ..operators.ranking import sliced_row_number
 from ..operators.rolling import rolling_distinct
 
 USER_REPO = ["organization", "repo_name", "user_login"]
+SPREAD = 192  # least partitions in which rows are multiplied
 
 # Count columns and the event types they add up.
 _COUNTS = {
@@ -48,6 +52,12 @@ _ORG_COUNTS = {
 }
 
 
+def _spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of a key together, in partitions that adaptive execution does not merge."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(SPREAD, parts), *[F.col(key) for key in keys])
+
+
 def _user_days(fact: DataFrame, sums: dict[str, Column]) -> DataFrame:
     """One row per user, repo and day, all of a user's repo days in one partition."""
     return (
@@ -77,9 +87,12 @@ def user_repo_days(fact: DataFrame) -> DataFrame:
 
 
 def _period_activity(days: DataFrame, sums: Sequence[str]) -> DataFrame:
-    """Roll user days up to day, week and month in place: no further shuffle."""
+    """Roll user days up to day, week and month, dealt finely before they are multiplied.
+
+    The keys stand in another order than in the shuffle before: one that looks the same is left out.
+    """
     return (
-        explode_periods(days)
+        explode_periods(_spread(days, USER_REPO[::-1]))
         .groupBy(*USER_REPO, "level", "start", "end")
         .agg(
             *[F.sum(name).alias(name) for name in sums],
@@ -173,7 +186,7 @@ def dm_org_overview(fact: DataFrame, first_seen: DataFrame | None = None) -> Dat
         member("user", "user_login", F.lit(0).cast("bigint")),
     )
     key = ["organization", "kind", "name"]
-    days = (
+    merged = (
         fact.where(F.col("organization").isNotNull())
         .withColumn("_m", F.explode(members))
         .select("organization", "base_date", "event_type", "_m.*")
@@ -181,6 +194,7 @@ def dm_org_overview(fact: DataFrame, first_seen: DataFrame | None = None) -> Dat
         .groupBy(*key, "base_date")
         .agg(*[column.alias(name) for name, column in sums.items()])
     )
+    days = _spread(merged, ["organization", "name"])
     if first_seen is None:
         is_new = F.col("base_date") == F.min("base_date").over(Window.partitionBy(*key))
     else:

@@ -94,6 +94,22 @@ def test_marts_shuffle_a_user_repo_once(spark):
     assert plan.count("REPARTITION_BY_COL") == 1
 
 
+def test_rows_are_multiplied_in_many_partitions(spark):
+    """However few bytes a shuffle has, its partitions are not merged before rows become periods."""
+    rows = fact(spark, *[(0, f"u{n}", "PushEvent") for n in range(3000)])
+    first = rows.selectExpr("organization", "user_login", "base_date AS first_day")
+    for mart in (
+        marts.dm_user_activity(rows),
+        marts.dm_repo_contributors(rows),
+        marts.dm_org_overview(rows),
+        marts.dm_org_overview(rows, first),
+    ):
+        plan = mart._jdf.queryExecution().executedPlan().toString()
+        assert f", {marts.SPREAD}), REPARTITION_BY_NUM" in plan
+    spread = marts.dm_user_activity(rows).select(F.spark_partition_id()).distinct()
+    assert spread.count() == marts.SPREAD
+
+
 def test_org_repo_view_keeps_one_row_per_user(spark):
     rows = facts.dm_activity_daily_org_repo(fact(spark, (0, "a", "PushEvent"), (0, "b", "PushEvent")))
     assert rows.count() == 2
