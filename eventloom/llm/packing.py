@@ -22,6 +22,7 @@ packed row by row; an empty table gives no piece.
 
 from __future__ import annotations
 
+import codecs
 import json
 import os
 import re
@@ -48,6 +49,7 @@ INNER_CUT = 48
 SHELF = 1 << 19
 SLICE = 2 << 20  # text bytes encoded at a time
 REMEMBERED = 48 << 20  # bytes of words in a generation of a worker's memory
+REMEMBERED_LATE = 16 << 20  # the same where earlier stages have filled the executor
 ENTRY = 150  # bytes an entry takes beside word and ids
 
 RESULT = (
@@ -63,15 +65,21 @@ def default_tokenizer() -> str:
 
 
 # Marks at the end of a word, behind a letter, are a piece of their own for the tokenizer.
-_MARKS = b".,!?;:"
+_MARKS = b".,!?;:#$%&*"
 _LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 _LAST_LETTER = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])\Z")
 
 
-def _byte_letters() -> dict[int, int]:
-    """The letters that byte-level vocabularies write bytes with: visible ones are themselves."""
+# Capitals beyond ASCII have their small letters 32 places on.
+_CAPITALS = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+_SMALL = bytes(n + 32 if 0x80 <= n < 0x9F and n != 0x97 else n for n in range(256))
+
+
+def _byte_letters() -> str:
+    """The letters that byte-level vocabularies write bytes with, by byte: visible ones are themselves."""
     visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    return dict(zip(sorted(set(range(256)) - visible), range(256, 512), strict=False))
+    others = dict(zip(sorted(set(range(256)) - visible), range(256, 512), strict=False))
+    return "".join(chr(others.get(n, n)) for n in range(256))
 
 
 # How a tokenizer must cut texts for words to be encoded one by one.
@@ -127,7 +135,7 @@ class Words(dict):
 class Encoder:
     """Encodes texts word by word, remembering the ids of each word as bytes."""
 
-    def __init__(self, definition: str, by_word: bool | None = None):
+    def __init__(self, definition: str, by_word: bool | None = None, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the unit of parallel work
         from tokenizers import Tokenizer
 
@@ -135,7 +143,7 @@ class Encoder:
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
         self.by_word = cuts_at_spaces(definition) if by_word is None else by_word
-        self.words = Words(self._learn)
+        self.words = Words(self._learn, remembered)
         vocabulary = self.tokenizer.get_vocab()
         self.ends_sentence = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         for token, number in vocabulary.items():
@@ -148,8 +156,10 @@ class Encoder:
             return self.words[stem] + self.words[word[len(stem) :]]
         if _LETTERS.fullmatch(word):
             # lower-case letters in composed form: nothing to normalise nor to cut
-            tokens = self.model.tokenize(word.decode("latin-1").translate(self.letters))
+            tokens = self.model.tokenize(codecs.charmap_decode(word, "strict", self.letters)[0])
             return array("I", [token.id for token in tokens]).tobytes()
+        if _CAPITALS.fullmatch(word):
+            return self.words[word.translate(_SMALL)]
         made = self.tokenizer.encode(word.decode(), add_special_tokens=False)
         return array("I", made.ids).tobytes()
 
@@ -167,15 +177,15 @@ class Encoder:
             yield np.frombuffer(ids + end, dtype=np.uint32)
 
 
-def worker_encoder(definition: str, by_word: bool) -> Encoder:
+def worker_encoder(definition: str, by_word: bool, remembered: int) -> Encoder:
     """The encoder of this worker process, which outlives a task and so do the words it knows.
 
     Functions travel by value, so what a process shares is kept at a module of its own.
     """
-    name = f"_encoder_{zlib.crc32(definition.encode()):08x}"
+    name = f"_encoder_{zlib.crc32(definition.encode()):08x}_{remembered}"
     if name not in sys.modules:
         held = types.ModuleType(name)
-        held.encoder = Encoder(definition, by_word)
+        held.encoder = Encoder(definition, by_word, remembered)
         give_back()  # what reading the definition took
         sys.modules[name] = held
     return sys.modules[name].encoder
@@ -286,15 +296,19 @@ def pack(
     tokenizer: str | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
-    """One row per piece: where its ids lie in the document and in the sequence."""
+    """One row per piece: where its ids lie in the document and in the sequence.
+
+    `remembered` bounds a worker's memory of words; a smaller one costs time, not results.
+    """
     with open(tokenizer or default_tokenizer(), encoding="utf-8") as definition:
         text = definition.read()
     by_word = cuts_at_spaces(text)  # here, as it reads the whole definition
     shared = docs.sparkSession.sparkContext.broadcast(text)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(shared.value, by_word)
+        encoder = worker_encoder(shared.value, by_word, remembered)
         sequence = TaskContext.get().partitionId() << 40
         shelf = Shelf()
 

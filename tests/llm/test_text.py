@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from eventloom.llm import chat, ngrams, packing, quality, urls, warc
+from eventloom.llm import chat, ngrams, packing, quality, stages, urls, warc
 from eventloom.llm.blocks import shared_path
 
 SF = "/root/testdata/sf0.001"
@@ -281,6 +281,32 @@ def test_small_memory_of_words_gives_the_same_ids(odd):
     assert forgetful.words.old and forgetful.words.size <= 3000
 
 
+def test_capitals_and_symbols_behind_letters_need_no_whole_encoding():
+    with open(packing.default_tokenizer(), encoding="utf-8") as file:
+        encoder = packing.Encoder(file.read())
+    texts = ["Éreeauou ßàíÿ ÀÖØÞ×à", "gestö### eablehe%%%, Éçpa.&&& it's$ a-b* x)* 5% le'* <|a|>*"]
+    wanted = [[*encoder.tokenizer.encode(text, add_special_tokens=False).ids, 2] for text in texts]
+    assert [ids.tolist() for ids in encoder.encode([text.encode() for text in texts])] == wanted
+    asked = []
+
+    class Whole:
+        def encode(self, word, **options):
+            asked.append(word)
+            return whole.encode(word, **options)
+
+    whole, encoder.tokenizer = encoder.tokenizer, Whole()
+    for word in ("Éreeauoux", "gestön###", "eablehen%%%,", "Éçpan.&&&"):
+        encoder.words[word.encode()]
+    assert not set("aeößçé") & set("".join(asked))  # at most marks alone
+
+
+def test_the_late_stage_remembers_fewer_words(spark):
+    docs = spark.createDataFrame([(n, f"word{n} some Text.") for n in range(50)], "doc_id bigint, text string").coalesce(1)
+    assert 0 < packing.REMEMBERED_LATE < packing.REMEMBERED
+    usual, small = packing.pack(docs).collect(), packing.pack(docs, remembered=2000).collect()
+    assert sorted(usual) == sorted(small) == sorted(stages.packing_stage(spark, docs, "").collect())
+
+
 def test_other_tokenizers_encode_whole_texts(spark):
     import public_tokenizers
     from tokenizers import Tokenizer
