@@ -207,9 +207,12 @@ def find_leaks(
     the sorted ids found. Items beyond `shard_bytes` are spread over several
     automata, which all documents pass one after the other.
     """
+    columns = docs.columns
+    # beside the text, so that workers get it once
+    beside = [F.col(name) for name in columns if name != text_col] or [F.lit(0).alias("_none")]
     for n, shard in enumerate(_shards(items, item_id_col, item_text_col, window, shard_bytes)):
         if n == 0:
-            docs = docs.select(F.struct("*").alias("doc"), F.col(text_col).alias("text"))
+            docs = docs.select(F.struct(*beside).alias("doc"), F.col(text_col).alias("text"))
             docs = docs.withColumn("n_words", F.lit(None).cast("bigint"))
             docs = docs.withColumn("hit_words", F.lit(None).cast("array<bigint>"))
             docs = docs.withColumn("items", F.lit(None).cast("array<string>"))
@@ -240,7 +243,8 @@ def find_leaks(
                     )
 
         docs = docs.mapInArrow(scan, StructType([*docs.schema.fields[:2], *_RESULT]))
-    return docs.drop("text")
+    whole = [F.col("text" if name == text_col else f"doc.`{name}`").alias(name) for name in columns]
+    return docs.withColumn("doc", F.struct(*whole)).drop("text")
 
 
 def _edges(flags: np.ndarray) -> list[int]:
@@ -271,7 +275,9 @@ def remove_leaks(
         "n_hit", F.expr("aggregate(hit_words, 0L, (s, x) -> x - s)")
     )
     kept = found.where(F.col("n_hit") <= max_coverage * F.col("n_words"))
-    rows = kept.select("doc", F.col("doc.text").alias("text"), "hit_words")
+    columns = kept.schema["doc"].dataType.names
+    beside = [F.col(f"doc.`{name}`").alias(name) for name in columns if name != "text"] or [F.lit(0).alias("_none")]
+    rows = kept.select(F.struct(*beside).alias("doc"), F.col("doc.text").alias("text"), "hit_words")
 
     def cut(batches):
         for batch in batches:
@@ -289,7 +295,6 @@ def remove_leaks(
                 )
 
     clean = rows.mapInArrow(cut, StructType(rows.schema.fields[:2]))
-    columns = kept.schema["doc"].dataType.names
     return clean.select(*[F.col("text" if c == "text" else f"doc.`{c}`").alias(c) for c in columns])
 
 

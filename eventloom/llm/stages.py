@@ -44,5 +44,5 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of training sequences."""
-    return packing.pack(docs)
+    """Pieces of training sequences; workers remember fewer words, as executors are full by now."""
+    return packing.pack(docs, remembered=packing.REMEMBERED_LATE)

@@ -101,6 +101,17 @@ def test_remove_leaks_cuts_words_and_drops_covered(spark):
     )
 
 
+def test_decontamination_sends_a_text_to_workers_once(spark):
+    docs = spark.createDataFrame([(1, "a b c", "en")], "doc_id bigint, text string, lang string")
+    items = spark.createDataFrame([("i", "x y z")], "item_id string, text string")
+    found = decontaminate.find_leaks(docs, items)
+    assert found.schema["doc"].dataType.names == docs.columns
+    node = found._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "MapInArrow":
+        node = node.children().head()
+    assert [field.name() for field in node.schema().fields()[0].dataType().fields()] == ["doc_id", "lang"]
+
+
 def test_automaton_finds_every_substring():
     rng = random.Random(3)
     items = [(n, [rng.choice([b"a", b"b", b"c"]) for _ in range(rng.randint(1, 40))]) for n in range(20)]
