@@ -163,6 +163,12 @@ class Encoder:
         made = self.tokenizer.encode(word.decode(), add_special_tokens=False)
         return array("I", made.ids).tobytes()
 
+    def forget(self) -> None:
+        """Give up all words, and the method in `words` that holds this encoder."""
+        self.words.clear()
+        self.words.old.clear()
+        del self.words.learn
+
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         """Ids of each text, the end id included."""
         end = array("I", [END_ID]).tobytes()
@@ -297,10 +303,12 @@ def pack(
     id_col: str = "doc_id",
     text_col: str = "text",
     remembered: int = REMEMBERED,
+    outlives: bool = True,
 ) -> DataFrame:
     """One row per piece: where its ids lie in the document and in the sequence.
 
     `remembered` bounds a worker's memory of words; a smaller one costs time, not results.
+    Unless it `outlives` a task, each task learns its words anew and gives them back.
     """
     with open(tokenizer or default_tokenizer(), encoding="utf-8") as definition:
         text = definition.read()
@@ -308,7 +316,10 @@ def pack(
     shared = docs.sparkSession.sparkContext.broadcast(text)
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_encoder(shared.value, by_word, remembered)
+        if outlives:
+            encoder = worker_encoder(shared.value, by_word, remembered)
+        else:
+            encoder = Encoder(shared.value, by_word, remembered)
         sequence = TaskContext.get().partitionId() << 40
         shelf = Shelf()
 
@@ -329,6 +340,10 @@ def pack(
                         yield flush(last=False)
         if shelf.total:
             yield flush(last=True)
+        if not outlives:
+            encoder.forget()
+            encoder = None
+            give_back()
 
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(pieces, RESULT)

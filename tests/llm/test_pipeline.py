@@ -1,12 +1,15 @@
 """Registered queries against SQL, and the pipeline against plain versions of its stages."""
 
+import weakref
+
 import brute
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
 from check_oracle import compare, connect
-from eventloom.llm import queries, stages
+from eventloom.llm import packing, queries, stages
 
 SF = "/root/testdata/sf0.001"
 
@@ -67,3 +70,34 @@ def test_stages_in_turn(spark):
 
 def test_run_gives_the_last_stage(spark):
     assert "ids_crc32" in corpus_pipeline.run(spark, SF).columns
+
+
+def test_packing_stage_leaves_no_words_behind(spark):
+    texts = [f"word{n} Übung, tail{n % 7}. " * 40 for n in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3, "doc_id").cache()
+    kept = sorted(map(tuple, packing.pack(docs, remembered=1 << 14).collect()))
+    assert sorted(map(tuple, packing.pack(docs, remembered=1 << 14, outlives=False).collect())) == kept
+    with open(packing.default_tokenizer(), encoding="utf-8") as definition:
+        encoder = packing.Encoder(definition.read())
+    list(encoder.encode([texts[0].encode()]))
+    held = weakref.ref(encoder)
+    encoder.forget()
+    del encoder
+    assert held() is None  # gone without a collection of cycles
+
+
+def test_stages_hand_rows_over_in_small_batches(spark):
+    docs = spark.range(64).selectExpr("id AS doc_id", "repeat('x', 1000000) AS text").coalesce(1)
+    before = spark.conf.get(stages.BATCH_BYTES, None)
+    try:
+        spark.conf.unset(stages.BATCH_BYTES)
+        stages.quality_rules(spark, docs, SF)
+        sizes = docs.mapInArrow(
+            lambda batches: (pa.record_batch({"n": [batch.nbytes]}) for batch in batches), "n long"
+        ).collect()
+        assert max(row.n for row in sizes) <= 6_000_000 and len(sizes) > 10
+        spark.conf.set(stages.BATCH_BYTES, "16m")
+        stages.quality_rules(spark, docs, SF)
+        assert spark.conf.get(stages.BATCH_BYTES) == "16m"
+    finally:
+        spark.conf.unset(stages.BATCH_BYTES) if before is None else spark.conf.set(stages.BATCH_BYTES, before)
