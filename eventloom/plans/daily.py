@@ -25,7 +25,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -309,56 +309,67 @@ def _months_of(days: DataFrame) -> DataFrame:
     )
 
 
-def load_months(tables: Tables, days: Iterable[date | str]) -> DataFrame:
-    """Roll the touched months up again; gives the people whose row of a month has changed."""
+def load_months(tables: Tables, days: Iterable[date | str]) -> set[str]:
+    """Roll the touched months up again; gives the first months, before or after, of people whose row has changed."""
     touched = sorted({day.replace(day=1) for day in _dates(days)})
     if not tables.exists(MONTHS):
         tables.rebuild(MONTHS, _months_of(_user_days(tables)), ["month"])
-        return tables.read(MONTHS).select(*USER_REPO).distinct()
+        return {month[:7] for month in tables.days(MONTHS, "month")}
     new = _months_of(_user_days(tables, days_of((month, "month") for month in touched)))
     new = tables.kept(f"{MONTHS}_next", new)
     old = tables.read(MONTHS, days=touched, day_column="month").select(*new.columns)
     # a row that is in one of the two only belongs to somebody who has changed
     rows = old.withColumn("_side", F.lit(1)).unionByName(new.withColumn("_side", F.lit(2)))
     single = rows.groupBy(*new.columns).agg(F.count("*").alias("_sides")).where("_sides = 1")
-    changed = tables.kept(f"{MONTHS}_changed", single.select(*USER_REPO, "month").distinct())
+    changed = tables.kept(f"{MONTHS}_changed", single.select(*USER_REPO).distinct())
+    changed = _prefixed(changed, USER_REPO, "_")
+
+    def cohorts() -> set[str]:
+        return _cohorts(tables.read(MONTHS).join(changed, _same(USER_REPO, "_"), "left_semi"))
+
+    before = cohorts()
     tables.replace_parts(MONTHS, new, ["month"], [(month,) for month in touched])
-    return changed.select(*USER_REPO).distinct()
+    return before | cohorts()
+
+
+def _cohorts(months: DataFrame) -> set[str]:
+    """First months of some people, given all their months."""
+    first = months.groupBy(*USER_REPO).agg(F.min("month").alias("month"))
+    return {row[0] for row in first.select(F.date_format("month", "yyyy-MM")).distinct().collect()}
 
 
 def _people(months: DataFrame, offsets: Sequence[int]) -> DataFrame:
-    """One row per user and repo from all its months."""
-    row = F.struct("month", "day_bits", "kind")
-    people = months.groupBy(*USER_REPO).agg(
-        F.min(row).alias("first"),
-        F.max(row).alias("last"),
-        F.sum(F.bit_count("day_bits")).alias("active_days"),
-        F.sum("events").alias("events"),
-        F.map_from_entries(F.collect_list(F.struct("month", "day_bits"))).alias("bits"),
-    )
-    lowest = "date_add({0}.month, int(log2({0}.day_bits & -{0}.day_bits)))"
-    highest = "date_add({0}.month, length(bin({0}.day_bits)) - 1)"
-    people = people.select(
-        *USER_REPO,
-        F.expr(lowest.format("first")).alias("first_day"),
-        F.expr(highest.format("last")).alias("last_day"),
-        F.col("first.kind").alias("kind"),
-        "active_days",
-        "events",
-        "bits",
-    )
+    """One row per user and repo from all its months.
+
+    The first day stands beside every month, so each month tells by itself which of the
+    days looked for it has; rows are of fixed size and nothing is collected per person.
+    """
+    lowest = F.expr("date_add(month, bit_count((day_bits & -day_bits) - 1))")
+    highest = F.expr("date_add(month, length(bin(day_bits)) - 1)")
+    first_day = F.min(lowest).over(Window.partitionBy(*USER_REPO))
 
     def back(offset: int) -> Column:
         day = F.date_add("first_day", offset)
-        held = F.try_element_at("bits", F.trunc(day, "month").cast("date"))
         bit = _one_shifted(F.dayofmonth(day) - 1)
-        return (F.coalesce(held, F.lit(0).cast("bigint")).bitwiseAND(bit) != 0).alias(f"back_{offset}")
-
+        here = (F.col("month") == F.trunc(day, "month").cast("date")) & (F.col("day_bits").bitwiseAND(bit) != 0)
+        return F.bool_or(here).alias(f"back_{offset}")
+
+    people = (
+        months.withColumn("first_day", first_day)
+        .groupBy(*USER_REPO)
+        .agg(
+            F.min("first_day").alias("first_day"),
+            F.max(highest).alias("last_day"),
+            F.min_by("kind", "month").alias("kind"),
+            F.sum(F.bit_count("day_bits")).alias("active_days"),
+            F.sum("events").alias("events"),
+            *[back(offset) for offset in offsets],
+        )
+    )
     return people.select(
         "*",
         F.date_format("first_day", "yyyy-MM").alias("cohort_month"),
         F.datediff("last_day", "first_day").alias("lifetime_days"),
-        *[back(offset) for offset in offsets],
     )
 
 
@@ -367,21 +378,11 @@ def refresh_cohort_summary(tables: Tables, days: Iterable[date | str]) -> None:
     if not tables.exists(MONTHS):
         load_months(tables, days)
         return _rebuilt(tables, "dm_user_cohort_summary")
-    before = _first_months(tables)
-    changed = load_months(tables, days)
-    both = before.unionByName(_first_months(tables))
-    months = both.join(_prefixed(changed, USER_REPO, "_"), _same(USER_REPO, "_"), "left_semi")
-    touched = {row[0] for row in months.select("cohort_month").distinct().collect()}
+    touched = load_months(tables, days)
     summary = marts.cohort_summary_of(_people(tables.read(MONTHS), fixed.RETENTION_OFFSETS))
     tables.replace_parts("dm_user_cohort_summary", summary, ["cohort_month"], [(month,) for month in touched])
 
 
-def _first_months(tables: Tables) -> DataFrame:
-    """(user, repo, cohort_month) as of now, kept for comparison."""
-    first = tables.read(MONTHS).groupBy(*USER_REPO).agg(F.date_format(F.min("month"), "yyyy-MM").alias("cohort_month"))
-    return tables.kept(f"{MONTHS}_first", first)
-
-
 # --- all of them --------------------------------------------------------------------
 
 DAILY_MARTS: dict[str, Callable[[Tables, Iterable[date | str]], None]] = {
@@ -394,15 +395,26 @@ DAILY_MARTS: dict[str, Callable[[Tables, Iterable[date | str]], None]] = {
 }
 
 
+# The state of each mart that has one: a step that finds none builds it and the mart, whole.
+_STATES = {
+    "dm_active_users_daily": ACTIVE_STATE,
+    "dm_org_overview": "org_first_seen",
+    "dm_user_retention": "repo_first_seen",
+    "dm_user_cohort_summary": MONTHS,
+}
+
+
 def refresh_marts(tables: Tables, days: Iterable[date | str], names: Sequence[str] | None = None) -> None:
     """Bring the marts up to date after these days of the fact were loaded.
 
-    A mart that does not exist yet is built from the whole fact, and so are its states.
+    A mart that does not exist yet is built from the whole fact, once, and so are its states.
     """
     days = _dates(days)
     load_user_days(tables, days)
     for name, refresh in DAILY_MARTS.items():
         if names is None or name in names:
-            if not tables.exists(name):
+            known, state = tables.exists(name), _STATES.get(name)
+            if not known and (state is None or tables.exists(state)):
                 _rebuilt(tables, name)
-            refresh(tables, days)
+            if known or state is not None:
+                refresh(tables, days)
