@@ -85,11 +85,11 @@ def load_user_days(tables: Tables, days: Iterable[date | str]) -> None:
     """Take some days over from the fact; all of them on the first run."""
     wanted = _dates(days)
     if not tables.exists(USER_DAYS):
-        rows = marts.user_repo_days(tables.read(FACT, schemas.ACTIVITY_DAILY))
-        tables.rebuild(USER_DAYS, rows, ["base_date"])
+        fact = tables.read(FACT, schemas.ACTIVITY_DAILY)
+        tables.rebuild(USER_DAYS, marts.user_repo_days(fact, marts.parts_for(fact)), ["base_date"])
     else:
-        rows = marts.user_repo_days(tables.read(FACT, schemas.ACTIVITY_DAILY, wanted))
-        tables.replace_days(USER_DAYS, rows, wanted)
+        fact = tables.read(FACT, schemas.ACTIVITY_DAILY, wanted)
+        tables.replace_days(USER_DAYS, marts.user_repo_days(fact, marts.parts_for(fact)), wanted)
 
 
 def _rebuilt(tables: Tables, name: str) -> None:
@@ -152,17 +152,28 @@ def load_first_seen(tables: Tables, name: str, keys: Sequence[str], days: Iterab
 # --- day, week and month marts ------------------------------------------------------
 
 
-def refresh_user_activity(tables: Tables, days: Iterable[date | str]) -> None:
+def _refresh_periods(
+    tables: Tables, name: str, make: Callable[[DataFrame, int], DataFrame], keys: Sequence[str], days: Iterable[date | str]
+) -> None:
+    """Add up the periods of some days from the user days, or all periods of a mart that is new."""
     touched = periods_of(_dates(days))
-    rows = marts.user_activity_of(_user_days(tables, days_of(touched)))
-    tables.replace_parts("dm_user_activity", rows, ("activity_date", "aggregation_level"), touched)
+    known = tables.exists(name)
+    rows = _user_days(tables, days_of(touched) if known else None)
+    made = make(rows, marts.parts_for(rows))
+    if known:
+        tables.replace_parts(name, made, keys, touched)
+    else:
+        tables.rebuild(name, made, keys)
+
+
+def refresh_user_activity(tables: Tables, days: Iterable[date | str]) -> None:
+    _refresh_periods(tables, "dm_user_activity", marts.user_activity_of, ("activity_date", "aggregation_level"), days)
 
 
 def refresh_repo_contributors(tables: Tables, days: Iterable[date | str]) -> None:
     """Ranks are within a period, so touched periods are ranked again and others stay."""
-    touched = periods_of(_dates(days))
-    rows = marts.repo_contributors_of(_user_days(tables, days_of(touched)))
-    tables.replace_parts("dm_repo_contributors", rows, ("period_start_date", "aggregation_level"), touched)
+    keys = ("period_start_date", "aggregation_level")
+    _refresh_periods(tables, "dm_repo_contributors", marts.repo_contributors_of, keys, days)
 
 
 def refresh_org_overview(tables: Tables, days: Iterable[date | str]) -> None:
@@ -413,8 +424,7 @@ def refresh_marts(tables: Tables, days: Iterable[date | str], names: Sequence[st
     load_user_days(tables, days)
     for name, refresh in DAILY_MARTS.items():
         if names is None or name in names:
-            known, state = tables.exists(name), _STATES.get(name)
-            if not known and (state is None or tables.exists(state)):
+            state = _STATES.get(name)
+            if state is not None and not tables.exists(name) and tables.exists(state):
                 _rebuilt(tables, name)
-            if known or state is not None:
-                refresh(tables, days)
+            refresh(tables, days)

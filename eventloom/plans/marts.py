@@ -7,7 +7,8 @@ without that bound (an organization, a repo) are only ever aggregated with
 partial results or cut into slices.
 
 Rolling up to periods makes three wide rows of one. That is done in a given number of
-partitions: merged by their shuffled bytes they would hold a hundred times as much.
+partitions: merged by their shuffled bytes they would hold a hundred times as much. Where
+the rows are stored their number is known, and partitions grow with it (`parts_for`).
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ from ..operators.ranking import sliced_row_number
 from ..operators.rolling import rolling_distinct
 
 USER_REPO = ["organization", "repo_name", "user_login"]
-SPREAD = 192  # least partitions in which rows are multiplied
+SPREAD = 192  # least partitions in which rows of unknown number are multiplied
+ROWS_IN_PART = 50_000  # rows of a partition where their number is known
 
 # Count columns and the event types they add up.
 _COUNTS = {
@@ -52,17 +54,23 @@ _ORG_COUNTS = {
 }
 
 
-def _spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def parts_for(rows: DataFrame) -> int:
+    """Partitions for stored rows, which are counted from their files' footers: no task gets more with more rows."""
+    return max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // ROWS_IN_PART))
+
+
+def _spread(df: DataFrame, keys: Sequence[str], parts: int | None = None) -> DataFrame:
     """Rows of a key together, in partitions that adaptive execution does not merge."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(max(SPREAD, parts), *[F.col(key) for key in keys])
+    if parts is None:
+        parts = max(SPREAD, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(parts, *[F.col(key) for key in keys])
 
 
-def _user_days(fact: DataFrame, sums: dict[str, Column]) -> DataFrame:
+def _user_days(fact: DataFrame, sums: dict[str, Column], parts: int | None = None) -> DataFrame:
     """One row per user, repo and day, all of a user's repo days in one partition."""
+    dealt = fact.repartition(*[F.col(key) for key in USER_REPO]) if parts is None else _spread(fact, USER_REPO, parts)
     return (
-        fact.repartition(*[F.col(key) for key in USER_REPO])
-        .groupBy(*USER_REPO, "base_date")
+        dealt.groupBy(*USER_REPO, "base_date")
         .agg(*[column.alias(name) for name, column in sums.items()])
     )
 
@@ -77,22 +85,25 @@ def _kind() -> Column:
     )
 
 
-def user_repo_days(fact: DataFrame) -> DataFrame:
-    """One row per user, repo and day with sums, score and class flags: what the user marts add up."""
+def user_repo_days(fact: DataFrame, parts: int | None = None) -> DataFrame:
+    """One row per user, repo and day with sums, score and class flags: what the user marts add up.
+
+    Given `parts`, in so many partitions, else in as many as the shuffled bytes ask for.
+    """
     sums = {"total_events_count": F.sum("event_count")}
     sums |= {name: c.typed_sum(types) for name, types in _COUNTS.items()}
     sums |= {"contribution_score": F.sum(c.contribution())}
     sums |= {f"is_{name}": F.bool_or(flag) for name, flag in c.class_flags().items()}
-    return _user_days(fact, sums)
+    return _user_days(fact, sums, parts)
 
 
-def _period_activity(days: DataFrame, sums: Sequence[str]) -> DataFrame:
+def _period_activity(days: DataFrame, sums: Sequence[str], parts: int | None = None) -> DataFrame:
     """Roll user days up to day, week and month, dealt finely before they are multiplied.
 
     The keys stand in another order than in the shuffle before: one that looks the same is left out.
     """
     return (
-        explode_periods(_spread(days, USER_REPO[::-1]))
+        explode_periods(_spread(days, USER_REPO[::-1], parts))
         .groupBy(*USER_REPO, "level", "start", "end")
         .agg(
             *[F.sum(name).alias(name) for name in sums],
@@ -108,11 +119,11 @@ def dm_user_activity(fact: DataFrame) -> DataFrame:
     return user_activity_of(user_repo_days(fact))
 
 
-def user_activity_of(days: DataFrame) -> DataFrame:
+def user_activity_of(days: DataFrame, parts: int | None = None) -> DataFrame:
     """The same from user days."""
     sums = ["total_events_count", *_COUNTS]
     days = days.where(F.col("user_login").isNotNull()).select(*USER_REPO, "base_date", *sums)
-    return _period_activity(days, sums).select(
+    return _period_activity(days, sums, parts).select(
         F.col("start").alias("activity_date"),
         F.col("level").alias("aggregation_level"),
         "user_login",
@@ -134,12 +145,12 @@ def dm_repo_contributors(fact: DataFrame) -> DataFrame:
     return repo_contributors_of(user_repo_days(fact))
 
 
-def repo_contributors_of(days: DataFrame) -> DataFrame:
+def repo_contributors_of(days: DataFrame, parts: int | None = None) -> DataFrame:
     """The same from user days."""
     sums = ["total_events_count", *_CONTRIBUTOR_COUNTS, "contribution_score"]
     days = days.dropna(subset=USER_REPO).select(*USER_REPO, "base_date", *sums)
     ranked = sliced_row_number(
-        _period_activity(days, sums),
+        _period_activity(days, sums, parts),
         group=["start", "end", "level", "organization", "repo_name"],
         slices={
             "_score": (F.col("contribution_score"), True),

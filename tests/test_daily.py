@@ -202,3 +202,18 @@ def test_cohorts_keep_no_row_per_person_for_comparison(spark, tables, monkeypatc
     assert sorted(kept) == [f"{daily.MONTHS}_changed", f"{daily.MONTHS}_next"]
     assert tables.read(f"_{daily.MONTHS}_changed").count() <= len({row[1:3] + row[4:5] for row in state[START]})
     same_as_rebuilt(spark, tables, state, name)
+
+
+@pytest.mark.parametrize("name", ["dm_user_activity", "dm_repo_contributors"])
+def test_partitions_grow_with_the_rows_of_the_days(spark, tables, name, monkeypatch):
+    """User days and periods are dealt by their number, in the first build and in a day's step."""
+    dealt, spread = [], marts._spread
+    monkeypatch.setattr(marts, "ROWS_IN_PART", 4)
+    monkeypatch.setattr(marts, "_spread", lambda df, keys, parts=None: (dealt.append((df.count(), parts)), spread(df, keys, parts))[1])
+    state = started(spark, tables, name, [3, 4, 8])
+    load(spark, tables, state, START, facts(9, [0], 60), name)
+    fewest = spark.sparkContext.defaultParallelism
+    assert len(dealt) == 4 and max(rows for rows, _ in dealt) > 4 * fewest
+    for rows, parts in dealt:
+        assert parts is not None and parts >= max(fewest, -(-rows // 4))
+    same_as_rebuilt(spark, tables, state, name)
