@@ -1,9 +1,12 @@
 import json
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from eventloom.plans import build, events, feed
 from eventloom.plans.event_fields import EVENT_SHAPES
+from eventloom.sources import supplied
 
 
 def frame(spark, kind, *payloads, repo='{"name":"a/b"}', org='{"login":"a"}', organization="part"):
@@ -117,3 +120,21 @@ def test_typed_schemas(spark):
         built = events.typed_events(empty, shape).schema
         declared = events.typed_schema(shape)
         assert [(f.name, f.dataType) for f in built] == [(f.name, f.dataType) for f in declared], name
+
+
+@pytest.mark.parametrize(
+    ("derive", "long", "text"),
+    [(supplied.filtered_events, "payload", supplied.PAYLOAD), (supplied.archive_lines, "value", supplied.LINE)],
+)
+def test_long_texts_are_not_fused_into_one_method(spark, tmp_path, derive, long, text):
+    """A fused method of that length is interpreted; the texts, also of NULLs, are those of the expression."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    odd = rows.limit(1).selectExpr("cast(null as bigint) as event_id", *rows.columns[1:])
+    rows.unionByName(odd).write.parquet(str(tmp_path / "events.parquet"))
+    derived = derive(spark, str(tmp_path))
+    plan = derived._jdf.queryExecution().executedPlan().toString()
+    assert "Project" in plan and not re.search(r"\*\(\d+\) Project", plan)
+    whole = spark.read.parquet(str(tmp_path / "events.parquet"))
+    plain = whole.selectExpr(f"{text.replace('varchar(40)', 'string')} as `{long}`")
+    assert derived.count() == whole.count()
+    assert derived.select(long).exceptAll(plain).count() == plain.exceptAll(derived.select(long)).count() == 0
