@@ -284,7 +284,7 @@ def _select(df: DataFrame, columns: dict[str, str], long: str | None = None) ->
     """The columns; `long` names one whose expression is too long for one compiled method.
 
     Fused with the scan it would be one method of more than 8000 bytes, which the JVM never
-    compiles but interprets: 3.5 times the CPU time. A condition with a lambda, always true,
+    compiles but interprets: about three times the CPU time. A condition with a lambda, always true,
     keeps Spark from fusing, so the expression is compiled in pieces.
     """
     texts = {name: text.replace("varchar(40)", "string") for name, text in columns.items()}
