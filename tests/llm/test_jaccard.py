@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from eventloom.llm import jaccard, stages
+from eventloom.llm import jaccard, simhash, stages
 
 
 def near_copies(seed):
@@ -131,3 +131,29 @@ def test_common_passage_forms_no_pairs(spark):
     ).withColumn("label", F.col("node"))
     assert jaccard._could_link(rows.drop("node"), Fraction(4, 5)).isEmpty()
     assert jaccard.links(open_, blocks, 5, Fraction(4, 5)).isEmpty()
+
+
+def test_fingerprints_of_all_documents_are_searched(spark, monkeypatch):
+    often = "one two three four five " * 100
+    docs = [(n, often + " ".join(f"own{n}x{k}" for k in range(20))) for n in range(2)]  # near prints, sets differ
+    docs += [(n, " ".join(f"other{n}x{k}" for k in range(30))) for n in range(2, 6)]  # shingles nobody else has
+    docs += [(6, None), (7, ""), (8, "a b a b a b a b a b a b"), (9, "a b a b a b a b a"), (None, "just so")]
+    searched, candidates, tested = [], [], []
+
+    def watched(nodes, *args):
+        searched.extend(r.fp & simhash.MASK for r in nodes.select("fp").collect())
+        found = node_links(nodes, *args)
+        candidates.extend(frozenset(r) for r in found.select("a", "b").collect())
+        return found
+
+    def noted(pairs, *args):
+        tested.extend(frozenset(r) for r in pairs.select("a", "b").collect())
+        return checked(pairs, *args)
+
+    node_links, checked = jaccard.node_links, jaccard._checked
+    monkeypatch.setattr(jaccard, "node_links", watched)
+    monkeypatch.setattr(jaccard, "_checked", noted)
+    assert stage(spark, docs) == brute.kept_of_similar(docs)
+    assert set(searched) == {brute.simhash(text, 5) for _, text in docs}
+    assert any(len(pair) == 2 for pair in candidates)
+    assert {pair for pair in candidates if len(pair) == 2} <= set(tested)
